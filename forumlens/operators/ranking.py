@@ -39,16 +39,19 @@ def _order(order: Sequence[ColumnLike]) -> list[Column]:
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike],
-                  n: int = 1, ties: str = "first") -> DataFrame:
+                  n: int = 1, ties: str = "first",
+                  tiebreak: Sequence[ColumnLike] = ()) -> DataFrame:
     """Keep the first ``n`` rows of each group under ``order``.
 
-    ``ties="first"`` keeps exactly ``n`` rows per group (give ``order`` a
-    unique last key for a deterministic choice); ``ties="all"`` keeps every
-    row that ties with the ``n``-th. A missing key forms its own group.
+    ``ties="first"`` keeps exactly ``n`` rows per group, choosing among rows
+    tied on ``order`` by ``tiebreak`` (give a unique key for a deterministic
+    result); ``ties="all"`` ignores ``tiebreak`` and keeps every row that
+    ties with the ``n``-th. A missing key forms its own group.
     """
     if ties not in TIES:
         raise ValueError(f"ties must be one of {TIES}")
-    w = Window.partitionBy(*keys).orderBy(*_order(order))
+    full = [*order, *tiebreak] if ties == "first" else list(order)
+    w = Window.partitionBy(*keys).orderBy(*_order(full))
     fn = F.row_number() if ties == "first" else F.rank()
     return df.withColumn("_rank", fn.over(w)).where(F.col("_rank") <= n).drop("_rank")
 

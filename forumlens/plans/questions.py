@@ -63,7 +63,8 @@ def top_authors(posts: DataFrame, users: DataFrame, k: int = 10, ties: str = "fi
     owners_b = bounded_broadcast(owners, k)
     # Best question per owner, computed for the k owners only.
     cand = q.join(owners_b.select("OwnerUserId"), "OwnerUserId", "left_semi")
-    best = top_per_group(cand, ["OwnerUserId"], [desc("FavoriteCount"), asc("Id")], 1, ties)
+    best = top_per_group(cand, ["OwnerUserId"], [desc("FavoriteCount")], 1, ties,
+                         tiebreak=[asc("Id")])
     rows = top_k(best.join(owners_b, "OwnerUserId"), k,
                  [desc("FavoriteTotal"), asc("OwnerUserId"), asc("Id")])
     out = bounded_lookup(rows, users.select("Id", "DisplayName", "Age", "Location"),
@@ -98,7 +99,7 @@ def up_votes_per_year(votes: DataFrame) -> DataFrame:
 def top_question_per_year(posts: DataFrame, votes: DataFrame, ties: str = "first") -> DataFrame:
     """Q3: per year, the question with most up-votes cast in that year."""
     counts = semi_join(up_votes_per_year(votes), _questions(posts), [("PostId", "Id")])
-    best = top_per_group(counts, ["Year"], [desc("Count"), asc("PostId")], 1, ties)
+    best = top_per_group(counts, ["Year"], [desc("Count")], 1, ties, tiebreak=[asc("PostId")])
     out = join_on(best, _questions(posts).select("Id", "Title"), [("PostId", "Id")],
                   left_alias="_b", right_alias="_q")
     out = out.orderBy("_b.Year", asc("_b.PostId"))

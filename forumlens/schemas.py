@@ -4,6 +4,8 @@ Column names follow the dump (CamelCase). Spark resolves names without regard
 to case by default, so SQL text may write ``Posts.ID`` or ``ParentID``.
 """
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed values of the dump format: post and vote type codes.
@@ -72,3 +74,25 @@ TABLE_SCHEMAS = {
     "Posts": POSTS, "Users": USERS, "Comments": COMMENTS,
     "Votes": VOTES, "Badges": BADGES, "Activity": ACTIVITY,
 }
+
+
+def with_fields(schema: T.StructType, extra: list[tuple[str, str]]) -> T.StructType:
+    """A new schema with extra nullable columns (``StructType.add`` would
+    change the shared one in place)."""
+    return T.StructType(list(schema.fields) + [
+        T.StructField(n, T._parse_datatype_string(t), True) for n, t in extra])
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns of ``schema`` in its order and types; absent ones as NULL.
+
+    CSV files carry no types and are read by position, so a frame is
+    conformed before it is written and read back with the same schema.
+    """
+    present = {c.lower(): c for c in df.columns}
+    cols = []
+    for f in schema.fields:
+        src = present.get(f.name.lower())
+        value = F.col(src) if src else F.lit(None)
+        cols.append(value.cast(f.dataType).alias(f.name))
+    return df.select(*cols)
