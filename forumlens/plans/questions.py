@@ -36,16 +36,35 @@ def bounded_lookup(rows: DataFrame, dim: DataFrame, on: list[tuple[str, str]], k
                    keep_unmatched: bool = False, null_keys: str = "sql") -> DataFrame:
     """Join at most ``k`` rows to a large dimension without shuffling it.
 
-    The dimension is first cut to the partners of those rows by a broadcast
-    semi join (a filtered scan, no exchange); the remaining join is between
-    two small frames. Columns come back as ``_r.*`` and ``_d.*``.
+    Inner: the ``k`` rows are broadcast and the dimension streams past them
+    (a scan, no exchange). Keeping unmatched rows needs the rows on the
+    preserved side, which cannot be the broadcast side, so the dimension is
+    first cut to the partners of the ``k`` keys by a broadcast semi join and
+    the remaining outer join is between two small frames. Columns come back
+    as ``_r.*`` and ``_d.*``.
     """
-    keys = bounded_broadcast(rows.select(*[lc for lc, _ in on]), k).alias("_k")
+    r = bounded_broadcast(rows, k).alias("_r")
     d = dim.alias("_d")
-    cond = key_condition([(rc, lc) for lc, rc in on], "_d", "_k", null_keys)
-    small = d.join(keys, cond, "left_semi")
-    return join_on(rows, small, on, "left" if keep_unmatched else "inner", null_keys,
-                   left_alias="_r", right_alias="_d")
+    cond = key_condition(on, "_r", "_d", null_keys)
+    if not keep_unmatched:
+        return d.join(r, cond, "inner")
+    keys = bounded_broadcast(rows.select(*[lc for lc, _ in on]), k).alias("_k")
+    small = d.join(keys, key_condition([(rc, lc) for lc, rc in on], "_d", "_k", null_keys),
+                   "left_semi")
+    return join_on(rows, small, on, "left", null_keys, left_alias="_r", right_alias="_d")
+
+
+def best_row_key(value: str, tiebreak: str, *carry: str):
+    """Aggregate picking, per group, the row with the largest ``value``
+    (missing last), ties to the smallest ``tiebreak``, carrying ``carry``.
+
+    ``min`` over a struct orders field by field, so this is an ordinary
+    aggregate: partial results combine map-side and a hot group never
+    gathers in one task, unlike a window over the whole group.
+    """
+    return F.min(F.struct(F.col(value).isNull().alias("missing"), (-F.col(value)).alias("neg"),
+                          F.col(tiebreak).alias("tiebreak"), F.col(value).alias("value"),
+                          *[F.col(c).alias(c) for c in carry]))
 
 
 # ---------------------------------------------------------------- Q1
@@ -54,19 +73,36 @@ def top_authors(posts: DataFrame, users: DataFrame, k: int = 10, ties: str = "fi
     """Q1: the k question authors with most favourites, and their most liked
     question. With ``ties="all"`` every tied question is a row and the k
     counts rows."""
+    if ties not in ("first", "all"):
+        raise ValueError("ties must be 'first' or 'all'")
     q = (_questions(posts).where(F.col("OwnerUserId").isNotNull())
          .select("Id", "OwnerUserId", "FavoriteCount", "Title"))
-    totals = grouped_sum(q, ["OwnerUserId"], "FavoriteCount", "FavoriteTotal", empty_sum)
+    total = F.sum("FavoriteCount")
+    if empty_sum is not None:
+        total = F.coalesce(total, F.lit(empty_sum))
+    if ties == "first":
+        per_owner = q.groupBy("OwnerUserId").agg(
+            total.alias("FavoriteTotal"), best_row_key("FavoriteCount", "Id", "Title").alias("best"))
+    else:
+        per_owner = q.groupBy("OwnerUserId").agg(
+            total.alias("FavoriteTotal"), F.max("FavoriteCount").alias("MaxFavorite"))
     if not keep_unmatched:
-        totals = semi_join(totals, users, [("OwnerUserId", "Id")])
-    owners = top_k(totals, k, [desc("FavoriteTotal"), asc("OwnerUserId")])
-    owners_b = bounded_broadcast(owners, k)
-    # Best question per owner, computed for the k owners only.
-    cand = q.join(owners_b.select("OwnerUserId"), "OwnerUserId", "left_semi")
-    best = top_per_group(cand, ["OwnerUserId"], [desc("FavoriteCount")], 1, ties,
-                         tiebreak=[asc("Id")])
-    rows = top_k(best.join(owners_b, "OwnerUserId"), k,
-                 [desc("FavoriteTotal"), asc("OwnerUserId"), asc("Id")])
+        per_owner = semi_join(per_owner, users, [("OwnerUserId", "Id")])
+    owners = top_k(per_owner, k, [desc("FavoriteTotal"), asc("OwnerUserId")])
+    if ties == "first":
+        rows = owners.select("OwnerUserId", "FavoriteTotal", F.col("best.tiebreak").alias("Id"),
+                             F.col("best.Title").alias("Title"),
+                             F.col("best.value").alias("FavoriteCount"))
+    else:
+        # Every question at its owner's maximum, for the k owners only; a
+        # missing maximum ties with missing values, as RANK does.
+        o = bounded_broadcast(owners, k).alias("_o")
+        qq = q.alias("_q")
+        tied = qq.join(o, (F.col("_q.OwnerUserId") == F.col("_o.OwnerUserId"))
+                       & F.col("_q.FavoriteCount").eqNullSafe(F.col("_o.MaxFavorite")))
+        rows = top_k(tied.select("_q.OwnerUserId", "_o.FavoriteTotal", "_q.Id", "_q.Title",
+                                 "_q.FavoriteCount"),
+                     k, [desc("FavoriteTotal"), asc("OwnerUserId"), asc("Id")])
     out = bounded_lookup(rows, users.select("Id", "DisplayName", "Age", "Location"),
                          [("OwnerUserId", "Id")], k, keep_unmatched)
     out = out.orderBy(desc("_r.FavoriteTotal"), asc("_r.OwnerUserId"), asc("_r.Id"))
