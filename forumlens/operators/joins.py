@@ -70,10 +70,16 @@ def anti_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]])
     return join_on(left, right, on, "left_anti", left_alias="_al", right_alias="_ar")
 
 
+def can_broadcast(max_rows: int | None) -> bool:
+    """True when a row bound is known and small enough to broadcast."""
+    return max_rows is not None and max_rows <= MAX_BOUNDED_BROADCAST_ROWS
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast a frame whose size is bounded by construction (a LIMIT or a
-    driver-side literal list). The bound is checked here, not assumed."""
-    if max_rows > MAX_BOUNDED_BROADCAST_ROWS:
+    driver-side literal list). The bound is checked here, not assumed;
+    callers take a shuffle join instead when :func:`can_broadcast` is false."""
+    if not can_broadcast(max_rows):
         raise ValueError(f"refusing to broadcast up to {max_rows} rows")
     return F.broadcast(df.limit(max_rows))
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.columns import age_class, age_threshold, year_text
 from ..operators.aggregates import conditional_counts, count_by, grouped_sum, having_between
-from ..operators.joins import bounded_broadcast, join_on, key_condition, semi_join
+from ..operators.joins import bounded_broadcast, can_broadcast, join_on, key_condition, semi_join
 from ..operators.ranking import asc, desc, top_k, top_per_group
 
 
@@ -41,8 +41,12 @@ def bounded_lookup(rows: DataFrame, dim: DataFrame, on: list[tuple[str, str]], k
     preserved side, which cannot be the broadcast side, so the dimension is
     first cut to the partners of the ``k`` keys by a broadcast semi join and
     the remaining outer join is between two small frames. Columns come back
-    as ``_r.*`` and ``_d.*``.
+    as ``_r.*`` and ``_d.*``. Beyond the broadcast bound it is a plain
+    join and Spark plans a shuffle.
     """
+    if not can_broadcast(k):
+        return join_on(rows, dim, on, "left" if keep_unmatched else "inner", null_keys,
+                       left_alias="_r", right_alias="_d")
     r = bounded_broadcast(rows, k).alias("_r")
     d = dim.alias("_d")
     cond = key_condition(on, "_r", "_d", null_keys)
@@ -96,7 +100,7 @@ def top_authors(posts: DataFrame, users: DataFrame, k: int = 10, ties: str = "fi
     else:
         # Every question at its owner's maximum, for the k owners only; a
         # missing maximum ties with missing values, as RANK does.
-        o = bounded_broadcast(owners, k).alias("_o")
+        o = (bounded_broadcast(owners, k) if can_broadcast(k) else owners).alias("_o")
         qq = q.alias("_q")
         tied = qq.join(o, (F.col("_q.OwnerUserId") == F.col("_o.OwnerUserId"))
                        & F.col("_q.FavoriteCount").eqNullSafe(F.col("_o.MaxFavorite")))
