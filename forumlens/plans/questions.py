@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..session import scratch_path
 from ..functions.columns import age_class, age_threshold, year_text
 from ..operators.aggregates import conditional_counts, count_by, grouped_sum, having_between
 from ..operators.joins import bounded_broadcast, can_broadcast, join_on, key_condition, semi_join
@@ -58,6 +59,28 @@ def bounded_lookup(rows: DataFrame, dim: DataFrame, on: list[tuple[str, str]], k
     return join_on(rows, small, on, "left", null_keys, left_alias="_r", right_alias="_d")
 
 
+def checked_lookup(rows: DataFrame, dim: DataFrame, on: list[tuple[str, str]],
+                   null_keys: str = "sql") -> tuple[DataFrame, int]:
+    """Inner lookup for a result whose size is small in practice but has no
+    bound by construction (one row per year, say).
+
+    The rows are written once as a parquet table in the shared checkpoint
+    folder (lineage cut: a lost executor re-reads, it does not recompute)
+    and counted from the file footers; the count is the size check. Within
+    the bound they are broadcast into a scan of the dimension; beyond it
+    the lookup is an ordinary shuffle join. Returns the joined frame
+    (``_r.*``, ``_d.*``) and the row count.
+    """
+    spark = rows.sparkSession
+    path = scratch_path(spark, "lookup")
+    rows.write.parquet(path)
+    small = spark.read.parquet(path)
+    n = small.count()
+    if can_broadcast(n):
+        return bounded_lookup(small, dim, on, max(n, 1), null_keys=null_keys), n
+    return join_on(small, dim, on, "inner", null_keys, left_alias="_r", right_alias="_d"), n
+
+
 def best_row_key(value: str, tiebreak: str, *carry: str):
     """Aggregate picking, per group, the row with the largest ``value``
     (missing last), ties to the smallest ``tiebreak``, carrying ``carry``.
@@ -71,6 +94,13 @@ def best_row_key(value: str, tiebreak: str, *carry: str):
                           *[F.col(c).alias(c) for c in carry]))
 
 
+def _final_order(df: DataFrame, k: int, order) -> DataFrame:
+    """Order the at most ``k`` result rows. A bounded sort is a
+    TakeOrderedAndProject (one step); a global ``orderBy`` would add a range
+    exchange and a sampling job for ten rows."""
+    return top_k(df, max(k, 1), order) if can_broadcast(k) else df.orderBy(*order)
+
+
 # ---------------------------------------------------------------- Q1
 def top_authors(posts: DataFrame, users: DataFrame, k: int = 10, ties: str = "first",
                 keep_unmatched: bool = False, empty_sum=None) -> DataFrame:
@@ -109,7 +139,7 @@ def top_authors(posts: DataFrame, users: DataFrame, k: int = 10, ties: str = "fi
                      k, [desc("FavoriteTotal"), asc("OwnerUserId"), asc("Id")])
     out = bounded_lookup(rows, users.select("Id", "DisplayName", "Age", "Location"),
                          [("OwnerUserId", "Id")], k, keep_unmatched)
-    out = out.orderBy(desc("_r.FavoriteTotal"), asc("_r.OwnerUserId"), asc("_r.Id"))
+    out = _final_order(out, k, [desc("_r.FavoriteTotal"), asc("_r.OwnerUserId"), asc("_r.Id")])
     return out.select(
         F.col("_d.DisplayName").alias("DisplayName"), F.col("_d.Age").alias("Age"),
         F.col("_d.Location").alias("Location"), F.col("_r.FavoriteTotal").alias("FavoriteTotal"),
@@ -125,7 +155,7 @@ def positive_answers(posts: DataFrame, k: int = 10) -> DataFrame:
     counts = semi_join(counts, posts, [("ParentId", "Id")])
     top = top_k(counts, k, [desc("PositiveAnswerCount"), desc("ParentId")])
     out = bounded_lookup(top, posts.select("Id", "Title"), [("ParentId", "Id")], k)
-    out = out.orderBy(desc("_r.PositiveAnswerCount"), desc("_r.ParentId"))
+    out = _final_order(out, k, [desc("_r.PositiveAnswerCount"), desc("_r.ParentId")])
     return out.select(F.col("_d.Id").alias("Id"), F.col("_d.Title").alias("Title"),
                       F.col("_r.PositiveAnswerCount").alias("PositiveAnswerCount"))
 
@@ -140,11 +170,10 @@ def top_question_per_year(posts: DataFrame, votes: DataFrame, ties: str = "first
     """Q3: per year, the question with most up-votes cast in that year."""
     counts = semi_join(up_votes_per_year(votes), _questions(posts), [("PostId", "Id")])
     best = top_per_group(counts, ["Year"], [desc("Count")], 1, ties, tiebreak=[asc("PostId")])
-    out = join_on(best, _questions(posts).select("Id", "Title"), [("PostId", "Id")],
-                  left_alias="_b", right_alias="_q")
-    out = out.orderBy("_b.Year", asc("_b.PostId"))
-    return out.select(F.col("_q.Title").alias("Title"), F.col("_b.Year").alias("Year"),
-                      F.col("_b.Count").alias("Count"))
+    out, n = checked_lookup(best, _questions(posts).select("Id", "Title"), [("PostId", "Id")])
+    out = _final_order(out, n, [asc("_r.Year"), asc("_r.PostId")])
+    return out.select(F.col("_d.Title").alias("Title"), F.col("_r.Year").alias("Year"),
+                      F.col("_r.Count").alias("Count"))
 
 
 # ---------------------------------------------------------------- Q4
@@ -178,7 +207,7 @@ def author_comments(posts: DataFrame, comments: DataFrame, k: int = 10,
                       left_alias="_s", right_alias="_q")
     top = top_k(matched, k, [desc("CommentsTotalScore"), asc("PostId")])
     out = bounded_lookup(top, q, on, k, null_keys=null_keys)
-    out = out.orderBy(desc("_r.CommentsTotalScore"), asc("_r.PostId"))
+    out = _final_order(out, k, [desc("_r.CommentsTotalScore"), asc("_r.PostId")])
     return out.select(F.col("_d.Title").alias("Title"),
                       F.col("_r.CommentsTotalScore").alias("CommentsTotalScore"))
 
@@ -216,7 +245,7 @@ def _finish_q7(only_old: DataFrame, posts: DataFrame, k: int) -> DataFrame:
     cand = semi_join(only_old, q, [("PostId", "Id")])
     top = top_k(cand, k, [desc("OldVotes"), asc("PostId")])
     out = bounded_lookup(top, q, [("PostId", "Id")], k)
-    out = out.orderBy(desc("_r.OldVotes"), asc("_r.PostId"))
+    out = _final_order(out, k, [desc("_r.OldVotes"), asc("_r.PostId")])
     return out.select(F.col("_d.Title").alias("Title"), F.col("_r.OldVotes").alias("OldVotes"))
 
 

@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The reference has no stream processing of any kind: no watermark, no
+tumbling, sliding or session window, no state and no late data. Its monthly
+tag count is a batch computation over a file that is read once at start-up;
+that computation lives in ``forumlens.plans.activity`` as one grouped batch
+job. Adding a Structured Streaming operator here would add a feature the
+reference does not have, so this package only holds this note.
+"""
