@@ -47,8 +47,12 @@ def test_q1_best_question_is_a_partial_aggregate(spark, qs):
     assert "Window" not in p
 
 
-def test_first_per_group_limits_before_the_shuffle(spark, qs):
-    p = plan(qs["q3_top_question_per_year"](spark, SF_SMALL))
+def test_first_per_group_limits_before_the_shuffle(spark):
+    from forumlens.plans import questions as Q
+    from forumlens.sources.adapters import ForumData
+    counts = Q.up_votes_per_year(ForumData(spark, SF_SMALL).votes)
+    p = plan(R.top_per_group(counts, ["Year"], [R.desc("Count")], 1, "first",
+                             tiebreak=[R.asc("PostId")]))
     # one WindowGroupLimit before the exchange (partial), one after (final)
     assert p.count("WindowGroupLimit (") >= 2
 
