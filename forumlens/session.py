@@ -45,15 +45,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     The cluster names the folder; only when it is unset (local tests) do we
-    pick one ourselves.
+    pick one ourselves. ``spark.checkpoint.dir`` is a core setting that
+    cannot change at run time, so an own folder goes to the SparkContext.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="forumlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    sc = spark.sparkContext
+    if configured:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
+        return configured
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="forumlens-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -24,8 +24,8 @@ def spark():
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     # Tests set their own checkpoint folder only where the session has none.
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="forumlens-test-"))
+    from forumlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(session)
     yield session
     session.stop()
 
