@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -63,12 +62,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/forumlens/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so local tests can inspect written files."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def is_local_dir(path: str) -> bool:
-    return os.path.isdir(local_path(path))
