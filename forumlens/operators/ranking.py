@@ -56,13 +56,29 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike
     return df.withColumn("_rank", fn.over(w)).where(F.col("_rank") <= n).drop("_rank")
 
 
-def rows_at_group_max(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Rows whose ``value`` equals the maximum of their group (all ties).
-
-    A missing value never equals the maximum, so all-missing groups vanish.
+def rows_at_group_max(df: DataFrame, keys: Sequence[str], value: str,
+                      keep_missing: bool = False) -> DataFrame:
+    """Every row whose ``value`` equals the maximum of its group (all ties).
+
+    ``keep_missing=False`` is the pandas rule: a missing value never equals
+    the maximum, so all-missing groups vanish. ``keep_missing=True`` is the
+    RANK rule (missing last): a group whose values are all missing keeps
+    all its rows.
+
+    Written as an aggregate of the maximum (combined map-side) joined back on
+    (keys, value) rather than a window: a hot group with many tied rows is
+    spread over the join's partitions, and AQE splits a skewed one.
     """
-    kept = top_per_group(df.where(F.col(value).isNotNull()), keys, [desc(value)], 1, "all")
-    return kept
+    summary = df.groupBy(*keys).agg(F.max(value).alias("_max"))
+    s_ = summary.alias("_g")
+    d = df.alias("_d")
+    cond = None
+    for k in keys:
+        part = F.col(f"_d.{k}").eqNullSafe(F.col(f"_g.{k}"))
+        cond = part if cond is None else cond & part
+    v, m = F.col(f"_d.{value}"), F.col("_g._max")
+    cond = cond & (v.eqNullSafe(m) if keep_missing else v == m)
+    return d.join(s_, cond, "inner").select("_d.*")
 
 
 def with_group_agg(df: DataFrame, keys: Sequence[str], agg: Column, name: str) -> DataFrame:

@@ -23,7 +23,7 @@ from ..functions.columns import age_class, age_threshold, year_text
 from ..operators.aggregates import conditional_counts, count_by, having_between
 from ..operators.joins import (bounded_broadcast, can_broadcast, join_on, keep_matching,
                                key_condition, semi_join)
-from ..operators.ranking import asc, desc, top_k, top_per_group
+from ..operators.ranking import asc, desc, rows_at_group_max, top_k, top_per_group
 
 
 def _questions(posts: DataFrame) -> DataFrame:
@@ -170,7 +170,11 @@ def up_votes_per_year(votes: DataFrame) -> DataFrame:
 def top_question_per_year(posts: DataFrame, votes: DataFrame, ties: str = "first") -> DataFrame:
     """Q3: per year, the question with most up-votes cast in that year."""
     counts = keep_matching(up_votes_per_year(votes), _questions(posts), [("PostId", "Id")])
-    best = top_per_group(counts, ["Year"], [desc("Count")], 1, ties, tiebreak=[asc("PostId")])
+    if ties == "all":
+        best = rows_at_group_max(counts, ["Year"], "Count", keep_missing=True)
+    else:
+        best = top_per_group(counts, ["Year"], [desc("Count")], 1, "first",
+                             tiebreak=[asc("PostId")])
     out, n = checked_lookup(best, _questions(posts).select("Id", "Title"), [("PostId", "Id")])
     out = _final_order(out, n, [asc("_r.Year"), asc("_r.PostId")])
     return out.select(F.col("_d.Title").alias("Title"), F.col("_r.Year").alias("Year"),

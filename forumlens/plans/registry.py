@@ -320,7 +320,9 @@ def p_distinct_by_key(fd):
 def _owner_best(fd, ties="first"):
     q = _questions(fd).where(F.col("OwnerUserId").isNotNull()) \
         .select("OwnerUserId", "Id", "Title", "FavoriteCount")
-    return R.top_per_group(q, ["OwnerUserId"], [R.desc("FavoriteCount")], 1, ties,
+    if ties == "all":
+        return R.rows_at_group_max(q, ["OwnerUserId"], "FavoriteCount", keep_missing=True)
+    return R.top_per_group(q, ["OwnerUserId"], [R.desc("FavoriteCount")], 1, "first",
                            tiebreak=[R.asc("Id")])
 
 
