@@ -66,16 +66,20 @@ def semi_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]])
 
 
 def keep_matching(df: DataFrame, other: DataFrame, on: Sequence[tuple[str, str]],
-                  null_keys: str = "sql") -> DataFrame:
+                  null_keys: str = "sql", unique: bool = False) -> DataFrame:
     """Semi join that stays above an aggregation.
 
     Catalyst pushes a LEFT SEMI join below an aggregate grouped on the join
     key; with a shuffle join that moves raw rows through the shuffle instead
     of the map-side-combined ones, and a hot key is no longer pre-reduced.
     An inner join against the *distinct* keys of ``other`` returns the same
-    rows, is not moved, and its exchange on the key also serves the distinct.
+    rows and is not moved; its exchange on the key also serves the distinct.
+    ``unique=True`` states that the keys of ``other`` are already unique (a
+    primary key such as Posts.Id) and skips the distinct.
     """
-    keys = other.select(*[F.col(rc).alias(f"_k{i}") for i, (_, rc) in enumerate(on)]).distinct()
+    keys = other.select(*[F.col(rc).alias(f"_k{i}") for i, (_, rc) in enumerate(on)])
+    if not unique:
+        keys = keys.distinct()
     cond = None
     for i, (lc, _) in enumerate(on):
         a, b = F.col(f"_km.{lc}"), F.col(f"_k{i}")

@@ -246,6 +246,7 @@ cnt AS (SELECT Date, COUNT(*) AS Count FROM dated WHERE TagName = {_lst(TAGS3[:1
 SELECT s.Date, COALESCE(c.Count, 0) AS Count FROM spine s LEFT JOIN cnt c ON c.Date = s.Date"""),
     "t4_series_wide": _series_wide(TAGS3),
     "t5_topics_series": _spine_long(TAGS2, by_topic=True),
+    "s8_topic_files_series": _spine_long(TAGS2, by_topic=True),
     "s1_csv_gz_round_trip": _with("SELECT Id, Reputation, DisplayName, Location, Age FROM users"),
     "s2_plain_csv": _with("SELECT TagName, Year, Month FROM activity"),
     "s3_xml_round_trip": _with(f"SELECT {_XML_POST_COLS} FROM posts"),

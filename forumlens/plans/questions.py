@@ -122,7 +122,7 @@ def top_authors(posts: DataFrame, users: DataFrame, k: int = 10, ties: str = "fi
         per_owner = q.groupBy("OwnerUserId").agg(
             total.alias("FavoriteTotal"), F.max("FavoriteCount").alias("MaxFavorite"))
     if not keep_unmatched:
-        per_owner = keep_matching(per_owner, users, [("OwnerUserId", "Id")])
+        per_owner = keep_matching(per_owner, users, [("OwnerUserId", "Id")], unique=True)
     owners = top_k(per_owner, k, [desc("FavoriteTotal"), asc("OwnerUserId")])
     if ties == "first":
         rows = owners.select("OwnerUserId", "FavoriteTotal", F.col("best.tiebreak").alias("Id"),
@@ -153,7 +153,7 @@ def positive_answers(posts: DataFrame, k: int = 10) -> DataFrame:
     """Q2: the k posts with most positively scored answers (ties: higher Id first)."""
     pos = _answers(posts).where(F.col("Score") > 0)
     counts = count_by(pos, ["ParentId"], "PositiveAnswerCount")
-    counts = keep_matching(counts, posts, [("ParentId", "Id")])
+    counts = keep_matching(counts, posts, [("ParentId", "Id")], unique=True)
     top = top_k(counts, k, [desc("PositiveAnswerCount"), desc("ParentId")])
     out = bounded_lookup(top, posts.select("Id", "Title"), [("ParentId", "Id")], k)
     out = _final_order(out, k, [desc("_r.PositiveAnswerCount"), desc("_r.ParentId")])
@@ -169,7 +169,8 @@ def up_votes_per_year(votes: DataFrame) -> DataFrame:
 
 def top_question_per_year(posts: DataFrame, votes: DataFrame, ties: str = "first") -> DataFrame:
     """Q3: per year, the question with most up-votes cast in that year."""
-    counts = keep_matching(up_votes_per_year(votes), _questions(posts), [("PostId", "Id")])
+    counts = keep_matching(up_votes_per_year(votes), _questions(posts), [("PostId", "Id")],
+                           unique=True)
     if ties == "all":
         best = rows_at_group_max(counts, ["Year"], "Count", keep_missing=True)
     else:
@@ -208,7 +209,7 @@ def author_comments(posts: DataFrame, comments: DataFrame, k: int = 10,
     sums = comments.groupBy("PostId", "UserId").agg(F.sum("Score").alias("CommentsTotalScore"))
     q = _questions(posts).select("Id", "OwnerUserId", "Title")
     on = [("PostId", "Id"), ("UserId", "OwnerUserId")]
-    matched = keep_matching(sums, q, on, null_keys)
+    matched = keep_matching(sums, q, on, null_keys, unique=True)
     top = top_k(matched, k, [desc("CommentsTotalScore"), asc("PostId")])
     out = bounded_lookup(top, q, on, k, null_keys=null_keys)
     out = _final_order(out, k, [desc("_r.CommentsTotalScore"), asc("_r.PostId")])
@@ -246,7 +247,7 @@ def new_old_counts(votes: DataFrame, new_years=("2016", "2017"), threshold=None)
 
 def _finish_q7(only_old: DataFrame, posts: DataFrame, k: int) -> DataFrame:
     q = _questions(posts).select("Id", "Title")
-    cand = keep_matching(only_old, q, [("PostId", "Id")])
+    cand = keep_matching(only_old, q, [("PostId", "Id")], unique=True)
     top = top_k(cand, k, [desc("OldVotes"), asc("PostId")])
     out = bounded_lookup(top, q, [("PostId", "Id")], k)
     out = _final_order(out, k, [desc("_r.OldVotes"), asc("_r.PostId")])

@@ -32,6 +32,8 @@ from . import sql_forms
 # answer scores lie in -9..40 and whose votes fall in 1995..2001.
 TAGS3 = ["Customer#000000001", "Customer#000000002", "Customer#000000003"]
 TAGS2 = ["Customer#000000001", "Customer#000000002"]
+# The topic of an activity row is its order status, whose domain is fixed.
+TOPICS = ["F", "O", "P"]
 GAP = 40
 NEW_YEARS = ("2000", "2001")
 THRESHOLD_YEAR = "2000"
@@ -219,6 +221,17 @@ def s2_plain_csv(fd):
     return files.read_csv(fd.spark, path, S.ACTIVITY)
 
 
+@query
+def s8_topic_files_series(fd):
+    """One activity file set per topic, read back as one frame with a Topic
+    column, then the per-topic series in one job."""
+    base = scratch_path(fd.spark, "s8")
+    files.write_csv(fd.activity.select("TagName", "Year", "Month", "Topic"), base, gzip=False,
+                    partition_by=["Topic"])
+    topics = files.read_topics(fd.spark, {t: f"{base}/Topic={t}" for t in TOPICS})
+    return T.topics_series(topics, TAGS2)
+
+
 _XML_POST_COLS = ["Id", "PostTypeId", "ParentId", "AcceptedAnswerId", "Score",
                   "OwnerUserId", "Title", "FavoriteCount"]
 

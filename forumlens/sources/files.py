@@ -50,11 +50,15 @@ def read_xml_rows(spark: SparkSession, paths: str | Sequence[str], schema: T.Str
             .schema(schema).load(paths))
 
 
-def write_csv(df: DataFrame, path: str, gzip: bool = True, mode: str = "errorifexists") -> str:
-    """CSV sink with a header and no index column; one file per task."""
+def write_csv(df: DataFrame, path: str, gzip: bool = True, mode: str = "errorifexists",
+              partition_by: Sequence[str] = ()) -> str:
+    """CSV sink with a header and no index column; one file per task
+    (and per value of ``partition_by``, one folder ``col=value`` each)."""
     w = df.write.mode(mode).option("header", True)
     if gzip:
         w = w.option("compression", "gzip")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     w.csv(path)
     return path
 
