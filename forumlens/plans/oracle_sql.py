@@ -93,34 +93,33 @@ LIMIT {K}""")
 
 
 Q2 = _with(f"""
-SELECT p.Id, p.Title, c.PositiveAnswerCount
-FROM posts p
-JOIN (SELECT ParentId, COUNT(*) AS PositiveAnswerCount FROM posts
-      WHERE PostTypeId = 2 AND Score > 0 GROUP BY ParentId) c ON p.Id = c.ParentId
-ORDER BY c.PositiveAnswerCount DESC, p.Id DESC
+, liked AS (SELECT ParentId AS pid, count(*) AS PositiveAnswerCount FROM posts
+            WHERE PostTypeId = 2 AND Score > 0 GROUP BY ALL)
+SELECT p.Id, p.Title, liked.PositiveAnswerCount
+FROM liked, posts p WHERE p.Id = liked.pid
+ORDER BY 3 DESC, 1 DESC
 LIMIT {K}""")
 
 
 def _q3(ties="first") -> str:
-    fn = ("ROW_NUMBER() OVER (PARTITION BY upy.Year ORDER BY upy.Count DESC, upy.PostId)"
-          if ties == "first" else "RANK() OVER (PARTITION BY upy.Year ORDER BY upy.Count DESC)")
+    rank = ("row_number() OVER (PARTITION BY y.Year ORDER BY y.Count DESC, y.PostId)"
+            if ties == "first" else "rank() OVER (PARTITION BY y.Year ORDER BY y.Count DESC)")
     return _with(f"""
-, upy AS (SELECT PostId, strftime(CreationDate, '%Y') AS Year, COUNT(*) AS Count
-          FROM votes WHERE VoteTypeId = 2 GROUP BY PostId, strftime(CreationDate, '%Y')),
-j AS (SELECT q.Title, upy.Year, upy.Count,
-             {fn} AS rk
-      FROM upy JOIN posts q ON q.Id = upy.PostId WHERE q.PostTypeId = 1)
-SELECT Title, Year, Count FROM j WHERE rk = 1""")
+, y AS (SELECT PostId, strftime(CreationDate, '%Y') AS Year, count(*) AS Count
+        FROM votes WHERE VoteTypeId = 2 GROUP BY ALL)
+SELECT q.Title, y.Year, y.Count
+FROM y, posts q WHERE q.Id = y.PostId AND q.PostTypeId = 1
+QUALIFY {rank} = 1""")
 
 
 def _q4(threshold) -> str:
     return _with(f"""
-SELECT qs.Id, qs.Title, b.MaxScore, p.Score AS AcceptedScore, b.MaxScore - p.Score AS Difference
-FROM (SELECT ParentId, MAX(Score) AS MaxScore FROM posts WHERE PostTypeId = 2 GROUP BY ParentId) b
-JOIN (SELECT * FROM posts WHERE PostTypeId = 1) qs ON qs.Id = b.ParentId
-JOIN posts p ON qs.AcceptedAnswerId = p.Id
-WHERE b.MaxScore - p.Score > {threshold}
-ORDER BY Difference DESC, qs.Id""")
+, mx AS (SELECT ParentId AS qid, max(Score) AS MaxScore FROM posts WHERE PostTypeId = 2
+         GROUP BY ALL)
+SELECT q.Id, q.Title, mx.MaxScore, acc.Score AS AcceptedScore, mx.MaxScore - acc.Score AS Difference
+FROM posts q, mx, posts acc
+WHERE q.PostTypeId = 1 AND mx.qid = q.Id AND acc.Id = q.AcceptedAnswerId
+  AND mx.MaxScore - acc.Score > {threshold}""")
 
 
 def _comment_sums() -> str:
@@ -139,12 +138,10 @@ LIMIT {K}""")
 
 
 Q6 = _with("""
-SELECT DISTINCT u.Id, u.DisplayName, u.Reputation, u.Age, u.Location
-FROM (SELECT Name, UserId FROM badges
-      WHERE Name IN (SELECT Name FROM badges WHERE Class = 1 GROUP BY Name
-                     HAVING COUNT(*) BETWEEN 2 AND 10)
-        AND Class = 1) vb
-JOIN users u ON vb.UserId = u.Id""")
+, gold AS (SELECT UserId, Name FROM badges WHERE Class = 1),
+rare AS (SELECT Name FROM gold GROUP BY Name HAVING count(*) BETWEEN 2 AND 10)
+SELECT u.Id, u.DisplayName, u.Reputation, u.Age, u.Location FROM users u
+WHERE EXISTS (SELECT 1 FROM gold g JOIN rare r ON r.Name = g.Name WHERE g.UserId = u.Id)""")
 
 
 def _vote_class(threshold=None) -> str:
@@ -156,22 +153,18 @@ def _vote_class(threshold=None) -> str:
 
 
 def _classified(threshold=None) -> str:
-    return f""", cls AS (SELECT PostId, {_vote_class(threshold)} AS VoteDate
+    return f""", cls AS (SELECT PostId, {_vote_class(threshold)} AS VoteAge
           FROM votes WHERE VoteTypeId = 2)"""
 
 
 def _q7(threshold=None) -> str:
     return _with(f"""{_classified(threshold)},
-va AS (SELECT PostId, VoteDate, COUNT(*) AS Total FROM cls
-       WHERE VoteDate IS NOT NULL GROUP BY PostId, VoteDate),
-v2 AS (SELECT PostId,
-              MAX(CASE WHEN VoteDate = 'new' THEN Total ELSE 0 END) AS NewVotes,
-              MAX(CASE WHEN VoteDate = 'old' THEN Total ELSE 0 END) AS OldVotes
-       FROM va GROUP BY PostId
-       HAVING MAX(CASE WHEN VoteDate = 'new' THEN Total ELSE 0 END) = 0)
-SELECT p.Title, v2.OldVotes FROM posts p JOIN v2 ON v2.PostId = p.Id
-WHERE p.PostTypeId = 1
-ORDER BY v2.OldVotes DESC, v2.PostId
+per_post AS (SELECT PostId, count(*) FILTER (WHERE VoteAge = 'new') AS n_new,
+                    count(*) FILTER (WHERE VoteAge = 'old') AS OldVotes
+             FROM cls GROUP BY PostId)
+SELECT p.Title, per_post.OldVotes FROM per_post, posts p
+WHERE p.Id = per_post.PostId AND p.PostTypeId = 1 AND per_post.n_new = 0 AND per_post.OldVotes > 0
+ORDER BY per_post.OldVotes DESC, per_post.PostId
 LIMIT {K}""")
 
 
@@ -298,15 +291,15 @@ SELECT q.Id, u.DisplayName FROM questions q LEFT JOIN users u ON u.Id = q.OwnerU
 SELECT s.Date, COALESCE(c.Count, 0) AS Count
 FROM cnt c RIGHT JOIN (SELECT DISTINCT Date FROM dated) s ON c.Date = s.Date"""),
     "j_full_outer": _with(f"""{_classified()},
-n AS (SELECT PostId, COUNT(*) AS NewVotes FROM cls WHERE VoteDate = 'new' GROUP BY PostId),
-o AS (SELECT PostId, COUNT(*) AS OldVotes FROM cls WHERE VoteDate = 'old' GROUP BY PostId)
+n AS (SELECT PostId, COUNT(*) AS NewVotes FROM cls WHERE VoteAge = 'new' GROUP BY PostId),
+o AS (SELECT PostId, COUNT(*) AS OldVotes FROM cls WHERE VoteAge = 'old' GROUP BY PostId)
 SELECT COALESCE(n.PostId, o.PostId) AS PostId, COALESCE(n.NewVotes, 0) AS NewVotes,
        COALESCE(o.OldVotes, 0) AS OldVotes
 FROM n FULL OUTER JOIN o ON n.PostId = o.PostId"""),
     "j_anti": _with(f"""{_classified()}
 SELECT PostId, COUNT(*) AS OldVotes FROM cls o
-WHERE VoteDate = 'old'
-  AND NOT EXISTS (SELECT 1 FROM cls n WHERE n.VoteDate = 'new' AND n.PostId = o.PostId)
+WHERE VoteAge = 'old'
+  AND NOT EXISTS (SELECT 1 FROM cls n WHERE n.VoteAge = 'new' AND n.PostId = o.PostId)
 GROUP BY PostId"""),
     "j_self": _with("""
 SELECT a.Id AS AnswerId, q.Id AS QuestionId, q.Title AS QuestionTitle, a.Score AS Score
@@ -328,14 +321,14 @@ SELECT OwnerUserId, Id, Title, FavoriteCount FROM ob WHERE rn = 1"""),
     "w_ties_per_group": _with(f"""{OWNER_RANKED}
 SELECT OwnerUserId, Id, Title, FavoriteCount FROM ob WHERE rk = 1"""),
     "a_two_level": _with(f"""{_classified()},
-per AS (SELECT PostId, VoteDate, COUNT(*) AS Total FROM cls GROUP BY PostId, VoteDate)
+per AS (SELECT PostId, VoteAge, COUNT(*) AS Total FROM cls GROUP BY PostId, VoteAge)
 SELECT PostId, MAX(Total) AS MaxTotal, CAST(SUM(Total) AS BIGINT) AS Votes FROM per GROUP BY PostId"""),
     "a_conditional": _with(f"""{_classified()}
-SELECT PostId, COUNT(CASE WHEN VoteDate = 'new' THEN 1 END) AS NewVotes,
-       COUNT(CASE WHEN VoteDate = 'old' THEN 1 END) AS OldVotes
+SELECT PostId, COUNT(CASE WHEN VoteAge = 'new' THEN 1 END) AS NewVotes,
+       COUNT(CASE WHEN VoteAge = 'old' THEN 1 END) AS OldVotes
 FROM cls GROUP BY PostId"""),
     "a_split_by_class": _with(f"""{_classified()}
-SELECT PostId, VoteDate, COUNT(*) AS Total FROM cls GROUP BY PostId, VoteDate"""),
+SELECT PostId, VoteAge, COUNT(*) AS Total FROM cls GROUP BY PostId, VoteAge"""),
     "a_pivot": _series_wide(TAGS3),
     "a_drop_null_keys": _with("""
 SELECT PostId, UserId, CAST(SUM(Score) AS BIGINT) AS Total FROM comments
@@ -365,8 +358,8 @@ SELECT Id, OwnerUserId, Title, FavoriteCount, 'extra' AS side FROM (
   SELECT OwnerUserId, Id, Title, FavoriteCount FROM ob WHERE rn = 1) d"""),
     "c_year_text": _with("SELECT PostId, strftime(CreationDate, '%Y') AS Year FROM votes"),
     "c_year_prefix": _with("SELECT PostId, substr(CAST(CreationDate AS VARCHAR), 1, 4) AS Year FROM votes"),
-    "c_age_class": _with(f"{_classified()} SELECT PostId, VoteDate FROM cls"),
-    "c_age_threshold": _with(f"{_classified(THRESHOLD_YEAR)} SELECT PostId, VoteDate FROM cls"),
+    "c_age_class": _with(f"{_classified()} SELECT PostId, VoteAge FROM cls"),
+    "c_age_threshold": _with(f"{_classified(THRESHOLD_YEAR)} SELECT PostId, VoteAge FROM cls"),
     "c_month_key": _with("SELECT TagName, Date FROM dated"),
 }
 

@@ -236,13 +236,13 @@ def classified_up_votes(votes: DataFrame, new_years=("2016", "2017"),
     up = votes.where(F.col("VoteTypeId") == S.VOTE_TYPE_UP)
     year = year_text("CreationDate")
     cls = age_threshold(year, threshold) if threshold is not None else age_class(year, new_years)
-    return up.select("PostId", cls.alias("VoteDate"))
+    return up.select("PostId", cls.alias("VoteAge"))
 
 
 def new_old_counts(votes: DataFrame, new_years=("2016", "2017"), threshold=None) -> DataFrame:
     """(PostId, NewVotes, OldVotes) in one conditional aggregation."""
     return conditional_counts(classified_up_votes(votes, new_years, threshold), ["PostId"],
-                              "VoteDate", {"NewVotes": "new", "OldVotes": "old"})
+                              "VoteAge", {"NewVotes": "new", "OldVotes": "old"})
 
 
 def _finish_q7(only_old: DataFrame, posts: DataFrame, k: int) -> DataFrame:
@@ -270,16 +270,16 @@ def old_votes_anti(posts: DataFrame, votes: DataFrame, k: int = 10,
 
 def old_without_new(votes: DataFrame, new_years=("2016", "2017")) -> DataFrame:
     cls = classified_up_votes(votes, new_years)
-    old = count_by(cls.where(F.col("VoteDate") == "old"), ["PostId"], "OldVotes")
-    new_posts = cls.where(F.col("VoteDate") == "new").select("PostId")
+    old = count_by(cls.where(F.col("VoteAge") == "old"), ["PostId"], "OldVotes")
+    new_posts = cls.where(F.col("VoteAge") == "new").select("PostId")
     return old.join(new_posts, "PostId", "left_anti")
 
 
 def new_old_full_outer(votes: DataFrame, new_years=("2016", "2017")) -> DataFrame:
     """New and old counts side by side through a full outer join, 0 where absent."""
     cls = classified_up_votes(votes, new_years)
-    new = count_by(cls.where(F.col("VoteDate") == "new"), ["PostId"], "NewVotes")
-    old = count_by(cls.where(F.col("VoteDate") == "old"), ["PostId"], "OldVotes")
+    new = count_by(cls.where(F.col("VoteAge") == "new"), ["PostId"], "NewVotes")
+    old = count_by(cls.where(F.col("VoteAge") == "old"), ["PostId"], "OldVotes")
     j = new.alias("_n").join(old.alias("_o"), F.col("_n.PostId") == F.col("_o.PostId"), "full")
     return j.select(F.coalesce("_n.PostId", "_o.PostId").alias("PostId"),
                     F.coalesce("_n.NewVotes", F.lit(0)).alias("NewVotes"),

@@ -476,7 +476,7 @@ def w_ties_per_group(fd):
 def a_two_level(fd):
     """Counts per (post, vote age), then max and sum per post."""
     cls = Q.classified_up_votes(fd.votes, NEW_YEARS)
-    per = A.count_by(cls, ["PostId", "VoteDate"], "Total")
+    per = A.count_by(cls, ["PostId", "VoteAge"], "Total")
     return per.groupBy("PostId").agg(F.max("Total").alias("MaxTotal"),
                                      F.sum("Total").alias("Votes"))
 
@@ -488,8 +488,8 @@ def a_conditional(fd):
 
 @query
 def a_split_by_class(fd):
-    """The per-class frames (new and old) stacked: (PostId, VoteDate, Total)."""
-    return A.count_by(Q.classified_up_votes(fd.votes, NEW_YEARS), ["PostId", "VoteDate"], "Total")
+    """The per-class frames (new and old) stacked: (PostId, VoteAge, Total)."""
+    return A.count_by(Q.classified_up_votes(fd.votes, NEW_YEARS), ["PostId", "VoteAge"], "Total")
 
 
 @query

@@ -71,9 +71,9 @@ def test_with_group_max_keeps_every_row(spark, data):
 @SLOW
 @given(st.lists(st.tuples(st.integers(0, 4), st.sampled_from(["new", "old", None])), max_size=30))
 def test_conditional_counts_matches_brute_force(spark, data):
-    df = spark.createDataFrame(data, "PostId long, VoteDate string")
+    df = spark.createDataFrame(data, "PostId long, VoteAge string")
     got = {r["PostId"]: (r["NewVotes"], r["OldVotes"]) for r in A.conditional_counts(
-        df, ["PostId"], "VoteDate", {"NewVotes": "new", "OldVotes": "old"}).collect()}
+        df, ["PostId"], "VoteAge", {"NewVotes": "new", "OldVotes": "old"}).collect()}
     want = {}
     for p, c in data:
         n, o = want.get(p, (0, 0))
