@@ -71,3 +71,25 @@ def test_q7_forms_agree_on_whole_frames(spark):
     anti = qs["j_anti"](spark, SF_SMALL)
     only_old = cond.where("NewVotes = 0 AND OldVotes > 0").select("PostId", "OldVotes")
     assert frames_equal(anti, only_old)
+
+
+def test_shuffle_fallback_beyond_broadcast_bound(spark, monkeypatch):
+    """Past the row bound no broadcast is planned and the rows are the same."""
+    from forumlens.operators import joins
+    fd = ForumData(spark, SF_SMALL)
+    before = {
+        "q1": Q.top_authors(fd.posts, fd.users, 10),
+        "q2": Q.positive_answers(fd.posts, 10),
+        "q3": Q.top_question_per_year(fd.posts, fd.votes, "all"),
+        "q5": Q.author_comments(fd.posts, fd.comments, 10),
+    }
+    before = {k: sorted(map(tuple, v.collect()), key=repr) for k, v in before.items()}
+    monkeypatch.setattr(joins, "MAX_BOUNDED_BROADCAST_ROWS", 3)
+    after = {
+        "q1": Q.top_authors(fd.posts, fd.users, 10),
+        "q2": Q.positive_answers(fd.posts, 10),
+        "q3": Q.top_question_per_year(fd.posts, fd.votes, "all"),
+        "q5": Q.author_comments(fd.posts, fd.comments, 10),
+    }
+    for k, df in after.items():
+        assert sorted(map(tuple, df.collect()), key=repr) == before[k], k
