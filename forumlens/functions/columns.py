@@ -54,8 +54,10 @@ def pad_left(value: ColumnLike, width: int = 2, pad: str = "0") -> Column:
 
 
 def month_key(year: ColumnLike, month: ColumnLike) -> Column:
-    """'YYYY-MM' text key; sorts chronologically thanks to the padding."""
-    return F.concat_ws("-", _c(year).cast("string"), pad_left(month, 2, "0"))
+    """'YYYY-MM' text key; sorts chronologically thanks to the padding.
+    Missing year or month gives a missing key (``concat`` propagates NULL,
+    where ``concat_ws`` would silently drop the part)."""
+    return F.concat(_c(year).cast("string"), F.lit("-"), pad_left(month, 2, "0"))
 
 
 def is_missing(c: ColumnLike) -> Column:

@@ -53,7 +53,8 @@ def series_long(activity: DataFrame, tags: Sequence[str], keys: Sequence[str] =
             *keys, "Date", F.lit(None).cast("string").alias("TagName"),
             F.lit(0).cast("bigint").alias("Count")).limit(0)
     wide = pivot_counts(with_date(activity), [*keys, "Date"], "TagName", chosen)
-    long = wide.unpivot([*keys, "Date"], [F.col(f"`{t}`") for t in chosen], "TagName", "Count")
+    cols = [F.col("`" + t.replace("`", "``") + "`") for t in chosen]
+    long = wide.unpivot([*keys, "Date"], cols, "TagName", "Count")
     return long.orderBy(*keys, "TagName", "Date")
 
 

@@ -98,6 +98,8 @@ def read_topics(spark: SparkSession, topic_paths: Mapping[str, str | Sequence[st
                 schema: T.StructType = S.ACTIVITY, topic_col: str = "Topic") -> DataFrame:
     """Several topic files as one frame with a ``Topic`` column, so one
     grouped job serves every topic instead of one program copy per topic."""
+    if not topic_paths:
+        raise ValueError("read_topics needs at least one topic")
     frames = [read_csv(spark, p, schema).withColumn(topic_col, F.lit(t))
               for t, p in topic_paths.items()]
     out = frames[0]

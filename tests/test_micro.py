@@ -185,9 +185,16 @@ def test_series_empty_tag_list(spark):
 
 
 def test_month_key_padding(spark):
-    df = spark.createDataFrame([(2017, 3), (2017, 12), (2017, 123)], "Year int, Month int")
+    df = spark.createDataFrame([(2017, 3), (2017, 12), (2017, 123), (2017, None), (None, 4)],
+                               "Year int, Month int")
     assert [r[0] for r in df.select(C.month_key("Year", "Month")).collect()] == [
-        "2017-03", "2017-12", "2017-123"]
+        "2017-03", "2017-12", "2017-123", None, None]
+
+
+def test_odd_tag_names(spark):
+    act = spark.createDataFrame([("a`b", 2017, 1), ("c.d", 2017, 1)], ACTIVITY)
+    long = rows(T.series_long(act, ["a`b", "c.d"]))
+    assert long == [("2017-01", "a`b", 1), ("2017-01", "c.d", 1)]
 
 
 # ---------------------------------------------------------------- sources
