@@ -5,11 +5,12 @@ post or user id), so every result is deterministic. Dialect differences of
 the reference are parameters: ``ties``, ``null_keys``, ``keep_unmatched``,
 ``empty_sum``, ``new_years`` / ``threshold``.
 
-Plan shape used by every top-k question: aggregate, filter with a *narrow*
-semi join that shuffles only keys and numbers, take the top k
+Plan shape used by every top-k question: aggregate (partial, map-side),
+keep the groups whose key exists with a join that carries only keys and
+numbers (``keep_matching``: placed after the aggregation), take the top k
 (TakeOrderedAndProject: k rows per task), and only then fetch wide payload
-columns (titles, names) for those k rows through a broadcast of at most k
-keys. The wide columns are never shuffled.
+columns (titles, names) for those k rows by broadcasting them into a scan
+of the large table. The wide columns are never shuffled.
 """
 
 from __future__ import annotations
@@ -18,12 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..session import scratch_path
 from ..functions.columns import age_class, age_threshold, year_text
 from ..operators.aggregates import conditional_counts, count_by, having_between
 from ..operators.joins import (bounded_broadcast, can_broadcast, join_on, keep_matching,
                                key_condition, semi_join)
 from ..operators.ranking import asc, desc, rows_at_group_max, top_k, top_per_group
+from ..session import scratch_path
 
 
 def _questions(posts: DataFrame) -> DataFrame:
@@ -63,7 +64,7 @@ def bounded_lookup(rows: DataFrame, dim: DataFrame, on: list[tuple[str, str]], k
 def checked_lookup(rows: DataFrame, dim: DataFrame, on: list[tuple[str, str]],
                    null_keys: str = "sql") -> tuple[DataFrame, int]:
     """Inner lookup for a result whose size is small in practice but has no
-    bound by construction (one row per year, say).
+    bound by construction (every tied winner, every question past a gap).
 
     The rows are written once as a parquet table in the shared checkpoint
     folder (lineage cut: a lost executor re-reads, it does not recompute)
