@@ -63,11 +63,29 @@ def write_csv(df: DataFrame, path: str, gzip: bool = True, mode: str = "errorife
     return path
 
 
+# Fixed value of the dump format: timestamps are ISO text with milliseconds,
+# for example 2009-03-11T12:51:01.480.
+DUMP_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
+
+
+def _dump_text(field: T.StructField):
+    c = F.col(field.name)
+    if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_format(c, DUMP_TIMESTAMP_FORMAT)
+    if isinstance(field.dataType, T.DateType):
+        return F.date_format(c, "yyyy-MM-dd")
+    return c
+
+
 def write_xml_rows(df: DataFrame, path: str, root_tag: str = "rows", row_tag: str = "row",
                    mode: str = "errorifexists") -> str:
     """Write rows in the dump's shape: ``<row A="..." B="..."/>`` with every
-    column as an attribute (missing values leave the attribute out)."""
-    attrs = df.select(*[F.col(c).alias(f"_{c}") for c in df.columns])
+    column as an attribute (missing values leave the attribute out).
+
+    Timestamps are written as the dump's ISO text; left to the XML writer,
+    a timestamp attribute would come out as raw epoch microseconds.
+    """
+    attrs = df.select(*[_dump_text(f).alias(f"_{f.name}") for f in df.schema.fields])
     (attrs.write.mode(mode).format("xml").option("rootTag", root_tag).option("rowTag", row_tag)
      .option("attributePrefix", "_").save(path))
     return path

@@ -211,11 +211,14 @@ def test_xml_rows_self_closing_entities_absent(spark, tmp_dir):
     path = os.path.join(tmp_dir, "Posts.xml")
     with open(path, "w") as f:
         f.write('<?xml version="1.0" encoding="utf-8"?>\n<posts>\n'
-                '  <row Id="1" PostTypeId="1" Title="Tom &amp; Jerry &lt;3" Score="5" />\n'
+                '  <row Id="1" PostTypeId="1" Title="Tom &amp; Jerry &lt;3" Score="5" '
+                'CreationDate="2009-03-11T12:51:01.480" />\n'
                 '  <row Id="2" PostTypeId="2" ParentId="1" Score="-2"/>\n</posts>\n')
     df = files.read_xml_rows(spark, path, S.POSTS).select("Id", "PostTypeId", "ParentId",
                                                          "Title", "Score")
     assert rows(df.orderBy("Id")) == [(1, 1, None, "Tom & Jerry <3", 5), (2, 2, 1, None, -2)]
+    ts = files.read_xml_rows(spark, path, S.POSTS).where("Id = 1").select("CreationDate").first()[0]
+    assert ts == dt.datetime(2009, 3, 11, 12, 51, 1, 480000)
 
 
 def test_convert_dump_drops_columns(spark, tmp_dir):
