@@ -203,5 +203,12 @@ class ForumData:
                 "Comments": self.comments, "Badges": self.badges, "Activity": self.activity}
 
     def materialize_all(self) -> None:
-        """Derive and store every table now (the one-time conversion step)."""
-        self.tables()
+        """Derive and store every table now (the one-time conversion step).
+
+        The six tables are independent, so their jobs are submitted together
+        from a small thread pool and share the cluster's cores.
+        """
+        from concurrent.futures import ThreadPoolExecutor
+        names = ["posts", "users", "votes", "comments", "badges", "activity"]
+        with ThreadPoolExecutor(max_workers=len(names)) as pool:
+            list(pool.map(lambda n: getattr(self, n), names))
