@@ -199,6 +199,8 @@ class ForumData:
         return self._stored("activity", lambda: activity(self.base("orders"), self.base("customer")))
 
     def tables(self) -> dict[str, DataFrame]:
+        if self.materialize:
+            self.materialize_all()
         return {"Posts": self.posts, "Users": self.users, "Votes": self.votes,
                 "Comments": self.comments, "Badges": self.badges, "Activity": self.activity}
 

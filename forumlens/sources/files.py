@@ -40,14 +40,19 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
 
 
 def read_xml_rows(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
-                  row_tag: str = "row") -> DataFrame:
+                  row_tag: str = "row", partitions: int | None = None) -> DataFrame:
     """S3: one row per ``<row .../>`` element, attributes become columns.
 
-    A missing attribute is a missing value; entities are decoded. The XML
-    source splits large files on row boundaries, so no whole-file parse.
+    A missing attribute is a missing value; entities are decoded. Each file
+    is parsed as a stream by one task (the source's default mode). Its
+    line-split mode (``multiLine=false``) would read a file in parallel, but
+    on self-closing rows it produced spurious empty rows in our check, so it
+    is not used: whole results first. Many dump files read in parallel;
+    ``partitions=`` spreads the rows of few large files after the read.
     """
-    return (spark.read.format("xml").option("rowTag", row_tag).option("attributePrefix", "")
-            .schema(schema).load(paths))
+    df = (spark.read.format("xml").option("rowTag", row_tag).option("attributePrefix", "")
+          .schema(schema).load(paths))
+    return _spread(df, partitions)
 
 
 def write_csv(df: DataFrame, path: str, gzip: bool = True, mode: str = "errorifexists",
@@ -77,7 +82,7 @@ def _dump_text(field: T.StructField):
     return c
 
 
-def write_xml_rows(df: DataFrame, path: str, root_tag: str = "rows", row_tag: str = "row",
+def write_xml_rows(df: DataFrame, path: str, root_tag: str = "dump", row_tag: str = "row",
                    mode: str = "errorifexists") -> str:
     """Write rows in the dump's shape: ``<row A="..." B="..."/>`` with every
     column as an attribute (missing values leave the attribute out).
@@ -94,12 +99,14 @@ def write_xml_rows(df: DataFrame, path: str, root_tag: str = "rows", row_tag: st
 def convert_dump(spark: SparkSession, xml_paths: Mapping[str, str], out_dir: str,
                  schemas: Mapping[str, T.StructType] | None = None,
                  drop: Mapping[str, Sequence[str]] = S.DUMP_DROP_COLUMNS,
-                 gzip: bool = True) -> dict[str, str]:
+                 gzip: bool = True, partitions: int | None = None) -> dict[str, str]:
     """XML dump tables to CSV, dropping the listed columns per table.
 
-    One Spark job per table; each job is parallel over the XML file's splits.
-    ``schemas`` gives the full schema (dropped columns included) per table;
-    without it the XML source infers one.
+    One Spark job per table. A dump file is parsed by one task (see
+    :func:`read_xml_rows`); ``partitions=`` spreads its rows before the
+    write, so the CSV output is many files that later reads split across
+    tasks. ``schemas`` gives the full schema (dropped columns included) per
+    table; without it the XML source infers one.
     """
     out = {}
     for name, path in xml_paths.items():
@@ -107,7 +114,7 @@ def convert_dump(spark: SparkSession, xml_paths: Mapping[str, str], out_dir: str
         if schemas and name in schemas:
             reader = reader.schema(schemas[name])
         df = reader.load(path)
-        df = df.drop(*[c for c in drop.get(name, []) if c in df.columns])
+        df = _spread(df.drop(*[c for c in drop.get(name, []) if c in df.columns]), partitions)
         out[name] = write_csv(df, f"{out_dir.rstrip('/')}/{name}", gzip=gzip)
     return out
 
