@@ -55,6 +55,27 @@ def having_between(df: DataFrame, keys: Sequence[str], low: int, high: int,
     return count_by(df, keys, name).where(F.col(name).between(low, high))
 
 
+def rows_in_groups_sized(df: DataFrame, keys: Sequence[str], low: int, high: int,
+                         order: Sequence[ColumnLike]) -> DataFrame:
+    """The rows of every group whose row count lies in [low, high].
+
+    Only ``high + 1`` rows per group are needed to decide, so each group is
+    cut to that many rows by a ``row_number`` filter, which Catalyst turns
+    into a partial ``WindowGroupLimit`` before the shuffle: a hot group
+    ships at most ``high + 1`` rows per map task instead of all of them.
+    The cut groups are then collected (at most ``high + 1`` items each, on
+    the window's partitioning, no further shuffle), sized and unpacked.
+    """
+    from pyspark.sql import Window
+    cap = high + 1
+    w = Window.partitionBy(*keys).orderBy(*order)
+    capped = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap).drop("_rn")
+    rest = [c for c in capped.columns if c not in keys]
+    grouped = capped.groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias("_rows"))
+    kept = grouped.where(F.size("_rows").between(low, high))
+    return kept.select(*keys, F.explode("_rows").alias("_r")).select(*keys, "_r.*")
+
+
 def conditional_counts(df: DataFrame, keys: Sequence[str], class_col: ColumnLike,
                        classes: dict[str, str]) -> DataFrame:
     """One pass, one count column per class: ``{out_name: class_value}``.
