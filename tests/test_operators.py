@@ -148,3 +148,16 @@ def test_bounded_broadcast_refuses_unbounded(spark):
     assert J.can_broadcast(10) and not J.can_broadcast(None)
     with pytest.raises(ValueError):
         J.bounded_broadcast(df, 10 ** 9)
+
+
+@SLOW
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 50)), max_size=40),
+       st.integers(0, 4), st.integers(0, 6))
+def test_rows_in_groups_sized_matches_brute_force(spark, data, low, span):
+    high = low + span
+    df = spark.createDataFrame(data, "Name string, UserId long")
+    got = Counter(tuple(r) for r in A.rows_in_groups_sized(df, ["Name"], low, high,
+                                                           [R.asc("UserId")]).collect())
+    sizes = Counter(n for n, _ in data)
+    want = Counter((n, u) for n, u in data if low <= sizes[n] <= high)
+    assert got == want
