@@ -67,17 +67,19 @@ def checked_lookup(rows: DataFrame, dim: DataFrame, on: list[tuple[str, str]],
     bound by construction (every tied winner, every question past a gap).
 
     The rows are written once as a parquet table in the shared checkpoint
-    folder (lineage cut: a lost executor re-reads, it does not recompute)
-    and counted from the file footers; the count is the size check. Within
-    the bound they are broadcast into a scan of the dimension; beyond it
-    the lookup is an ordinary shuffle join. Returns the joined frame
-    (``_r.*``, ``_d.*``) and the row count.
+    folder (lineage cut: a lost executor re-reads, it does not recompute);
+    an ``Observation`` counts them during that same write job, and the count
+    is the size check. Within the bound they are broadcast into a scan of
+    the dimension; beyond it the lookup is an ordinary shuffle join.
+    Returns the joined frame (``_r.*``, ``_d.*``) and the row count.
     """
+    from pyspark.sql import Observation
     spark = rows.sparkSession
     path = scratch_path(spark, "lookup")
-    rows.write.parquet(path)
+    seen = Observation("checked_lookup")
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    n = int(seen.get["n"])
     small = spark.read.parquet(path)
-    n = small.count()
     if can_broadcast(n):
         return bounded_lookup(small, dim, on, max(n, 1), null_keys=null_keys), n
     return join_on(small, dim, on, "inner", null_keys, left_alias="_r", right_alias="_d"), n
