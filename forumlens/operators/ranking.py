@@ -114,9 +114,19 @@ def with_position(df: DataFrame, order: Sequence[ColumnLike], name: str = "posit
     Range partitioning puts the rows in ordered, disjoint partitions; each
     partition numbers its own rows, and a per-partition count (one row per
     partition) gives the offsets. Rows tied on ``order`` get some order.
+
+    The partition-tagged rows are written once to the shared checkpoint
+    folder and both branches (numbering, counting) read those files: a
+    recomputed range partitioning, after an executor loss or without
+    exchange reuse, could sample other bounds and the branches would
+    disagree.
     """
+    from ..session import scratch_path
     cols = _order(order)
-    parted = df.repartitionByRange(*cols).withColumn("_pid", F.spark_partition_id())
+    spark = df.sparkSession
+    path = scratch_path(spark, "positions")
+    df.repartitionByRange(*cols).withColumn("_pid", F.spark_partition_id()).write.parquet(path)
+    parted = spark.read.parquet(path)
     local = parted.withColumn("_local", F.row_number().over(
         Window.partitionBy("_pid").orderBy(*cols)))
     counts = parted.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
