@@ -2,8 +2,10 @@
 
 Plain equi-joins stay plain ``DataFrame.join`` calls so that Catalyst and AQE
 choose broadcast or sort-merge from measured sizes. The helpers here only add
-what the reference's dialects disagree on: whether a missing key matches a
-missing key, and whether unmatched rows survive.
+what the reference's dialects disagree on (whether a missing key matches a
+missing key, whether unmatched rows survive), a semi join that stays above
+an aggregation (``keep_matching``), and broadcasting only under a checked
+row bound (``bounded_broadcast``).
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ third of all rows would land in one task. Two rules keep that from happening:
   the window. Catalyst then inserts a partial ``WindowGroupLimit`` *before*
   the shuffle, so each map task forwards at most ``n`` rows (``n`` plus ties
   for ``rank``) per group; a hot group arrives pre-cut.
-* Per-group values that every row needs (``with_group_agg``) are computed by
+* Per-group values that every row needs (``with_group_agg``) and the rows
+  tied at a group's maximum (``rows_at_group_max``) are computed by
   ``groupBy`` (partial + final aggregation, combined map-side) and joined
   back, never by an unbounded window. AQE splits a hot key on the join side.
 """
