@@ -8,6 +8,15 @@ total and most liked question" run side by side:
   (partial aggregation before the shuffle);
 * ``window``: a ``row_number`` window over the owner, the textbook form.
 
+Then one badge name is given a third of all badges (derived from the part
+table) and Q6's step "badges whose name was awarded 2..10 times" runs two
+ways:
+
+* ``capped_cut``: the library's ``rows_in_groups_sized`` (each name cut to
+  11 rows before the shuffle);
+* ``join_back``: count per name, then a semi join of all badges against the
+  qualifying names, the textbook form.
+
 The event log (written to a fresh scratch folder) gives, per stage, the
 largest number of shuffle records any single task read. Usage:
 
@@ -70,6 +79,26 @@ def main() -> None:
     win = q.withColumn("t", F.sum("FavoriteCount").over(Window.partitionBy("OwnerUserId"))) \
         .withColumn("rn", F.row_number().over(w)).where("rn = 1")
     win.write.format("noop").mode("overwrite").save()
+
+    # Q6's step: one badge name holds a third of the gold badges.
+    from forumlens.operators.aggregates import having_between, rows_in_groups_sized
+    from forumlens.operators.joins import semi_join
+    from forumlens.operators.ranking import asc
+    from forumlens.sources.adapters import badges
+    b = badges(read_base(spark, sf_dir, "part")).withColumn(
+        "Name", F.when(F.col("UserId") % 3 == 0, F.lit("hot")).otherwise(F.col("Name")))
+    b.select("Name", "UserId").repartition(16).write.parquet(f"{log_dir}-badges")
+    gold = spark.read.parquet(f"{log_dir}-badges")
+    badge_rows = gold.count()
+    hot_badges = gold.where("Name = 'hot'").count()
+    # as on a cluster: the qualifying names are too many to broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.sparkContext.setJobDescription("capped_cut")
+    rows_in_groups_sized(gold, ["Name"], 2, 10, [asc("UserId")]) \
+        .write.format("noop").mode("overwrite").save()
+    spark.sparkContext.setJobDescription("join_back")
+    semi_join(gold, having_between(gold, ["Name"], 2, 10), [("Name", "Name")]) \
+        .write.format("noop").mode("overwrite").save()
     spark.stop()
 
     stage_job, max_read = {}, {}
@@ -81,10 +110,11 @@ def main() -> None:
                 stage_job[s] = desc
         elif ev == "SparkListenerTaskEnd" and e.get("Task Metrics"):
             desc = stage_job.get(e["Stage ID"])
-            if desc in ("aggregate", "window"):
+            if desc in ("aggregate", "window", "capped_cut", "join_back"):
                 read = e["Task Metrics"]["Shuffle Read Metrics"]["Total Records Read"]
                 max_read[desc] = max(max_read.get(desc, 0), read)
     report = {"questions": total, "hot_owner_rows": hot_rows, "map_tasks": 16,
+              "badges": badge_rows, "hot_badge_rows": hot_badges,
               "max_shuffle_records_read_by_one_task": max_read}
     print(json.dumps(report))
 
