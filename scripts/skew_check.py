@@ -17,6 +17,10 @@ ways:
 * ``join_back``: count per name, then a semi join of all badges against the
   qualifying names, the textbook form.
 
+Last, Q3's winner per year (a handful of years, so every group is hot) runs
+with Spark's partial ``WindowGroupLimit`` (``group_limit``) and with it
+switched off (``no_group_limit``).
+
 The event log (written to a fresh scratch folder) gives, per stage, the
 largest number of shuffle records any single task read. Usage:
 
@@ -81,6 +85,7 @@ def main() -> None:
     win.write.format("noop").mode("overwrite").save()
 
     # Q6's step: one badge name holds a third of the gold badges.
+    spark.sparkContext.setJobDescription("setup")
     from forumlens.operators.aggregates import having_between, rows_in_groups_sized
     from forumlens.operators.joins import semi_join
     from forumlens.operators.ranking import asc
@@ -99,6 +104,24 @@ def main() -> None:
     spark.sparkContext.setJobDescription("join_back")
     semi_join(gold, having_between(gold, ["Name"], 2, 10), [("Name", "Name")]) \
         .write.format("noop").mode("overwrite").save()
+
+    # Q3's step: the winner per year, where every year is a hot group.
+    spark.sparkContext.setJobDescription("setup")
+    from forumlens.operators.ranking import desc, top_per_group
+    from forumlens.plans.questions import up_votes_per_year
+    from forumlens.sources.adapters import votes
+    votes(read_base(spark, sf_dir, "lineitem")).repartition(16) \
+        .write.parquet(f"{log_dir}-votes")
+    counts = up_votes_per_year(spark.read.parquet(f"{log_dir}-votes"))
+    counts.write.parquet(f"{log_dir}-counts")
+    counts = spark.read.parquet(f"{log_dir}-counts")
+    count_rows = counts.count()
+    winners = top_per_group(counts, ["Year"], [desc("Count")], 1, "first", tiebreak=[asc("PostId")])
+    spark.sparkContext.setJobDescription("group_limit")
+    winners.write.format("noop").mode("overwrite").save()
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "-1")
+    spark.sparkContext.setJobDescription("no_group_limit")
+    winners.write.format("noop").mode("overwrite").save()
     spark.stop()
 
     stage_job, max_read = {}, {}
@@ -110,11 +133,13 @@ def main() -> None:
                 stage_job[s] = desc
         elif ev == "SparkListenerTaskEnd" and e.get("Task Metrics"):
             desc = stage_job.get(e["Stage ID"])
-            if desc in ("aggregate", "window", "capped_cut", "join_back"):
+            if desc in ("aggregate", "window", "capped_cut", "join_back", "group_limit",
+                        "no_group_limit"):
                 read = e["Task Metrics"]["Shuffle Read Metrics"]["Total Records Read"]
                 max_read[desc] = max(max_read.get(desc, 0), read)
     report = {"questions": total, "hot_owner_rows": hot_rows, "map_tasks": 16,
               "badges": badge_rows, "hot_badge_rows": hot_badges,
+              "post_year_counts": count_rows,
               "max_shuffle_records_read_by_one_task": max_read}
     print(json.dumps(report))
 
