@@ -3,9 +3,8 @@
 Plain equi-joins stay plain ``DataFrame.join`` calls so that Catalyst and AQE
 choose broadcast or sort-merge from measured sizes. The helpers here only add
 what the reference's dialects disagree on (whether a missing key matches a
-missing key, whether unmatched rows survive), a semi join that stays above
-an aggregation (``keep_matching``), and broadcasting only under a checked
-row bound (``bounded_broadcast``).
+missing key, whether unmatched rows survive) and broadcasting only under a
+checked row bound (``bounded_broadcast``).
 """
 
 from __future__ import annotations
@@ -67,29 +66,6 @@ def semi_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]])
     return join_on(left, right, on, "left_semi", left_alias="_sl", right_alias="_sr")
 
 
-def keep_matching(df: DataFrame, other: DataFrame, on: Sequence[tuple[str, str]],
-                  null_keys: str = "sql", unique: bool = False) -> DataFrame:
-    """Semi join that stays above an aggregation.
-
-    Catalyst pushes a LEFT SEMI join below an aggregate grouped on the join
-    key; with a shuffle join that moves raw rows through the shuffle instead
-    of the map-side-combined ones, and a hot key is no longer pre-reduced.
-    An inner join against the *distinct* keys of ``other`` returns the same
-    rows and is not moved; its exchange on the key also serves the distinct.
-    ``unique=True`` states that the keys of ``other`` are already unique (a
-    primary key such as Posts.Id) and skips the distinct.
-    """
-    keys = other.select(*[F.col(rc).alias(f"_k{i}") for i, (_, rc) in enumerate(on)])
-    if not unique:
-        keys = keys.distinct()
-    cond = None
-    for i, (lc, _) in enumerate(on):
-        a, b = F.col(f"_km.{lc}"), F.col(f"_k{i}")
-        part = a.eqNullSafe(b) if null_keys == "match" else a == b
-        cond = part if cond is None else cond & part
-    return df.alias("_km").join(keys, cond, "inner").select("_km.*")
-
-
 def anti_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
     """Rows of ``left`` without a partner."""
     return join_on(left, right, on, "left_anti", left_alias="_al", right_alias="_ar")

@@ -6,8 +6,8 @@ the reference are parameters: ``ties``, ``null_keys``, ``keep_unmatched``,
 ``empty_sum``, ``new_years`` / ``threshold``.
 
 Plan shape used by every top-k question: aggregate (partial, map-side),
-keep the groups whose key exists with a join that carries only keys and
-numbers (``keep_matching``: placed after the aggregation), take the top k
+keep the groups whose key exists with a semi join that carries only keys
+and numbers, take the top k
 (TakeOrderedAndProject: k rows per task), and only then fetch wide payload
 columns (titles, names) for those k rows by broadcasting them into a scan
 of the large table. The wide columns are never shuffled.
@@ -21,8 +21,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.columns import age_class, age_threshold, year_text
 from ..operators.aggregates import conditional_counts, count_by, rows_in_groups_sized
-from ..operators.joins import (bounded_broadcast, can_broadcast, join_on, keep_matching,
-                               key_condition, semi_join)
+from ..operators.joins import bounded_broadcast, can_broadcast, join_on, key_condition, semi_join
 from ..operators.ranking import asc, desc, rows_at_group_max, top_k, top_per_group
 from ..session import scratch_path
 
@@ -125,7 +124,7 @@ def top_authors(posts: DataFrame, users: DataFrame, k: int = 10, ties: str = "fi
         per_owner = q.groupBy("OwnerUserId").agg(
             total.alias("FavoriteTotal"), F.max("FavoriteCount").alias("MaxFavorite"))
     if not keep_unmatched:
-        per_owner = keep_matching(per_owner, users, [("OwnerUserId", "Id")], unique=True)
+        per_owner = semi_join(per_owner, users, [("OwnerUserId", "Id")])
     owners = top_k(per_owner, k, [desc("FavoriteTotal"), asc("OwnerUserId")])
     if ties == "first":
         rows = owners.select("OwnerUserId", "FavoriteTotal", F.col("best.tiebreak").alias("Id"),
@@ -156,7 +155,7 @@ def positive_answers(posts: DataFrame, k: int = 10) -> DataFrame:
     """Q2: the k posts with most positively scored answers (ties: higher Id first)."""
     pos = _answers(posts).where(F.col("Score") > 0)
     counts = count_by(pos, ["ParentId"], "PositiveAnswerCount")
-    counts = keep_matching(counts, posts, [("ParentId", "Id")], unique=True)
+    counts = semi_join(counts, posts, [("ParentId", "Id")])
     top = top_k(counts, k, [desc("PositiveAnswerCount"), desc("ParentId")])
     out = bounded_lookup(top, posts.select("Id", "Title"), [("ParentId", "Id")], k)
     out = _final_order(out, k, [desc("_r.PositiveAnswerCount"), desc("_r.ParentId")])
@@ -177,8 +176,7 @@ YEARS_BOUND = 10_000
 
 def top_question_per_year(posts: DataFrame, votes: DataFrame, ties: str = "first") -> DataFrame:
     """Q3: per year, the question with most up-votes cast in that year."""
-    counts = keep_matching(up_votes_per_year(votes), _questions(posts), [("PostId", "Id")],
-                           unique=True)
+    counts = semi_join(up_votes_per_year(votes), _questions(posts), [("PostId", "Id")])
     q = _questions(posts).select("Id", "Title")
     if ties == "all":
         # Ties have no bound by construction: measure, then choose.
@@ -231,7 +229,8 @@ def author_comments(posts: DataFrame, comments: DataFrame, k: int = 10,
     sums = comments.groupBy("PostId", "UserId").agg(F.sum("Score").alias("CommentsTotalScore"))
     q = _questions(posts).select("Id", "OwnerUserId", "Title")
     on = [("PostId", "Id"), ("UserId", "OwnerUserId")]
-    matched = keep_matching(sums, q, on, null_keys, unique=True)
+    matched = join_on(sums, q.select("Id", "OwnerUserId"), on, "left_semi", null_keys,
+                      left_alias="_s", right_alias="_q")
     top = top_k(matched, k, [desc("CommentsTotalScore"), asc("PostId")])
     out = bounded_lookup(top, q, on, k, null_keys=null_keys)
     out = _final_order(out, k, [desc("_r.CommentsTotalScore"), asc("_r.PostId")])
@@ -270,7 +269,7 @@ def new_old_counts(votes: DataFrame, new_years=("2016", "2017"), threshold=None)
 
 def _finish_q7(only_old: DataFrame, posts: DataFrame, k: int) -> DataFrame:
     q = _questions(posts).select("Id", "Title")
-    cand = keep_matching(only_old, q, [("PostId", "Id")], unique=True)
+    cand = semi_join(only_old, q, [("PostId", "Id")])
     top = top_k(cand, k, [desc("OldVotes"), asc("PostId")])
     out = bounded_lookup(top, q, [("PostId", "Id")], k)
     out = _final_order(out, k, [desc("_r.OldVotes"), asc("_r.PostId")])

@@ -17,7 +17,7 @@ ways:
 * ``join_back``: count per name, then a semi join of all badges against the
   qualifying names, the textbook form.
 
-Last, Q3's winner per year (a handful of years, so every group is hot) runs
+Then Q3's winner per year (a handful of years, so every group is hot) runs
 with Spark's partial ``WindowGroupLimit`` (``group_limit``) and with it
 switched off (``no_group_limit``).
 
@@ -122,6 +122,7 @@ def main() -> None:
     spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "-1")
     spark.sparkContext.setJobDescription("no_group_limit")
     winners.write.format("noop").mode("overwrite").save()
+
     spark.stop()
 
     stage_job, max_read = {}, {}

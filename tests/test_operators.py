@@ -81,16 +81,6 @@ def test_conditional_counts_matches_brute_force(spark, data):
     assert got == want
 
 
-def test_keep_matching_equals_semi_join(spark):
-    left = spark.createDataFrame([(1, 10), (2, 20), (None, 30), (3, 40)], "a long, n long")
-    right = spark.createDataFrame([(1,), (1,), (None,), (5,)], "b long")
-    semi = sorted(tuple(r) for r in J.semi_join(left, right, [("a", "b")]).collect())
-    kept = sorted(tuple(r) for r in J.keep_matching(left, right, [("a", "b")]).collect())
-    assert semi == kept == [(1, 10)]
-    matched = J.keep_matching(left, right, [("a", "b")], null_keys="match").collect()
-    assert sorted((r[0] is None, r[1]) for r in matched) == [(False, 10), (True, 30)]
-
-
 def test_full_outer_merges_keys(spark):
     n = spark.createDataFrame([(1, 5), (2, 1)], "PostId long, NewVotes long")
     o = spark.createDataFrame([(2, 3), (3, 4)], "PostId long, OldVotes long")
