@@ -93,3 +93,16 @@ def test_shuffle_fallback_beyond_broadcast_bound(spark, monkeypatch):
     }
     for k, df in after.items():
         assert sorted(map(tuple, df.collect()), key=repr) == before[k], k
+
+
+def test_row_counts_recorded_in_the_survey(spark):
+    """Row counts the design survey recorded for the adapter data (sf0.001)."""
+    qs = queries()
+    recorded = {"q4_accepted_gap": 10, "q6_rare_badge_users": 13, "t3_series_long": 240,
+                "t4_series_wide": 80, "w_residual_group": 224, "q3_ties_all": 105,
+                "j_null_safe": 62, "j_full_outer": 1081, "j_anti": 634, "j_left_lookup": 1500,
+                "p_between_having": 8, "q3_top_question_per_year": 7, "q1_top_authors": 10,
+                "q2_positive_answers": 10, "q5_author_comments": 10,
+                "q7_old_votes_conditional": 10}
+    for key, n in recorded.items():
+        assert qs[key](spark, SF_SMALL).count() == n, key
