@@ -5,9 +5,13 @@ expression over keys of a base table (see FIXTURES.md section 2). The NULLs
 are made on purpose from key residues, so the queries meet missing owners,
 missing favourites, missing ages and dangling accepted answers.
 
-Everything here is a lazy DataFrame: Catalyst prunes the unused columns and
-pushes filters such as ``PostTypeId = 1`` through the union of questions and
-answers, so a query over questions never touches ``lineitem``.
+The derivations are lazy DataFrames. ``ForumData`` writes each one once per
+application as parquet under the shared checkpoint folder, partitioned by
+the type codes (``PostTypeId``, ``VoteTypeId``, ``Class``), and the
+questions read those files: a question over questions scans only the
+``PostTypeId=1`` directory and never re-derives answers from ``lineitem``.
+With ``materialize=False`` the derivations are used directly and Catalyst
+still prunes columns and pushes ``PostTypeId = 1`` through the union.
 """
 
 from __future__ import annotations
