@@ -356,6 +356,16 @@ SELECT Id, OwnerUserId, Title, FavoriteCount, 'extra' AS side FROM (
   SELECT OwnerUserId, Id, Title, FavoriteCount FROM ob WHERE rk = 1
   EXCEPT ALL
   SELECT OwnerUserId, Id, Title, FavoriteCount FROM ob WHERE rn = 1) d"""),
+    "u_positions_by_tie_order": _with(f"""{POS_COUNTS},
+a AS (SELECT ParentId, PositiveAnswerCount,
+             row_number() OVER (ORDER BY PositiveAnswerCount DESC, ParentId DESC) AS position
+      FROM pc),
+b AS (SELECT ParentId, PositiveAnswerCount,
+             row_number() OVER (ORDER BY PositiveAnswerCount DESC, ParentId ASC) AS position
+      FROM pc)
+SELECT *, 'missing' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) m
+UNION ALL
+SELECT *, 'extra' AS side FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) e"""),
     "c_year_text": _with("SELECT PostId, strftime(CreationDate, '%Y') AS Year FROM votes"),
     "c_year_prefix": _with("SELECT PostId, substr(CAST(CreationDate AS VARCHAR), 1, 4) AS Year FROM votes"),
     "c_age_class": _with(f"{_classified()} SELECT PostId, VoteAge FROM cls"),

@@ -550,6 +550,17 @@ def u_frames_equal_diff(fd):
     return frames_diff(_owner_best(fd, "first"), _owner_best(fd, "all"))
 
 
+@query
+def u_positions_by_tie_order(fd):
+    """The same ranking with ties broken two ways: rows whose position
+    differs (the tie-order mismatch of unordered comparisons, made visible
+    by the ordered mode of the comparison)."""
+    counts = _positive_counts(fd)
+    a = R.with_position(counts, [R.desc("PositiveAnswerCount"), R.desc("ParentId")])
+    b = R.with_position(counts, [R.desc("PositiveAnswerCount"), R.asc("ParentId")])
+    return frames_diff(a, b)
+
+
 # ------------------------------------------------------------ scalar functions
 @query
 def c_year_text(fd):
