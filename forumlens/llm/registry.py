@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import oracle, quality
+from . import bpe, langid, oracle, quality
 
 
 def queries() -> dict[str, Callable]:
     return {
+        "op2_language_id": langid.op2_language_id,
+        "op5_bpe": bpe.op5_bpe,
         "op7_quality_rules": quality.op7_quality_rules,
     }
 
