@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .arrowtext import row_groups, utf8
 
 ORDER = 3
-SAMPLE_DOCS = 2000
+SAMPLE_DOCS = 1000        # up to 1000, Spark cuts the groups before the shuffle
 SAMPLE_BYTES = 1 << 20
 MOST_NODES = 1 << 15      # contexts kept per length, the most frequent first
 CHUNK = 1 << 20           # bytes scored at a time
@@ -36,12 +36,15 @@ CHUNK = 1 << 20           # bytes scored at a time
 def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> DataFrame:
     """(lang, text): the bounded sample. ``docs`` has doc_id, text and lang."""
     by = Window.partitionBy("lang").orderBy("order", "doc_id")
-    return (docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-            .select("lang", "text", "doc_id", F.xxhash64("doc_id").alias("order"))
-            .withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= sample_docs)
-            .withColumn("before", F.coalesce(F.sum(F.octet_length("text")).over(
-                by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-            .where(F.col("before") < sample_bytes).select("lang", "text"))
+    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn(
+        "order", F.xxhash64("doc_id"))
+    # ids and lengths only: the limit applies before the shuffle, texts never meet by language
+    first = (labelled.select("lang", "order", "doc_id", F.octet_length("text").alias("bytes"))
+             .withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= sample_docs))
+    before = F.coalesce(F.sum("bytes").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    last = (first.withColumn("before", before).where(F.col("before") < sample_bytes)
+            .groupBy("lang").agg(F.max("order").alias("last")))
+    return labelled.join(last, "lang").where(F.col("order") <= F.col("last")).select("lang", "text")
 
 
 def _grams(lang_texts: pd.DataFrame) -> pd.DataFrame:
