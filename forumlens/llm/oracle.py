@@ -48,5 +48,12 @@ FROM m"""
 
 
 SQL = {
+    "op8_warc_index": """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
+SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest,
+       CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (d)""",
     "op7_quality_rules": f"SELECT * EXCLUDE (clean_text) FROM ({quality_sql()})",
 }

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import bpe, langid, oracle, quality
+from . import bpe, langid, mixing, oracle, quality, warc
 
 
 def queries() -> dict[str, Callable]:
     return {
         "op2_language_id": langid.op2_language_id,
+        "op3_temperature_mixing": mixing.op3_temperature_mixing,
         "op5_bpe": bpe.op5_bpe,
         "op7_quality_rules": quality.op7_quality_rules,
+        "op8_warc_index": warc.op8_warc_index,
     }
 
 
