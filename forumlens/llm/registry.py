@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import bpe, langid, mixing, oracle, quality, warc
+from . import bpe, langid, linedup, mixing, oracle, parity, quality, warc
 
 
 def queries() -> dict[str, Callable]:
@@ -14,6 +14,8 @@ def queries() -> dict[str, Callable]:
         "op5_bpe": bpe.op5_bpe,
         "op7_quality_rules": quality.op7_quality_rules,
         "op8_warc_index": warc.op8_warc_index,
+        "op9_parity_join": parity.op9_parity_join,
+        "op10_line_alignment": linedup.op10_line_alignment,
     }
 
 
