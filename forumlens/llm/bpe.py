@@ -24,18 +24,21 @@ import os
 import re
 import tempfile
 import unicodedata
-from collections import Counter
+from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .arrowtext import row_groups, utf8
+
 LEXICON_WORDS = 30_000     # bound of the broadcast lexicon
 LEAST_COUNT = 3
-CACHED_WORDS = 200_000     # per worker; then the cache starts anew
+BATCH_BYTES = 8 << 20      # encoded at a time; a longer text stands alone
 # White space in the pattern's sense; str.split() takes four more characters for it.
 WHITE = "\t-\r\x20\x85\xa0  -     　"
 _MORE = re.compile("[\x1c-\x1f]")
@@ -49,6 +52,26 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+class Lists(NamedTuple):
+    """Lists of integers end to end: list i is ``flat[bounds[i]:bounds[i + 1]]``."""
+
+    flat: np.ndarray
+    bounds: np.ndarray
+
+    def take(self, index: np.ndarray) -> Lists:
+        """The lists at ``index``, in that order."""
+        start, size = self.bounds[index], np.diff(self.bounds)[index]
+        bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+        return Lists(self.flat[np.repeat(start - bounds[:-1], size) + np.arange(bounds[-1])], bounds)
+
+    def joined(self, groups: np.ndarray) -> Lists:
+        """Neighbouring lists put together: group i is lists ``groups[i]`` to ``groups[i + 1]``."""
+        return Lists(self.flat, self.bounds[groups])
+
+    def list(self, i: int) -> list[int]:
+        return self.flat[self.bounds[i]:self.bounds[i + 1]].tolist()
+
+
 class Vocabulary:
     """Tokens, merge ranks, pattern and special tokens of a vocabulary file."""
 
@@ -58,12 +81,19 @@ class Vocabulary:
         model = spec["model"]
         self.ids = model["vocab"]
         self.end = model["end_of_word_suffix"] or ""
-        self.rank = {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(model["merges"])}
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pattern = regex.compile(pattern, regex.V0)
-        self.bytes = byte_alphabet()
+        alphabet = byte_alphabet()
+        self.byte_ids = np.array([self.ids.get(c, -1) for c in alphabet])
+        self.end_ids = np.array([self.ids.get(c + self.end, -1) for c in alphabet])
+        self.size, self.no_rank = max(self.ids.values()) + 1, len(merges)
+        pairs = np.array([self.ids[x] * self.size + self.ids[y] for x, y in merges], np.int64)
+        self.merged = np.array([self.ids[x + y] for x, y in merges], np.int64)
+        order = np.argsort(pairs, kind="stable")
+        self.pair_keys, self.pair_ranks = pairs[order], order
         self.find_special = re.compile("(" + "|".join(
             re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
 
@@ -72,24 +102,52 @@ class Vocabulary:
         chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
         return self.pattern.findall(chunk)
 
-    def merge(self, word: str) -> list[int]:
-        """Ids of one word: merge the pair of lowest rank, leftmost first, until none is left."""
-        parts = [self.bytes[b] for b in word.encode()]
-        parts[-1] += self.end
-        while len(parts) > 1:
-            best = min(zip(parts, parts[1:]), key=lambda p: self.rank.get(p, len(self.rank)))
-            if best not in self.rank:
-                break
-            out, i = [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and parts[i] == best[0] and parts[i + 1] == best[1]:
-                    out.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return [self.ids[p] for p in parts if p in self.ids]
+    def merge(self, pieces: list[str]) -> Lists:
+        """Ids of many words at once: in each the pair of lowest rank goes, leftmost first, until none is left."""
+        raw = [p.encode() for p in pieces]
+        bounds = np.cumsum([0, *map(len, raw)])
+        if not bounds[-1]:
+            return Lists(np.zeros(0, np.int64), bounds)
+        symbol = self.byte_ids[np.frombuffer(b"".join(raw), np.uint8)]
+        filled = np.diff(bounds) > 0
+        last = bounds[1:][filled] - 1
+        symbol[last] = self.end_ids[np.frombuffer(b"".join(raw), np.uint8)[last]]
+        word = np.repeat(np.arange(len(raw)), np.diff(bounds))
+        done_word, done_symbol = [], []
+        while len(symbol):
+            rank = np.full(len(symbol), self.no_rank)
+            pair = word[1:] == word[:-1]
+            rank[:-1][pair] = self._ranks(symbol[:-1][pair], symbol[1:][pair])
+            first = np.flatnonzero(np.r_[True, ~pair])
+            best = np.minimum.reduceat(rank, first)
+            best = np.repeat(best, np.diff(np.r_[first, len(symbol)]))
+            live = best < self.no_rank
+            if not live.all():  # words without a pair left are done
+                done_word.append(word[~live])
+                done_symbol.append(symbol[~live])
+                symbol, word, rank, best = symbol[live], word[live], rank[live], best[live]
+                if not len(symbol):
+                    break
+            take = rank == best
+            run = np.flatnonzero(take & np.r_[False, take[:-1]])
+            for i in run:  # overlapping equal pairs, as in "aaa": the left one goes first
+                take[i] &= not take[i - 1]
+            at = np.flatnonzero(take)
+            symbol[at] = self.merged[rank[at]]
+            keep = np.ones(len(symbol), bool)
+            keep[at + 1] = False
+            symbol, word = symbol[keep], word[keep]
+        words, symbols = np.concatenate(done_word), np.concatenate(done_symbol)
+        order = np.argsort(words, kind="stable")
+        known = symbols[order] >= 0
+        words, symbols = words[order][known], symbols[order][known]
+        return Lists(symbols, np.searchsorted(words, np.arange(len(raw) + 1)))
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a * self.size + b
+        at = np.searchsorted(self.pair_keys, key)
+        at[at == len(self.pair_keys)] = 0
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], self.no_rank)
 
     def __reduce__(self):
         raise TypeError("a vocabulary is read where it is used")
@@ -182,7 +240,9 @@ class Transducer:
             parts.append(np.frombuffer(blob, np.int32, int(n), at))
             at += 4 * int(n)
         self.first, self.final, arcs, self.bounds, self.flat = parts
-        self.label, self.to, self.out = arcs[0::3], arcs[1::3], arcs[2::3]
+        self.to, self.out = arcs[1::3], arcs[2::3]
+        state = np.repeat(np.arange(len(self.first) - 1, dtype=np.int64), np.diff(self.first))
+        self.arc_keys = state * 256 + arcs[0::3]      # rising: states in order, labels in order
 
     @classmethod
     def mapped(cls, blob: bytes) -> Transducer:
@@ -195,59 +255,102 @@ class Transducer:
         os.unlink(path)
         return cls(view)
 
-    def _output(self, which: int) -> list[int]:
-        return self.flat[self.bounds[which]:self.bounds[which + 1]].tolist()
-
-    def get(self, word: bytes) -> list[int] | None:
-        """The ids of ``word``, None if the lexicon lacks it."""
-        state, ids = self.start, []
-        for byte in word:
-            a, b = self.first[state], self.first[state + 1]
-            at = a + int(np.searchsorted(self.label[a:b], byte))
-            if at == b or self.label[at] != byte:
-                return None
-            ids += self._output(self.out[at])
-            state = self.to[at]
-        last = self.final[state]
-        return None if last < 0 else ids + self._output(last)
+    def walk(self, pieces: list[bytes]) -> tuple[np.ndarray, Lists]:
+        """Which of many words the lexicon holds, and the ids of those; all words advance together."""
+        size = np.array([len(p) for p in pieces], np.int64)
+        start = np.cumsum(size) - size
+        raw = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64)
+        state = np.full(len(pieces), self.start, np.int64)
+        alive = np.ones(len(pieces), bool)
+        words, outs = [], []
+        for depth in range(int(size.max(initial=0))):
+            at = np.flatnonzero(alive & (size > depth))
+            if not len(at):
+                break
+            key = state[at] * 256 + raw[start[at] + depth]
+            arc = np.searchsorted(self.arc_keys, key)
+            arc[arc == len(self.arc_keys)] = 0
+            found = self.arc_keys[arc] == key if len(self.arc_keys) else np.zeros(len(at), bool)
+            alive[at[~found]] = False
+            at, arc = at[found], arc[found]
+            state[at] = self.to[arc]
+            words.append(at)
+            outs.append(self.out[arc])
+        alive &= self.final[state] >= 0
+        words.append(np.flatnonzero(alive))
+        outs.append(self.final[state[alive]])
+        words, outs = np.concatenate(words), np.concatenate(outs)
+        order = np.argsort(words, kind="stable")
+        order = order[alive[words[order]]]
+        words, parts = words[order], Lists(self.flat, self.bounds).take(outs[order])
+        held = np.flatnonzero(alive)
+        return alive, parts.joined(np.searchsorted(words, np.r_[held, len(pieces)]))
 
 
 class Encoder:
-    """Encodes texts with a vocabulary and a lexicon; each distinct run of characters once."""
+    """Encodes batches of texts; each distinct run of characters of a batch once."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Transducer | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
-        self.word_cache: dict[str, list[int]] = {}
-        self.chunk_cache: dict[str, np.ndarray] = {}
-
-    def word(self, piece: str) -> list[int]:
-        ids = self.word_cache.get(piece)
-        if ids is None:
-            ids = self.lexicon.get(piece.encode()) if self.lexicon else None
-            if ids is None:
-                ids = self.vocabulary.merge(piece)
-            if len(self.word_cache) >= CACHED_WORDS:
-                self.word_cache.clear()
-            self.word_cache[piece] = ids
-        return ids
-
-    def chunk(self, chunk: str) -> np.ndarray:
-        ids = self.chunk_cache.get(chunk)
-        if ids is None:
-            ids = np.array([i for piece in self.vocabulary.pieces(chunk) for i in self.word(piece)], np.uint32)
-            if len(self.chunk_cache) >= CACHED_WORDS:
-                self.chunk_cache.clear()
-            self.chunk_cache[chunk] = ids
-        return ids
-
-    def encode(self, text: str) -> np.ndarray:
+        self.names = np.empty(max(vocabulary.tokens) + 1, object)
+        self.names[list(vocabulary.tokens)] = list(vocabulary.tokens.values())
+
+    def pieces(self, pieces: list[str]) -> Lists:
+        """Ids of distinct words: from the lexicon, merged where it lacks them."""
+        if not self.lexicon:
+            return self.vocabulary.merge(pieces)
+        held, known = self.lexicon.walk([p.encode() for p in pieces])
+        merged = self.vocabulary.merge([p for p, h in zip(pieces, held) if not h])
+        both = Lists(np.concatenate([known.flat, merged.flat]).astype(np.int64),
+                     np.concatenate([known.bounds, known.bounds[-1] + merged.bounds[1:]]))
+        place = np.empty(len(pieces), np.int64)
+        place[held] = np.arange(held.sum())
+        place[~held] = np.arange((~held).sum()) + held.sum()
+        return both.take(place)
+
+    def encode(self, texts: list[str | None], decode: bool = True) -> tuple[Lists, list[str] | None]:
+        """Ids of each text, and its decoding."""
+        chunks: list[str] = []
+        size = [0]
+        for text in texts:
+            if text:
+                chunks += self._chunks(text)
+            size.append(len(chunks))
+        code, distinct = pd.factorize(np.array(chunks, object))
+        words: list[str] = []
+        per_chunk = [0]
+        for chunk in distinct:
+            words += self.vocabulary.pieces(chunk) if chunk[0] != " " else [chunk]
+            per_chunk.append(len(words))
+        word_code, words = pd.factorize(np.array(words, object))
+        special = {i: self.vocabulary.special[w[1:]] for i, w in enumerate(words) if w[0] == " "}
+        ids = self.pieces(["" if i in special else w for i, w in enumerate(words)])
+        if special:
+            at = np.arange(len(words))
+            more = np.array(list(special.values()), np.int64)
+            ids = Lists(np.r_[ids.flat, more], np.r_[ids.bounds, ids.bounds[-1] + 1 + np.arange(len(more))])
+            at[list(special)] = len(words) + np.arange(len(more))
+            ids = ids.take(at)
+        per_chunk_ids = ids.take(word_code).joined(np.array(per_chunk))
+        decoded = None
+        if decode:
+            some = np.diff(per_chunk_ids.bounds) > 0
+            names = self.names[per_chunk_ids.flat].tolist()
+            bounds = per_chunk_ids.bounds.tolist()
+            text_of = np.array([" ".join(names[a:b]) for a, b in zip(bounds, bounds[1:])] + [""], object)
+            decoded = [" ".join(text_of[c[some[c]]].tolist()) for c in (
+                code[a:b] for a, b in zip(size, size[1:]))]
+        return per_chunk_ids.take(code).joined(np.array(size)), decoded
+
+    def _chunks(self, text: str) -> list[str]:
+        """Runs between white space; a special token is a run marked by a leading blank."""
         special = self.vocabulary.find_special
-        if special and special.search(text):
-            parts = [np.array([self.vocabulary.special[p]], np.uint32) if p in self.vocabulary.special
-                     else self.encode(p) for p in special.split(text) if p]
-        else:
-            parts = [self.chunk(c) for c in runs(text)]
-        return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+        if not special or not special.search(text):
+            return runs(text)
+        out: list[str] = []
+        for part in special.split(text):
+            out += [" " + part] if part in self.vocabulary.special else runs(part)
+        return out
 
 
 def runs(text: str) -> list[str]:
@@ -266,12 +369,13 @@ def frequent_words(docs: DataFrame, vocabulary_path: str, most: int = LEXICON_WO
     """
     def count(batches):
         for batch in batches:
-            counts: Counter = Counter()
+            chunks: list[str] = []
             for text in batch.column("text").to_pylist():
                 if text:
-                    counts.update(runs(text))
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()),
-                                              pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+                    chunks += runs(text)
+            code, distinct = pd.factorize(np.array(chunks, object))
+            yield pa.RecordBatch.from_arrays([pa.array(distinct, pa.string()), pa.array(
+                np.bincount(code, minlength=len(distinct)))], names=["word", "n"])
 
     counts = docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     top = counts.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(most)
@@ -285,25 +389,22 @@ def encode(docs: DataFrame, vocabulary_path: str, keep: tuple[str, ...] = ("doc_
 
     ``vocabulary_path`` is read on every worker and must be there on all nodes.
     """
-    vocabulary = Vocabulary(vocabulary_path)
-    lexicon = {w.encode(): vocabulary.merge(w) for w in frequent_words(docs, vocabulary_path, most)}
+    words = frequent_words(docs, vocabulary_path, most)
+    ids = Vocabulary(vocabulary_path).merge(words)
+    lexicon = {w.encode(): ids.list(i) for i, w in enumerate(words)}
     blob = docs.sparkSession.sparkContext.broadcast(Transducer.compile(lexicon))
 
     def run(batches):
-        words = Vocabulary(vocabulary_path)
-        encoder = Encoder(words, Transducer.mapped(blob.value))
-        names = np.empty(max(words.tokens) + 1, object)
-        names[list(words.tokens)] = list(words.tokens.values())
+        encoder = Encoder(Vocabulary(vocabulary_path), Transducer.mapped(blob.value))
         for batch in batches:
-            out = [encoder.encode(t) if t else np.zeros(0, np.uint32) for t in batch.column("__text").to_pylist()]
-            for a, b in _slices(out):
-                part = out[a:b]
-                flat = np.concatenate(part).astype(np.int32)
-                bounds = np.cumsum([0, *map(len, part)]).astype(np.int32)
-                columns = [*(batch.column(c).slice(a, b - a) for c in keep),
-                           pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))]
+            _, offsets = utf8(batch.column("__text"))
+            for a, b in row_groups(offsets, BATCH_BYTES):
+                part = batch.slice(a, b - a)
+                ids, decoded = encoder.encode(part.column("__text").to_pylist(), tokens)
+                columns = [*(part.column(c) for c in keep),
+                           pa.ListArray.from_arrays(pa.array(ids.bounds, pa.int32()), pa.array(ids.flat, pa.int32()))]
                 if tokens:
-                    columns.append(pa.array([" ".join(names[x].tolist()) for x in part], pa.string()))
+                    columns.append(pa.array(decoded, pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, "ids", "decoded"][:len(columns)])
 
     schema = docs.select(*keep).schema.add("ids", T.ArrayType(T.IntegerType()))
@@ -312,18 +413,6 @@ def encode(docs: DataFrame, vocabulary_path: str, keep: tuple[str, ...] = ("doc_
     return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, schema)
 
 
-def _slices(parts: list[np.ndarray], most: int = 1 << 20):
-    """Runs of rows with about ``most`` tokens each."""
-    a, n = 0, 0
-    for i, x in enumerate(parts):
-        if n and n + len(x) > most:
-            yield a, i
-            a, n = i, 0
-        n += len(x)
-    if len(parts) > a:
-        yield a, len(parts)
-
-
 def digests(encoded: DataFrame) -> DataFrame:
     """n_tokens and SHA-256 of ids and decoding, beside the other columns."""
     keep = [c for c in encoded.columns if c not in ("ids", "decoded")]
