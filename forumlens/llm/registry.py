@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import bpe, langid, linedup, mixing, oracle, parity, quality, warc
+from . import bpe, langid, linedup, mixing, oracle, parity, quality, suffix, warc
 
 
 def queries() -> dict[str, Callable]:
     return {
+        "op1_suffix_dedup": suffix.op1_suffix_dedup,
         "op2_language_id": langid.op2_language_id,
         "op3_temperature_mixing": mixing.op3_temperature_mixing,
         "op5_bpe": bpe.op5_bpe,
