@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import bpe, langid, linedup, mixing, oracle, parity, quality, suffix, warc
+from . import bpe, fmindex, langid, linedup, mixing, oracle, parity, quality, suffix, warc
 
 
 def queries() -> dict[str, Callable]:
@@ -12,6 +12,7 @@ def queries() -> dict[str, Callable]:
         "op1_suffix_dedup": suffix.op1_suffix_dedup,
         "op2_language_id": langid.op2_language_id,
         "op3_temperature_mixing": mixing.op3_temperature_mixing,
+        "op4_fm_index_dedup": fmindex.op4_fm_index_dedup,
         "op5_bpe": bpe.op5_bpe,
         "op7_quality_rules": quality.op7_quality_rules,
         "op8_warc_index": warc.op8_warc_index,

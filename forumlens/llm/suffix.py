@@ -40,6 +40,11 @@ BASE = 1 << 12              # shorter strings of names are sorted directly
 NAMES = 1 << 10             # and those with more names than this
 
 
+def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
+    """Order of the suffixes of a text over a large alphabet, right to ``depth`` symbols."""
+    return _doubled(text, depth)
+
+
 class RunQueue:
     """One run of tuples per key, appended at the end, taken whole from the start."""
 
