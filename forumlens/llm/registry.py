@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import bpe, fmindex, langid, linedup, mixing, oracle, parity, quality, suffix, warc
+from . import ann, bpe, fmindex, langid, linedup, mixing, oracle, parity, quality, suffix, warc
 
 
 def queries() -> dict[str, Callable]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable]:
         "op3_temperature_mixing": mixing.op3_temperature_mixing,
         "op4_fm_index_dedup": fmindex.op4_fm_index_dedup,
         "op5_bpe": bpe.op5_bpe,
+        "op6_robust_graph": ann.op6_robust_graph,
         "op7_quality_rules": quality.op7_quality_rules,
         "op8_warc_index": warc.op8_warc_index,
         "op9_parity_join": parity.op9_parity_join,
