@@ -1,17 +1,54 @@
-"""The corpus pipeline: documents through the stages, each written and reread."""
+"""The corpus pipeline: documents through five stages, each written and reread.
+
+Every stage works on all that the one before kept. The first four return the columns of
+the documents; the last returns token ids.
+"""
 
 from __future__ import annotations
 
-from forumlens.llm import quality
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from forumlens.llm import bpe, linedup, mixing, parity, quality
 from forumlens.llm.store import written
 
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
 
 def quality_rules(spark, docs, sf_dir):
     """Documents that the quality rules reject go; the others stay whole."""
     return quality.clean_documents(docs, replace_text=False)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def line_dedup(spark, docs, sf_dir):
+    """Common blocks go from the later document of each aligned pair; emptied documents go."""
+    left = linedup.dedup_lines(docs)
+    return left.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*docs.columns)
+
+
+def near_duplicates(spark, docs, sf_dir):
+    """Of each group of near duplicates the document with the smallest id stays."""
+    groups = parity.near_duplicates(docs)
+    others = groups.where("component_id < doc_id").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix_sources(spark, docs, sf_dir):
+    """Small sources are repeated, up to twice as often as the largest; every document appears."""
+    return mixing.draw(docs, budget="cover", max_repeats=2.0)
+
+
+def encode(spark, docs, sf_dir):
+    """Token ids of every drawn document."""
+    encoded = bpe.encode(docs, VOCABULARY, ("doc_id", "source"), decode=False)
+    return encoded.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates),
+          ("mix_sources", mix_sources), ("encode", encode)]
+
+# Hashes, patience alignment, components and merges by rank are beyond SQL; tests/llm holds each
+# stage against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -384,8 +384,8 @@ def frequent_words(docs: DataFrame, vocabulary_path: str, most: int = LEXICON_WO
 
 
 def encode(docs: DataFrame, vocabulary_path: str, keep: tuple[str, ...] = ("doc_id",), most: int = LEXICON_WORDS,
-           tokens: bool = True) -> DataFrame:
-    """``keep`` columns with ``ids`` (array of int) and, with ``tokens``, ``decoded``.
+           decode: bool = True) -> DataFrame:
+    """``keep`` columns with ``ids`` (array of int) and, with ``decode``, ``decoded``.
 
     ``vocabulary_path`` is read on every worker and must be there on all nodes.
     """
@@ -400,15 +400,15 @@ def encode(docs: DataFrame, vocabulary_path: str, keep: tuple[str, ...] = ("doc_
             _, offsets = utf8(batch.column("__text"))
             for a, b in row_groups(offsets, BATCH_BYTES):
                 part = batch.slice(a, b - a)
-                ids, decoded = encoder.encode(part.column("__text").to_pylist(), tokens)
+                ids, decoded = encoder.encode(part.column("__text").to_pylist(), decode)
                 columns = [*(part.column(c) for c in keep),
                            pa.ListArray.from_arrays(pa.array(ids.bounds, pa.int32()), pa.array(ids.flat, pa.int32()))]
-                if tokens:
+                if decode:
                     columns.append(pa.array(decoded, pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, "ids", "decoded"][:len(columns)])
 
     schema = docs.select(*keep).schema.add("ids", T.ArrayType(T.IntegerType()))
-    if tokens:
+    if decode:
         schema = schema.add("decoded", "string")
     return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, schema)
 

@@ -96,19 +96,17 @@ def plan(stats: DataFrame, budget: float | str | None = None, entropy_share: flo
     # the added 1e-9 keeps a source whose budget is a whole number of epochs from losing one to rounding
     epochs = F.col("budget") / F.col("tokens") + 1e-9
     return (stats.withColumn("share", share).withColumn("exponent", F.lit(exponent)).withColumn("weight", weight)
-            .withColumn("budget", F.floor(weight * F.lit(float(total if budget is None else budget))))
+            .withColumn("budget", F.round(weight * F.lit(float(total if budget is None else budget))).cast("long"))
             .withColumn("epochs", F.when(F.col("tokens") > 0, F.floor(epochs)).otherwise(F.lit(0)).cast("int"))
             .withColumn("rest", F.greatest(F.lit(0), F.col("budget") - F.col("epochs") * F.col("tokens")))
             .withColumn("blocks", F.ceil(F.sqrt("docs")).cast("long")))
 
 
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text",
-        carry: tuple[str, ...] = (), seed: int = SEED, **targets) -> DataFrame:
-    """One row per drawn document: key, source, tokens, epoch, block, order_key and ``carry``."""
+        seed: int = SEED, **targets) -> DataFrame:
+    """One row per drawn document: key, source, tokens, epoch, block, order_key."""
     pool = written(docs.select(F.col(key).alias("__key"), F.col(source).alias("__source"),
-                               count_tokens(F.col(text)).alias("__tokens"), F.struct(
-                                   *(F.col(c).alias(c) for c in carry), F.lit(0).alias("__")).alias("__carry")),
-                   "mix-pool")
+                               count_tokens(F.col(text)).alias("__tokens")), "mix-pool")
     stats = written(pool.groupBy(F.col("__source").alias("source")).agg(
         F.count("*").alias("docs"), F.sum("__tokens").alias("tokens")), "mix-sources")
     quotas = written(plan(stats, **targets), "mix-plan")
@@ -133,11 +131,16 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
         Window.unboundedPreceding, 0)
     cut = (last.where(~inside).withColumn("run", F.sum("__tokens").over(so_far))
            .where(F.col("before") + F.col("run") <= F.col("rest")))
-    columns = [F.col("__key").alias(key), F.col("__source").alias(source), F.col("__tokens").alias("tokens"), *PLACE,
-               *(F.col("__carry")[c].alias(c) for c in carry)]
+    columns = [F.col("__key").alias(key), F.col("__source").alias(source), F.col("__tokens").alias("tokens"), *PLACE]
     return whole.select(columns).unionByName(last.where(inside).select(columns)).unionByName(cut.select(columns))
 
 
+def draw(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+    """``docs`` mixed: every row as often as :func:`mix` draws its document, columns as before."""
+    drawn = mix(docs, key, **options).select(F.col(key).alias("__drawn"), "epoch").distinct()
+    return docs.join(drawn, docs[key].eqNullSafe(F.col("__drawn"))).select(*(docs[c] for c in docs.columns))
+
+
 def op3_temperature_mixing(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
     return mix(docs)
