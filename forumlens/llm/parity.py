@@ -16,7 +16,7 @@ the fewest that leave every one of its sets more occupied lanes than it may lose
 found by an aggregation over all sets. Small sets use a lane per shingle.
 
 Only components are asked for, so candidates are taken in two rounds: first each
-document against the smallest surviving one of its lanes, then, between different
+document against one surviving hub of its lanes, then, between different
 components only, all pairs that agree in one of a document's rarest lanes (the
 prefix that any linked pair must share). No pair is lost and large groups of
 copies need about one comparison a member.
@@ -42,7 +42,8 @@ from .store import written
 
 WORDS, SIMILARITY = 5, 75          # shingle length; percent
 SMALL_BAND = 6                     # sets under 2^6 shingles have a lane per shingle
-LANES = (1.25, 2.0, 4.0, 0.0)      # lanes to the band's lower edge; 0: a lane per shingle
+LANES = (0.9, 1.5, 0.0)            # lanes to the band's lower edge; 0: a lane per shingle
+LARGE_GROUP = 16                   # groups of a lane from this size on have their hub chosen
 CHUNK = 1 << 21
 
 
@@ -210,6 +211,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     lanes = written(shared.join(enough.select("doc", "place"), ["doc", "place"], "left_semi"), "parity-lanes")
     groups = lanes.groupBy("key").agg(F.min("doc").alias("first"), F.count("*").alias("size")).where("size > 1")
     lanes = written(lanes.join(groups, "key"), "parity-groups")
+    # the hub of a large group: the member that agrees with most others over all its lanes
+    large = lanes.where(F.col("size") >= LARGE_GROUP)
+    weight = large.groupBy("doc").agg(F.sum("size").alias("weight"))
+    hubs = large.join(weight, "doc").groupBy("key").agg(F.max(F.struct("weight", (-F.col("doc")).alias("of"))).alias("hub"))
+    hubs = hubs.select("key", (-F.col("hub.of")).alias("hub"))
 
     def sets_of(ids: DataFrame) -> DataFrame:
         def run(batches):
@@ -223,7 +229,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     sets = written(sets_of(lanes.select("doc").distinct()), "parity-sets")
     need = F.col("place") % (1 << 40)
-    stars = (lanes.where("doc > first").groupBy(F.col("doc").alias("x"), F.col("first").alias("y"), "place")
+    starred = lanes.join(hubs, "key", "left").withColumn("hub", F.coalesce("hub", "first")).where("doc <> hub")
+    stars = (starred.groupBy(F.col("doc").alias("x"), F.col("hub").alias("y"), "place")
              .agg(F.count("*").alias("have")).where(F.col("have") >= need).select("x", "y").distinct())
     links = written(_verify(stars, sets), "parity-links")
     found = written(components(links, "x", "y"), "parity-found")
