@@ -128,7 +128,7 @@ def _fetch(docs: DataFrame, wanted: DataFrame, kind: str, window: int) -> DataFr
                     [*(pa.array(field[x][lo:hi]) for x in ("h", "c", "times", "first")), pa.array(pieces, pa.binary()),
                      pa.array(hashes, pa.list_(pa.int64()))], names=["h", "c", "times", "first", "piece", "hashes"])
 
-    return docs.join(wanted, docs["doc"].eqNullSafe(wanted["of"])).select("__text", "wants").mapInArrow(
+    return docs.join(wanted, docs["doc"] == wanted["of"]).select("__text", "wants").mapInArrow(
         run, "h long, c long, times long, first long, piece binary, hashes array<long>")
 
 
@@ -185,7 +185,7 @@ def repeated_windows(docs: DataFrame, kind: str, window: int, k: int, index: Cal
                      alone: Column, hit: Callable) -> DataFrame:
     """(of, ranges): per document the ranges [a, b) of window starts that are hits.
 
-    ``docs`` has doc and __text. ``index(symbols, bounds, times, first)`` gives, per context,
+    ``docs`` has doc (not null) and __text. ``index(symbols, bounds, times, first)`` gives, per context,
     starts and values of runs of windows; ``gather`` is the same as an aggregate over
     the columns times and first, and ``alone`` for a whole anchor (columns total, first).
     ``hit(value, doc)`` decides.

@@ -16,8 +16,8 @@ A window that starts at two places anywhere is repeated, and all bytes under
 repeated windows go, judged on the input.
 
 Defined results: null is empty text; texts shorter than the window lose nothing;
-overlapping places count, also in one text; equal rows repeat each other. A null id
-is an id. Cuts may split a multi-byte character: results are bytes.
+overlapping places count, also in one text; equal rows repeat each other. Rows with
+a null id are told apart by their texts. Cuts may split a multi-byte character: results are bytes.
 """
 
 from __future__ import annotations
@@ -342,9 +342,11 @@ def repeated(symbols: np.ndarray, bounds: np.ndarray, times: np.ndarray, first:
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = MIN_BYTES) -> DataFrame:
     """``key``, kept (binary), n_bytes, n_removed, n_spans of every document."""
-    source = docs.select(F.col(key).alias("doc"), F.col(text).alias("__text"))
+    unnamed = F.xxhash64(F.col(text)).bitwiseOR(F.lit(-1 << 63))     # a negative number
+    source = docs.select(F.coalesce(F.col(key), unnamed).alias("doc"), F.col(key).alias("__key"),
+                         F.col(text).alias("__text"))
     ranges = repeated_windows(
-        source, "bytes", window, min(KEY_BYTES, window), lambda *a: repeated(*a, window=window),
+        source.select("doc", "__text"), "bytes", window, min(KEY_BYTES, window), lambda *a: repeated(*a, window=window),
         F.sum("times"), F.col("total"), lambda value, doc: value >= 2)
     schema = docs.select(F.col(key)).schema.add("kept", "binary")
     for c in ("n_bytes", "n_removed", "n_spans"):
@@ -367,10 +369,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
                 rows.append((data[np.cumsum(step[:-1]) == 0].tobytes(), len(data), int((b - a).sum()), len(a)))
             kept, size, removed, spans = zip(*rows) if rows else ((),) * 4
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(kept, pa.binary()), *(pa.array(x, pa.int64()) for x in (size, removed, spans))],
+                [batch.column("__key"), pa.array(kept, pa.binary()), *(pa.array(x, pa.int64()) for x in (size, removed, spans))],
                 names=schema.names)
 
-    return source.join(ranges, source["doc"].eqNullSafe(ranges["of"]), "left").select("doc", "__text", "ranges").mapInArrow(
+    return source.join(ranges, source["doc"] == ranges["of"], "left").select("__key", "__text", "ranges").mapInArrow(
         cut, schema)
 
 
