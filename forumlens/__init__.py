@@ -2,8 +2,7 @@
 
 Sub-packages: ``sources`` (readers, writers, adapter views), ``functions``
 (column expressions), ``operators`` (ranking, joins, aggregation,
-comparison), ``plans`` (the composite questions and activity series) and
-``streaming`` (see its docstring).
+comparison) and ``plans`` (the composite questions and activity series).
 """
 
 __version__ = "0.1.0"

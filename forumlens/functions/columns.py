@@ -56,7 +56,9 @@ def pad_left(value: ColumnLike, width: int = 2, pad: str = "0") -> Column:
 def month_key(year: ColumnLike, month: ColumnLike) -> Column:
     """'YYYY-MM' text key; sorts chronologically thanks to the padding.
     Missing year or month gives a missing key (``concat`` propagates NULL,
-    where ``concat_ws`` would silently drop the part)."""
+    where ``concat_ws`` would silently drop the part), as does a month
+    outside 1..12."""
+    month = F.when(_c(month).cast("string").try_cast("int").between(1, 12), _c(month))
     return F.concat(_c(year).cast("string"), F.lit("-"), pad_left(month, 2, "0"))
 
 

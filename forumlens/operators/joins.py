@@ -3,8 +3,7 @@
 Plain equi-joins stay plain ``DataFrame.join`` calls so that Catalyst and AQE
 choose broadcast or sort-merge from measured sizes. The helpers here only add
 what the reference's dialects disagree on (whether a missing key matches a
-missing key, whether unmatched rows survive) and broadcasting only under a
-checked row bound (``bounded_broadcast``).
+missing key, whether unmatched rows survive). Nothing is broadcast by hint.
 """
 
 from __future__ import annotations
@@ -15,8 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NULL_KEYS = ("sql", "match")
-# Largest row count we accept to broadcast on the strength of a LIMIT alone.
-MAX_BOUNDED_BROADCAST_ROWS = 100_000
 
 
 def key_condition(on: Sequence[tuple[str, str]], left_alias: str, right_alias: str,
@@ -25,6 +22,8 @@ def key_condition(on: Sequence[tuple[str, str]], left_alias: str, right_alias: s
     missing key matches a missing key (R ``merge``, dplyr, pandas)."""
     if null_keys not in NULL_KEYS:
         raise ValueError(f"null_keys must be one of {NULL_KEYS}")
+    if not on:
+        raise ValueError("a join needs at least one pair of keys")
     cond = None
     for lc, rc in on:
         a, b = F.col(f"{left_alias}.{lc}"), F.col(f"{right_alias}.{rc}")
@@ -71,20 +70,6 @@ def anti_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]])
     return join_on(left, right, on, "left_anti", left_alias="_al", right_alias="_ar")
 
 
-def can_broadcast(max_rows: int | None) -> bool:
-    """True when a row bound is known and small enough to broadcast."""
-    return max_rows is not None and max_rows <= MAX_BOUNDED_BROADCAST_ROWS
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast a frame whose size is bounded by construction (a LIMIT or a
-    driver-side literal list). The bound is checked here, not assumed;
-    callers take a shuffle join instead when :func:`can_broadcast` is false."""
-    if not can_broadcast(max_rows):
-        raise ValueError(f"refusing to broadcast up to {max_rows} rows")
-    return F.broadcast(df.limit(max_rows))
-
-
 def spine(df: DataFrame, values: Sequence, name: str) -> DataFrame:
     """Every row of ``df`` repeated once per value of a driver-side list.
 

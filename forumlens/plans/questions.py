@@ -7,10 +7,10 @@ the reference are parameters: ``ties``, ``null_keys``, ``keep_unmatched``,
 
 Plan shape used by every top-k question: aggregate (partial, map-side),
 keep the groups whose key exists with a semi join that carries only keys
-and numbers, take the top k
-(TakeOrderedAndProject: k rows per task), and only then fetch wide payload
-columns (titles, names) for those k rows by broadcasting them into a scan
-of the large table. The wide columns are never shuffled.
+and numbers, take the top k (TakeOrderedAndProject: k rows per task), and
+only then join wide payload columns (titles, names) to those k rows. No join
+is hinted: Spark sizes a limited side in bytes and AQE re-plans from real
+sizes, so plans and rows do not depend on a row count measured here.
 """
 
 from __future__ import annotations
@@ -21,9 +21,8 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.columns import age_class, age_threshold, year_text
 from ..operators.aggregates import conditional_counts, count_by, rows_in_groups_sized
-from ..operators.joins import bounded_broadcast, can_broadcast, join_on, key_condition, semi_join
+from ..operators.joins import join_on, semi_join
 from ..operators.ranking import asc, desc, rows_at_group_max, top_k, top_per_group
-from ..session import scratch_path
 
 
 def _questions(posts: DataFrame) -> DataFrame:
@@ -34,74 +33,11 @@ def _answers(posts: DataFrame) -> DataFrame:
     return posts.where(F.col("PostTypeId") == S.POST_TYPE_ANSWER)
 
 
-def bounded_lookup(rows: DataFrame, dim: DataFrame, on: list[tuple[str, str]], k: int,
-                   keep_unmatched: bool = False, null_keys: str = "sql") -> DataFrame:
-    """Join at most ``k`` rows to a large dimension without shuffling it.
-
-    Inner: the ``k`` rows are broadcast and the dimension streams past them
-    (a scan, no exchange). Keeping unmatched rows needs the rows on the
-    preserved side, which cannot be the broadcast side, so the dimension is
-    first cut to the partners of the ``k`` keys by a broadcast semi join and
-    the remaining outer join is between two small frames. Columns come back
-    as ``_r.*`` and ``_d.*``. Beyond the broadcast bound it is a plain
-    join and Spark plans a shuffle.
-    """
-    if not can_broadcast(k):
-        return join_on(rows, dim, on, "left" if keep_unmatched else "inner", null_keys,
-                       left_alias="_r", right_alias="_d")
-    r = bounded_broadcast(rows, k).alias("_r")
-    d = dim.alias("_d")
-    cond = key_condition(on, "_r", "_d", null_keys)
-    if not keep_unmatched:
-        return d.join(r, cond, "inner")
-    keys = bounded_broadcast(rows.select(*[lc for lc, _ in on]), k).alias("_k")
-    small = d.join(keys, key_condition([(rc, lc) for lc, rc in on], "_d", "_k", null_keys),
-                   "left_semi")
-    return join_on(rows, small, on, "left", null_keys, left_alias="_r", right_alias="_d")
-
-
-def checked_lookup(rows: DataFrame, dim: DataFrame, on: list[tuple[str, str]],
-                   null_keys: str = "sql") -> tuple[DataFrame, int]:
-    """Inner lookup for a result whose size is small in practice but has no
-    bound by construction (every tied winner, every question past a gap).
-
-    The rows are written once as a parquet table in the shared checkpoint
-    folder (lineage cut: a lost executor re-reads, it does not recompute);
-    an ``Observation`` counts them during that same write job, and the count
-    is the size check. Within the bound they are broadcast into a scan of
-    the dimension; beyond it the lookup is an ordinary shuffle join.
-    Returns the joined frame (``_r.*``, ``_d.*``) and the row count.
-    """
-    from pyspark.sql import Observation
-    spark = rows.sparkSession
-    path = scratch_path(spark, "lookup")
-    seen = Observation("checked_lookup")
-    rows.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
-    n = int(seen.get["n"])
-    small = spark.read.parquet(path)
-    if can_broadcast(n):
-        return bounded_lookup(small, dim, on, max(n, 1), null_keys=null_keys), n
-    return join_on(small, dim, on, "inner", null_keys, left_alias="_r", right_alias="_d"), n
-
-
-def best_row_key(value: str, tiebreak: str, *carry: str):
-    """Aggregate picking, per group, the row with the largest ``value``
-    (missing last), ties to the smallest ``tiebreak``, carrying ``carry``.
-
-    ``min`` over a struct orders field by field, so this is an ordinary
-    aggregate: partial results combine map-side and a hot group never
-    gathers in one task, unlike a window over the whole group.
-    """
-    return F.min(F.struct(F.col(value).isNull().alias("missing"), (-F.col(value)).alias("neg"),
-                          F.col(tiebreak).alias("tiebreak"), F.col(value).alias("value"),
-                          *[F.col(c).alias(c) for c in carry]))
-
-
-def _final_order(df: DataFrame, k: int, order) -> DataFrame:
-    """Order the at most ``k`` result rows. A bounded sort is a
-    TakeOrderedAndProject (one step); a global ``orderBy`` would add a range
-    exchange and a sampling job for ten rows."""
-    return top_k(df, max(k, 1), order) if can_broadcast(k) else df.orderBy(*order)
+def lookup(rows: DataFrame, dim: DataFrame, on: list[tuple[str, str]], keep_unmatched: bool = False,
+           null_keys: str = "sql") -> DataFrame:
+    """Payload columns for ``rows``; columns come back as ``_r.*`` and ``_d.*``."""
+    return join_on(rows, dim, on, "left" if keep_unmatched else "inner", null_keys,
+                   left_alias="_r", right_alias="_d")
 
 
 # ---------------------------------------------------------------- Q1
@@ -117,32 +53,23 @@ def top_authors(posts: DataFrame, users: DataFrame, k: int = 10, ties: str = "fi
     total = F.sum("FavoriteCount")
     if empty_sum is not None:
         total = F.coalesce(total, F.lit(empty_sum))
-    if ties == "first":
-        per_owner = q.groupBy("OwnerUserId").agg(
-            total.alias("FavoriteTotal"), best_row_key("FavoriteCount", "Id", "Title").alias("best"))
-    else:
-        per_owner = q.groupBy("OwnerUserId").agg(
-            total.alias("FavoriteTotal"), F.max("FavoriteCount").alias("MaxFavorite"))
+    per_owner = q.groupBy("OwnerUserId").agg(total.alias("FavoriteTotal"), F.max("FavoriteCount").alias("MaxFavorite"))
     if not keep_unmatched:
         per_owner = semi_join(per_owner, users, [("OwnerUserId", "Id")])
     owners = top_k(per_owner, k, [desc("FavoriteTotal"), asc("OwnerUserId")])
+    # Every question at its owner's maximum, for the k owners only; a
+    # missing maximum ties with missing values, as RANK does.
+    tied = q.alias("_q").join(owners.alias("_o"), (F.col("_q.OwnerUserId") == F.col("_o.OwnerUserId"))
+                              & F.col("_q.FavoriteCount").eqNullSafe(F.col("_o.MaxFavorite")))
+    tied = tied.select("_q.OwnerUserId", "_o.FavoriteTotal", "_q.Id", "_q.Title", "_q.FavoriteCount")
     if ties == "first":
-        rows = owners.select("OwnerUserId", "FavoriteTotal", F.col("best.tiebreak").alias("Id"),
-                             F.col("best.Title").alias("Title"),
-                             F.col("best.value").alias("FavoriteCount"))
+        first = F.min(F.struct("Id", "Title")).alias("first")
+        rows = tied.groupBy("OwnerUserId", "FavoriteTotal", "FavoriteCount").agg(first).select(
+            "OwnerUserId", "FavoriteTotal", "FavoriteCount", "first.Id", "first.Title")
     else:
-        # Every question at its owner's maximum, for the k owners only; a
-        # missing maximum ties with missing values, as RANK does.
-        o = (bounded_broadcast(owners, k) if can_broadcast(k) else owners).alias("_o")
-        qq = q.alias("_q")
-        tied = qq.join(o, (F.col("_q.OwnerUserId") == F.col("_o.OwnerUserId"))
-                       & F.col("_q.FavoriteCount").eqNullSafe(F.col("_o.MaxFavorite")))
-        rows = top_k(tied.select("_q.OwnerUserId", "_o.FavoriteTotal", "_q.Id", "_q.Title",
-                                 "_q.FavoriteCount"),
-                     k, [desc("FavoriteTotal"), asc("OwnerUserId"), asc("Id")])
-    out = bounded_lookup(rows, users.select("Id", "DisplayName", "Age", "Location"),
-                         [("OwnerUserId", "Id")], k, keep_unmatched)
-    out = _final_order(out, k, [desc("_r.FavoriteTotal"), asc("_r.OwnerUserId"), asc("_r.Id")])
+        rows = top_k(tied, k, [desc("FavoriteTotal"), asc("OwnerUserId"), asc("Id")])
+    out = lookup(rows, users.select("Id", "DisplayName", "Age", "Location"), [("OwnerUserId", "Id")], keep_unmatched)
+    out = top_k(out, k, [desc("_r.FavoriteTotal"), asc("_r.OwnerUserId"), asc("_r.Id")])
     return out.select(
         F.col("_d.DisplayName").alias("DisplayName"), F.col("_d.Age").alias("Age"),
         F.col("_d.Location").alias("Location"), F.col("_r.FavoriteTotal").alias("FavoriteTotal"),
@@ -157,8 +84,8 @@ def positive_answers(posts: DataFrame, k: int = 10) -> DataFrame:
     counts = count_by(pos, ["ParentId"], "PositiveAnswerCount")
     counts = semi_join(counts, posts, [("ParentId", "Id")])
     top = top_k(counts, k, [desc("PositiveAnswerCount"), desc("ParentId")])
-    out = bounded_lookup(top, posts.select("Id", "Title"), [("ParentId", "Id")], k)
-    out = _final_order(out, k, [desc("_r.PositiveAnswerCount"), desc("_r.ParentId")])
+    out = lookup(top, posts.select("Id", "Title"), [("ParentId", "Id")])
+    out = top_k(out, k, [desc("_r.PositiveAnswerCount"), desc("_r.ParentId")])
     return out.select(F.col("_d.Id").alias("Id"), F.col("_d.Title").alias("Title"),
                       F.col("_r.PositiveAnswerCount").alias("PositiveAnswerCount"))
 
@@ -169,24 +96,16 @@ def up_votes_per_year(votes: DataFrame) -> DataFrame:
     return count_by(up, ["PostId", year_text("CreationDate").alias("Year")], "Count")
 
 
-# One winner per year, and a year is four-digit text: at most 10,000 rows by
-# construction, a proven bound for broadcasting the winners.
-YEARS_BOUND = 10_000
-
-
 def top_question_per_year(posts: DataFrame, votes: DataFrame, ties: str = "first") -> DataFrame:
     """Q3: per year, the question with most up-votes cast in that year."""
     counts = semi_join(up_votes_per_year(votes), _questions(posts), [("PostId", "Id")])
     q = _questions(posts).select("Id", "Title")
     if ties == "all":
-        # Ties have no bound by construction: measure, then choose.
         best = rows_at_group_max(counts, ["Year"], "Count", keep_missing=True)
-        out, n = checked_lookup(best, q, [("PostId", "Id")])
     else:
         best = top_per_group(counts, ["Year"], [desc("Count")], 1, "first",
                              tiebreak=[asc("PostId")])
-        out, n = bounded_lookup(best, q, [("PostId", "Id")], YEARS_BOUND), YEARS_BOUND
-    out = _final_order(out, n, [asc("_r.Year"), asc("_r.PostId")])
+    out = lookup(best, q, [("PostId", "Id")]).orderBy(asc("_r.Year"), asc("_r.PostId"))
     return out.select(F.col("_d.Title").alias("Title"), F.col("_r.Year").alias("Year"),
                       F.col("_r.Count").alias("Count"))
 
@@ -197,9 +116,8 @@ def accepted_gap(posts: DataFrame, threshold: int = 50) -> DataFrame:
     ``threshold``. The accepted side is any post with that Id.
 
     The joins carry ids and scores only; titles are fetched for the rows
-    that pass the gap filter, through the measured lookup (broadcast when
-    the result is small, a shuffle join otherwise), so question titles are
-    not moved through the two join shuffles.
+    that pass the gap filter, so question titles are not moved through the
+    two join shuffles.
     """
     best = _answers(posts).groupBy("ParentId").agg(F.max("Score").alias("MaxScore"))
     q = _questions(posts).select("Id", "AcceptedAnswerId")
@@ -211,12 +129,12 @@ def accepted_gap(posts: DataFrame, threshold: int = 50) -> DataFrame:
                       F.col("_a.Score").alias("AcceptedScore"),
                       (F.col("_x.MaxScore") - F.col("_a.Score")).alias("Difference")) \
         .where(F.col("Difference") > threshold)
-    out, n = checked_lookup(gaps, _questions(posts).select("Id", "Title"), [("Id", "Id")])
+    out = lookup(gaps, _questions(posts).select("Id", "Title"), [("Id", "Id")])
     res = out.select(F.col("_r.Id").alias("Id"), F.col("_d.Title").alias("Title"),
                      F.col("_r.MaxScore").alias("MaxScore"),
                      F.col("_r.AcceptedScore").alias("AcceptedScore"),
                      F.col("_r.Difference").alias("Difference"))
-    return _final_order(res, n, [desc("Difference"), asc("Id")])
+    return res.orderBy(desc("Difference"), asc("Id"))
 
 
 # ---------------------------------------------------------------- Q5
@@ -232,8 +150,8 @@ def author_comments(posts: DataFrame, comments: DataFrame, k: int = 10,
     matched = join_on(sums, q.select("Id", "OwnerUserId"), on, "left_semi", null_keys,
                       left_alias="_s", right_alias="_q")
     top = top_k(matched, k, [desc("CommentsTotalScore"), asc("PostId")])
-    out = bounded_lookup(top, q, on, k, null_keys=null_keys)
-    out = _final_order(out, k, [desc("_r.CommentsTotalScore"), asc("_r.PostId")])
+    out = lookup(top, q, on, null_keys=null_keys)
+    out = top_k(out, k, [desc("_r.CommentsTotalScore"), asc("_r.PostId")])
     return out.select(F.col("_d.Title").alias("Title"),
                       F.col("_r.CommentsTotalScore").alias("CommentsTotalScore"))
 
@@ -271,8 +189,8 @@ def _finish_q7(only_old: DataFrame, posts: DataFrame, k: int) -> DataFrame:
     q = _questions(posts).select("Id", "Title")
     cand = semi_join(only_old, q, [("PostId", "Id")])
     top = top_k(cand, k, [desc("OldVotes"), asc("PostId")])
-    out = bounded_lookup(top, q, [("PostId", "Id")], k)
-    out = _final_order(out, k, [desc("_r.OldVotes"), asc("_r.PostId")])
+    out = lookup(top, q, [("PostId", "Id")])
+    out = top_k(out, k, [desc("_r.OldVotes"), asc("_r.PostId")])
     return out.select(F.col("_d.Title").alias("Title"), F.col("_r.OldVotes").alias("OldVotes"))
 
 

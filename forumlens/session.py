@@ -43,8 +43,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names the folder; only when it is unset (local tests) do we
-    pick one ourselves. ``spark.checkpoint.dir`` is a core setting that
+    The cluster names the folder; only when it is unset in a local session
+    (tests) do we pick one ourselves: elsewhere a machine's own folder would
+    not be seen by the other machines, so that raises. ``spark.checkpoint.dir`` is a core setting that
     cannot change at run time, so an own folder goes to the SparkContext.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -54,10 +55,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured
     if sc.getCheckpointDir() is None:
+        if not is_local(sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="forumlens-ckpt-"))
     return sc.getCheckpointDir()
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process on this machine."""
+    return master == "local" or (master.startswith("local[") and master.endswith("]"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

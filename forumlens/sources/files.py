@@ -21,22 +21,49 @@ def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
     return df.repartition(partitions) if partitions else df
 
 
+def _csv_text(spark: SparkSession, paths: str | Sequence[str], comment: str | None) -> DataFrame:
+    """All columns as text under the names in the header. Values may hold quotes (doubled), line
+    ends, edge spaces and ``comment`` characters; files whose headers differ raise."""
+    reader = (spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+              .option("enforceSchema", False).option("mode", "FAILFAST"))
+    if comment:
+        reader = reader.option("comment", comment)
+    return reader.csv(paths)
+
+
+def _by_name(text: DataFrame, schema: T.StructType) -> DataFrame:
+    missing = [n for n in schema.names if n not in text.columns]
+    if missing:
+        raise ValueError(f"columns missing in the header: {missing}")
+    return text.select(*(text[f"`{f.name}`"].try_cast(f.dataType).alias(f.name) for f in schema.fields))
+
+
+def bad_values(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
+               comment: str | None = None) -> DataFrame:
+    """One row: per column of ``schema`` how many values are not of its type (the readers give NULL)."""
+    text = _csv_text(spark, paths, comment)
+    _by_name(text, schema)
+    return text.agg(*(F.count_if(text[f"`{f.name}`"].isNotNull() & text[f"`{f.name}`"].try_cast(f.dataType).isNull())
+                      .alias(f.name) for f in schema.fields))
+
+
 def read_commented_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
                        comment: str = "#", partitions: int | None = None) -> DataFrame:
     """CSV with a header, lines starting with ``comment`` skipped.
 
-    Only lines that *start* with the comment character are skipped; a ``#``
-    inside a value (``C# lang``) is data. Compression follows the extension.
+    Columns are found by their names in the header, in any order. Only lines
+    that *start* with the comment character are skipped; a ``#`` inside a
+    value (``C# lang``) is data. Compression follows the extension. A value
+    that is not of its column's type is NULL; :func:`bad_values` counts them.
+    As a value may hold line ends, a file is read by one task.
     """
-    df = (spark.read.schema(schema).option("header", True).option("comment", comment)
-          .option("mode", "PERMISSIVE").csv(paths))
-    return _spread(df, partitions)
+    return _spread(_by_name(_csv_text(spark, paths, comment), schema), partitions)
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
              partitions: int | None = None) -> DataFrame:
-    """Plain CSV with a header."""
-    return _spread(spark.read.schema(schema).option("header", True).csv(paths), partitions)
+    """Plain CSV with a header, columns by name; else as :func:`read_commented_csv`."""
+    return _spread(_by_name(_csv_text(spark, paths, None), schema), partitions)
 
 
 def read_xml_rows(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
@@ -58,8 +85,11 @@ def read_xml_rows(spark: SparkSession, paths: str | Sequence[str], schema: T.Str
 def write_csv(df: DataFrame, path: str, gzip: bool = True, mode: str = "errorifexists",
               partition_by: Sequence[str] = ()) -> str:
     """CSV sink with a header and no index column; one file per task
-    (and per value of ``partition_by``, one folder ``col=value`` each)."""
-    w = df.write.mode(mode).option("header", True)
+    (and per value of ``partition_by``, one folder ``col=value`` each).
+    Quotes inside values are doubled; edge spaces and line ends are kept;
+    empty text cannot be told from a missing value when read back."""
+    w = (df.write.mode(mode).option("header", True).option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if gzip:
         w = w.option("compression", "gzip")
     if partition_by:

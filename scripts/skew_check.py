@@ -62,7 +62,6 @@ def main() -> None:
              .config("spark.sql.adaptive.enabled", "false")   # raw partitions, no coalescing
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    from forumlens.plans.questions import best_row_key
     from forumlens.sources.adapters import questions, read_base
 
     q = questions(read_base(spark, sf_dir, "orders"))
@@ -76,7 +75,7 @@ def main() -> None:
 
     spark.sparkContext.setJobDescription("aggregate")
     agg = q.groupBy("OwnerUserId").agg(F.sum("FavoriteCount").alias("t"),
-                                       best_row_key("FavoriteCount", "Id", "Title").alias("b"))
+                                       F.max("FavoriteCount").alias("b"))
     agg.write.format("noop").mode("overwrite").save()
     spark.sparkContext.setJobDescription("window")
     w = Window.partitionBy("OwnerUserId").orderBy(F.col("FavoriteCount").desc_nulls_last(), "Id")

@@ -132,12 +132,10 @@ def test_top_k_total_order(spark):
     assert R.top_k(df, 100, [R.asc("id")]).count() == 20
 
 
-def test_bounded_broadcast_refuses_unbounded(spark):
+def test_join_without_keys_raises(spark):
     import pytest
-    df = spark.range(3)
-    assert J.can_broadcast(10) and not J.can_broadcast(None)
     with pytest.raises(ValueError):
-        J.bounded_broadcast(df, 10 ** 9)
+        J.join_on(spark.range(2), spark.range(2), [])
 
 
 @SLOW

@@ -73,26 +73,36 @@ def test_q7_forms_agree_on_whole_frames(spark):
     assert frames_equal(anti, only_old)
 
 
-def test_shuffle_fallback_beyond_broadcast_bound(spark, monkeypatch):
-    """Past the row bound no broadcast is planned and the rows are the same."""
-    from forumlens.operators import joins
+def test_same_rows_without_any_broadcast(spark):
+    """With size-based broadcasting off the rows are the same."""
     fd = ForumData(spark, SF_SMALL)
-    before = {
-        "q1": Q.top_authors(fd.posts, fd.users, 10),
-        "q2": Q.positive_answers(fd.posts, 10),
-        "q3": Q.top_question_per_year(fd.posts, fd.votes, "all"),
-        "q5": Q.author_comments(fd.posts, fd.comments, 10),
-    }
-    before = {k: sorted(map(tuple, v.collect()), key=repr) for k, v in before.items()}
-    monkeypatch.setattr(joins, "MAX_BOUNDED_BROADCAST_ROWS", 3)
-    after = {
-        "q1": Q.top_authors(fd.posts, fd.users, 10),
-        "q2": Q.positive_answers(fd.posts, 10),
-        "q3": Q.top_question_per_year(fd.posts, fd.votes, "all"),
-        "q5": Q.author_comments(fd.posts, fd.comments, 10),
-    }
-    for k, df in after.items():
-        assert sorted(map(tuple, df.collect()), key=repr) == before[k], k
+
+    def rows():
+        return {k: sorted(map(tuple, v.collect()), key=repr) for k, v in {
+            "q1": Q.top_authors(fd.posts, fd.users, 10),
+            "q2": Q.positive_answers(fd.posts, 10),
+            "q3": Q.top_question_per_year(fd.posts, fd.votes, "all"),
+            "q5": Q.author_comments(fd.posts, fd.comments, 10),
+        }.items()}
+
+    before = rows()
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows() == before
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_repeated_question_hides_no_other(spark):
+    """Three tied questions of one year, one stored twice: every stored row comes out."""
+    posts = spark.createDataFrame([(1, 1, "A"), (2, 1, "B"), (2, 1, "B"), (3, 1, "C")],
+                                  "Id long, PostTypeId int, Title string")
+    votes = spark.createDataFrame([(i, 2, "2015-03-01") for i in (1, 2, 3)],
+                                  "PostId long, VoteTypeId int, CreationDate string").withColumn(
+        "CreationDate", F.to_timestamp("CreationDate"))
+    got = [r["Title"] for r in Q.top_question_per_year(posts, votes, "all").collect()]
+    assert got == ["A", "B", "B", "C"]
 
 
 def test_row_counts_recorded_in_the_survey(spark):

@@ -34,3 +34,17 @@ def test_own_checkpoint_folder_only_when_unset():
     _, n, q3, folder = line.split()
     assert int(n) > 0 and int(q3) > 0
     assert "forumlens-ckpt-" in folder
+
+
+def test_cluster_without_shared_folder_raises():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from forumlens.session import ensure_checkpoint_dir, is_local
+
+    assert is_local("local") and is_local("local[8]") and not is_local("local-cluster[2,1,512]")
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))
