@@ -18,7 +18,10 @@ found by an aggregation over all sets. Small sets use a lane per shingle.
 Only components are asked for, so candidates are taken in two rounds: first each
 document against one surviving hub of its lanes, then, between different
 components only, all pairs that agree in one of a document's rarest lanes (the
-prefix that any linked pair must share). No pair is lost and large groups of
+prefix that any linked pair must share). A shingle that no other candidate document
+has is in no intersection, so the shingles left over bound what a document can share;
+a pair whose sizes ask for more is not made. This parts the members of a large group
+that are each a little too unlike the others. No pair is lost and large groups of
 copies need about one comparison a member.
 
 Defined results: null and wordless texts have the empty set and are linked with
@@ -195,6 +198,14 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int = SIMILARITY) -> Dat
     return both.where(100 * common >= percent * union).select("x", "y")
 
 
+def _bounds(sets: DataFrame) -> DataFrame:
+    """(doc, n, most): set size and how many of its shingles any other document has."""
+    lone = (sets.select("doc", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("times"), F.min(
+        "doc").alias("doc")).where("times = 1").groupBy("doc").agg(F.count("*").alias("lone")))
+    size = sets.select("doc", F.size("shingles").alias("n")).join(lone, "doc", "left")
+    return size.select("doc", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("most"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``key``, n_shingles, component_id (smallest ``key`` reachable by links)."""
     source = docs.select(F.col(key).alias("doc"), F.col(text).alias("__text"))
@@ -243,10 +254,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     have = F.count("*").over(Window.partitionBy("doc", "place"))
     rare = (placed.withColumn("rank", rank).withColumn("have", have).where(F.col("rank") <= F.col("have") - need + 1)
             .join(mixed.select("key"), "key", "left_semi"))
-    rare = written(rare.select("key", "doc", "component"), "parity-rare")
-    x, y = rare.select("key", F.col("doc").alias("x"), F.col("component").alias("cx")), rare.select(
-        "key", F.col("doc").alias("y"), F.col("component").alias("cy"))
-    rest = x.join(y, "key").where((F.col("cx") != F.col("cy")) & (F.col("x") < F.col("y"))).select("x", "y").distinct()
+    bounds = _bounds(sets).where(100 * F.col("most") >= SIMILARITY * F.col("n"))
+    rare = written(rare.join(bounds, "doc").select("key", "doc", "component", "n", "most"), "parity-rare")
+    x, y = (rare.select("key", F.col("doc").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in (
+        "component", "n", "most"))) for side in "xy")
+    most = F.least("most_x", "most_y")
+    rest = x.join(y, "key").where((F.col("component_x") != F.col("component_y")) & (F.col("x") < F.col("y")) & (
+        100 * most >= SIMILARITY * (F.col("n_x") + F.col("n_y") - most))).select("x", "y").distinct()
     links = written(links.union(_verify(rest, sets)), "parity-all-links")
     joined = components(links, "x", "y")
 
