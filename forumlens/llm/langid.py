@@ -44,7 +44,8 @@ def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_byte
     before = F.coalesce(F.sum("bytes").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     last = (first.withColumn("before", before).where(F.col("before") < sample_bytes)
             .groupBy("lang").agg(F.max("order").alias("last")))
-    return labelled.join(last, "lang").where(F.col("order") <= F.col("last")).select("lang", "text")
+    # one row per language, as the columns of the trees that the driver keeps
+    return labelled.join(F.broadcast(last), "lang").where(F.col("order") <= F.col("last")).select("lang", "text")
 
 
 def _grams(lang_texts: pd.DataFrame) -> pd.DataFrame:
