@@ -124,6 +124,23 @@ def near(rows) -> dict:
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
+def line_dedup(rows, min_lines: int = 3, min_chars: int = 200) -> dict:
+    """doc_id to (n_removed, text): every document aligned with every earlier one."""
+    from forumlens.llm import linedup
+
+    texts = {i: t.split("\n") for i, t in rows if t is not None}
+    lines = {i: [x.strip(linedup.BLANKS) for x in t] for i, t in texts.items()}
+    out = {i: (0, t) for i, t in rows}
+    for i, b in lines.items():
+        gone: set = set()
+        for j, a in lines.items():
+            if j < i and set(a) & set(b):
+                gone.update(linedup.blocks_to_remove(linedup.patience(a, b), [len(x) for x in b], min_lines, min_chars))
+        if gone:
+            out[i] = (len(gone), "\n".join(x for n, x in enumerate(texts[i]) if n not in gone))
+    return out
+
+
 def quality_base(text: str | None) -> tuple:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
     t = text or ""

@@ -317,6 +317,44 @@ def test_line_dedup(docs, empty, spark):
     assert same.columns == docs.columns and same.count() == docs.count()
 
 
+def line_corpus():
+    import random
+
+    rows = []
+    block = [f"shared {i} of a block" for i in range(3)]
+    for i, x in enumerate(block):                     # each line alone in an early document
+        rows.append((i + 1, f"own {i}\n{x}\nalso own {i}"))
+    rows += [(4, "\n".join(["b"] + block)), (5, "\n".join(block + ["c"]))]
+    # the first holder has the same run behind a longer one, where it is passed over; the second has it alone
+    long, run = [f"long {i}" for i in range(6)], [f"run {i}" for i in range(3)]
+    rows += [(11, "\n".join(run + long)), (12, "\n".join(["d"] + run)), (13, "\n".join(long + ["e"] + run))]
+    for seed, kinds in ((1, 6), (2, 12), (3, 30)):    # repeated lines, blanks, changed order
+        r = random.Random(seed)
+        names = [f"{seed} {i} " + "x" * r.choice([1, 1, 1, 120, 220]) for i in range(kinds)]
+        for i in range(40):
+            own = [" " if r.random() < 0.25 else r.choice(names) if r.random() < 0.9 else f"{seed} own {i} {j}"
+                   for j in range(r.randint(1, 24))]
+            rows.append((100 * seed + i, "\n".join(own)))
+    return rows
+
+
+@pytest.mark.parametrize("limits", [{}, {"min_lines": 1, "min_chars": 1}, {"min_lines": 5, "min_chars": 130}])
+def test_line_dedup_against_all_pairs(spark, limits):
+    """Blocks go whichever earlier document holds them, also if other documents hold their lines first."""
+    rows = line_corpus()
+    want = brute.line_dedup(rows, **limits)
+    if not limits:
+        assert want[5][0] == 3 and want[13][0] == 9
+    got = linedup.dedup_lines(brute.frame(spark, rows, False), measures=True, **limits)
+    assert {x["doc_id"]: (x["n_removed"], x["text"]) for x in got.collect()} == want
+
+
+def test_line_dedup_of_the_small_corpus(spark):
+    rows = list(dict(brute.corpus(3)).items())
+    got = linedup.dedup_lines(brute.frame(spark, rows, False), measures=True)
+    assert {x["doc_id"]: (x["n_removed"], x["text"]) for x in got.collect()} == brute.line_dedup(rows)
+
+
 def test_mixing(docs, empty, spark):
     r = np.random.default_rng(1)
     sizes = {"a": 400, "b": 60, "c": 9, None: 3}
