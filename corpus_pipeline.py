@@ -16,8 +16,8 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def quality_rules(spark, docs, sf_dir):
-    """Documents that the quality rules reject go; the others stay whole."""
-    return quality.clean_documents(docs, replace_text=False)
+    """Documents that the quality rules reject go, and the failing lines of the others."""
+    return quality.clean_documents(docs)
 
 
 def line_dedup(spark, docs, sf_dir):

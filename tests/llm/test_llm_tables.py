@@ -169,3 +169,12 @@ def test_pipeline_stages(spark, tmp_dir, empty):
         tokens = {x["doc_id"]: x["n_tokens"] for x in out.collect()}
         assert tokens[7] < 0.7 * tokens[6]
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_duplicates", "mix_sources", "encode"]
+
+
+def test_pipeline_quality_stage_drops_failing_lines(spark, tmp_dir):
+    r = random.Random(9)
+    prose = [" ".join("".join(r.choice("aeinorst") for _ in range(r.randint(3, 9))) for _ in range(11)) + "." for _ in range(9)]
+    docs = brute.frame(spark, [(1, "\n".join(["Home", "Login"] + prose)), (2, "bad")], False).drop("quality")
+    got = corpus_pipeline.quality_rules(spark, docs, tmp_dir)
+    assert got.columns == docs.columns
+    assert [(x["doc_id"], x["text"]) for x in got.collect()] == [(1, "\n".join(prose))]
