@@ -13,7 +13,8 @@ brings as many of them as a result has rows (and one, for the query's own). All
 are indexed; nothing is sampled.
 
 Defined results: vectors that are null, zero, empty, hold null or non-finite values,
-or differ in length from the longest take no part, as queries neither. Ties go to the
+or have another length than most (of equally frequent lengths, the smallest counts)
+take no part, as queries neither. Ties go to the
 smaller id. Repeated rows with one id are one row. With fewer candidates than asked
 for, all that are found come.
 """
@@ -146,8 +147,8 @@ def usable(table: DataFrame, vector: str) -> DataFrame:
     v = F.col(vector)
     good = table.where(v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
                        & F.exists(v, lambda x: x != 0))
-    longest = good.agg(F.max(F.size(v))).first()[0]
-    return good.where(F.size(v) == F.lit(longest or 0))
+    usual = good.groupBy(F.size(v).alias("n")).count().orderBy(F.desc("count"), "n").first()
+    return good.where(F.size(v) == F.lit(usual["n"] if usual else 0))
 
 
 def nearest(table: DataFrame, is_query, k: int, key: str = "vec_id", vector: str = "embedding",

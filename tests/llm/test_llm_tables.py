@@ -65,6 +65,13 @@ def test_graph_search_on_few_vectors(spark):
     assert ann.nearest(few.where("vec_id = 0"), lambda key: key % 20 == 0, 20).count() == 0
 
 
+def test_graph_search_outlives_one_long_row(spark):
+    few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [-1.0, 0.0]), (3, [1.0, 1.0, 1.0])],
+                                "vec_id long, embedding array<float>")
+    got = ann.nearest(few, lambda key: key % 20 == 0, 20).orderBy("rank").collect()
+    assert [(x["vec_id"], x["score"]) for x in got] == [(1, 0.5), (2, -1.0)]
+
+
 def pages(spark):
     big, other = "<p>" + "x" * 200 + "ä</p>", "<p>" + "y" * 300 + "</p>"
     rows = [(i, f"http://www.site{i % 4}.example.org/a{i}?q=1#f", big if i % 3 else other) for i in range(40)]
