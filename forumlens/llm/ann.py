@@ -6,7 +6,8 @@ and robust pruning keeps the nearest and drops those that a kept one is closer t
 the factor :data:`RELAX`, so edges point in diverse directions. Each query searches
 every shard with a beam; the shards' best are merged by the exact product in double
 precision. For the graph, a further coordinate makes all vectors equally long, which
-turns the largest product into the smallest distance.
+turns the largest product into the smallest distance; queries search by the product
+itself, whose differences one very long vector cannot drown.
 
 Equal vectors are one node: only its smallest ids can be in a result, and a node
 brings as many of them as a result has rows (and one, for the query's own). All rows
@@ -39,13 +40,16 @@ SEED = 6
 
 
 class Graph:
-    """Directed graph over the rows of ``vectors``; ``edges`` holds -1 behind a node's neighbours."""
+    """Directed graph over the rows of ``vectors``; ``edges`` holds -1 behind a node's neighbours.
 
-    def __init__(self, vectors: np.ndarray, edges: np.ndarray, start: int):
-        self.vectors, self.edges, self.start = vectors, edges, start
+    With ``products`` the distance is the negative product instead of the squared gap.
+    """
+
+    def __init__(self, vectors: np.ndarray, edges: np.ndarray, start: int, products: bool = False):
+        self.vectors, self.edges, self.start, self.products = vectors, edges, start, products
 
     def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """The nodes of each query's beam, nearest first, and their squared distances; -1 and inf behind."""
+        """The nodes of each query's beam, nearest first, and their distances; -1 and inf behind."""
         n, m = len(self.vectors), len(queries)
         beam = max(1, min(beam, n))
         seen = np.zeros((m, n + 1), bool)
@@ -82,8 +86,11 @@ class Graph:
     def distances(self, queries: np.ndarray, nodes: np.ndarray) -> np.ndarray:
         out = np.full(nodes.shape, np.inf, np.float32)
         r, c = np.nonzero(nodes >= 0)
-        gap = self.vectors[nodes[r, c]] - queries[r]
-        out[r, c] = np.einsum("ij,ij->i", gap, gap)
+        if self.products:
+            out[r, c] = -np.einsum("ij,ij->i", self.vectors[nodes[r, c]], queries[r])
+        else:
+            gap = self.vectors[nodes[r, c]] - queries[r]
+            out[r, c] = np.einsum("ij,ij->i", gap, gap)
         return out
 
 
@@ -94,7 +101,7 @@ def _prune(vectors: np.ndarray, own: np.ndarray, candidates: np.ndarray, degree:
     to_own = Graph(vectors, None, 0).distances(vectors[own], candidates)
     order = np.argsort(to_own, axis=1, kind="stable")
     candidates, to_own = np.take_along_axis(candidates, order, 1), np.take_along_axis(to_own, order, 1)
-    points = vectors[candidates]
+    points = vectors[candidates] - vectors[own][:, None]      # near to each other, so little is lost in the products
     squares = np.einsum("ijk,ijk->ij", points, points)
     between = squares[:, :, None] + squares[:, None, :] - 2 * points @ points.transpose(0, 2, 1)
     alive = np.isfinite(to_own)
@@ -189,14 +196,13 @@ def nearest(table: DataFrame, is_query, k: int, key: str = "vec_id", vector: str
         if len(nodes) and len(asked):
             nodes = nodes.sort_values("place")
             original = _stack(nodes["v"]).astype(np.float32)
-            rest = np.sqrt(np.maximum(longest - (original.astype(np.float64) ** 2).sum(1), 0)).astype(np.float32)
             edges = np.r_[_stack(nodes["edges"]).astype(np.int64), np.full((1, DEGREE), -1)]
-            graph = Graph(np.c_[original, rest], edges, int(nodes["start"].iloc[0]))
+            graph = Graph(original, edges, int(nodes["start"].iloc[0]), products=True)
             names, ids = nodes["node"].to_numpy(), asked["id"].to_numpy()
             wanted = _stack(asked["v"]).astype(np.float32)
             for a in range(0, len(ids), BATCH):
                 q = wanted[a:a + BATCH]
-                found, _ = graph.search(np.c_[q, np.zeros(len(q), np.float32)], beam)
+                found, _ = graph.search(q, beam)
                 score = np.einsum("ijk,ik->ij", original.astype(np.float64)[found], q.astype(np.float64))
                 score[found < 0] = -np.inf
                 best = np.lexsort((names[found], -score), axis=1)[:, :k + 1]

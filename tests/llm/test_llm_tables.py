@@ -72,6 +72,30 @@ def test_graph_search_outlives_one_long_row(spark):
     assert [(x["vec_id"], x["score"]) for x in got] == [(1, 0.5), (2, -1.0)]
 
 
+def recall(found, want: dict) -> float:
+    got: dict = {}
+    for x in found.collect():
+        got.setdefault(x["query_id"], set()).add(x["vec_id"])
+    return sum(len(got.get(q, set()) & {v for v, _ in w}) for q, w in want.items()) / sum(len(w) for w in want.values())
+
+
+def test_graph_search_recall_beside_one_very_long_vector(spark):
+    r = np.random.default_rng(3)
+    vectors = {i: v.astype(np.float32) for i, v in enumerate(r.normal(size=(1500, 16)))}
+    vectors[7] = vectors[7] * np.float32(5000)
+    table = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in vectors.items()], "vec_id long, embedding array<float>")
+    want = exact(vectors, range(0, 1500, 20), 20)
+    assert recall(ann.nearest(table, lambda key: key % 20 == 0, 20), want) >= 0.9
+
+
+def test_graph_search_recall_of_the_table(spark):
+    """The query as registered, with its own constants."""
+    table = spark.read.parquet(f"{SMALL}/embeddings.parquet").select("vec_id", "embedding")
+    vectors = {x["vec_id"]: x["embedding"] for x in table.collect()}
+    want = exact(vectors, [i for i in vectors if i % 20 == 0], 20)
+    assert recall(ann.op6_robust_graph(spark, SMALL), want) >= 0.9
+
+
 def pages(spark):
     big, other = "<p>" + "x" * 200 + "ä</p>", "<p>" + "y" * 300 + "</p>"
     rows = [(i, f"http://www.site{i % 4}.example.org/a{i}?q=1#f", big if i % 3 else other) for i in range(40)]
