@@ -47,8 +47,9 @@ def encode(spark, docs, sf_dir):
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates),
           ("mix_sources", mix_sources), ("encode", encode)]
 
-# Hashes, patience alignment, components and merges by rank are beyond SQL; tests/llm holds each
-# stage against a brute-force version.
+# Hashes, patience alignment, components and merges by rank are beyond SQL; tests/llm holds quality
+# rules, line dedup and near duplicates against brute-force versions, the encoding against the
+# tokenizers library. The mix has tests of its properties, the whole pipeline planted cases.
 ORACLE_SQL = None
 
 
