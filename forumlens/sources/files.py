@@ -31,7 +31,13 @@ def _csv_text(spark: SparkSession, paths: str | Sequence[str], comment: str | No
     return reader.csv(paths)
 
 
-def _by_name(text: DataFrame, schema: T.StructType) -> DataFrame:
+def as_struct(schema: T.StructType | str) -> T.StructType:
+    """A schema given as a StructType or in short as text (``Id long, Title string``)."""
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
+def _by_name(text: DataFrame, schema: T.StructType | str) -> DataFrame:
+    schema = as_struct(schema)
     missing = [n for n in schema.names if n not in text.columns]
     if missing:
         raise ValueError(f"columns missing in the header: {missing}")
@@ -41,7 +47,7 @@ def _by_name(text: DataFrame, schema: T.StructType) -> DataFrame:
 def bad_values(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
                comment: str | None = None) -> DataFrame:
     """One row: per column of ``schema`` how many values are not of its type (the readers give NULL)."""
-    text = _csv_text(spark, paths, comment)
+    text, schema = _csv_text(spark, paths, comment), as_struct(schema)
     _by_name(text, schema)
     return text.agg(*(F.count_if(text[f"`{f.name}`"].isNotNull() & text[f"`{f.name}`"].try_cast(f.dataType).isNull())
                       .alias(f.name) for f in schema.fields))

@@ -27,7 +27,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("key", sorted(QUERIES))
+@pytest.mark.parametrize("key", sorted(ORACLE))
 def test_matches_oracle(spark, con, key):
-    r = compare(spark, key, QUERIES[key], ORACLE.get(key), SF_ORACLE, con)
+    r = compare(spark, key, QUERIES[key], ORACLE[key], SF_ORACLE, con)
     assert r["status"] == "match", r
