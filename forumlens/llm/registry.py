@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import ann, bpe, fmindex, langid, linedup, mixing, oracle, parity, quality, suffix, warc, whitening
+from . import ann, bpe, fmindex, langid, linedup, mixing, oracle, parity, quality, repair, suffix, warc, whitening
 
 
 def queries() -> dict[str, Callable]:
@@ -19,6 +19,7 @@ def queries() -> dict[str, Callable]:
         "op8_warc_index": warc.op8_warc_index,
         "op9_parity_join": parity.op9_parity_join,
         "op10_line_alignment": linedup.op10_line_alignment,
+        "op11_path_ranking": repair.op11_path_ranking,
         "op13_spectrum_slicing": whitening.op13_spectrum_slicing,
     }
 
