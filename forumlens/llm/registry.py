@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from . import ann, bpe, fmindex, langid, linedup, mixing, oracle, parity, quality, repair, suffix, warc, whitening
+from . import ann, bpe, fmindex, langid, linedup, lm, mixing, oracle, parity, quality, repair, suffix, warc, whitening
 
 
 def queries() -> dict[str, Callable]:
@@ -20,6 +20,7 @@ def queries() -> dict[str, Callable]:
         "op9_parity_join": parity.op9_parity_join,
         "op10_line_alignment": linedup.op10_line_alignment,
         "op11_path_ranking": repair.op11_path_ranking,
+        "op12_elias_fano_trie": lm.op12_elias_fano_trie,
         "op13_spectrum_slicing": whitening.op13_spectrum_slicing,
     }
 
