@@ -1,6 +1,6 @@
 """Language model scores from sharded Elias-Fano n-gram tries.
 
-The model has orders 1 to 3. An order-k probability is ``a + b * (probability of the next lower
+The model has orders 1 to ``order``, two or three. An order-k probability is ``a + b * (probability of the next lower
 order)`` with the Witten-Bell weights ``a = c(h w) / (c(h) + T(h))`` and ``b = T(h) / (c(h) +
 T(h))``, where T(h) counts the distinct words after context h; order 1 is
 ``(c(w) + 1) / (N + V + 1)``. Nothing is pruned, so the model grows with the corpus.
@@ -44,9 +44,10 @@ from .arrowtext import row_groups, utf8
 from .hashing import SPACE, mix, words
 from .store import written
 
-BATCH_BYTES = 8 << 20
+ORDER = 2                         # of the registered query
+BATCH_BYTES = 12 << 20
 CHUNK_BYTES = 2 << 20
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 2 << 20
 HEAVY = 16
 STEPS = 4096                      # quantisation: steps a decimal order
 NONE = 65535                      # code of an n-gram or context that was not seen
@@ -172,8 +173,8 @@ class Trie:
 
     @staticmethod
     def compile(vocabulary: np.ndarray, one, two, three, totals: dict[int, tuple[int, int]]) -> bytes:
-        """``vocabulary`` rises; ``one``, ``two``, ``three`` are distinct n-grams in order, columns of word
-        numbers and then counts (0: asked for, not seen). ``totals``: context hash to (c, T) of contexts
+        """``vocabulary`` rises; ``one``, ``two`` and ``three`` are distinct n-grams, rising: columns of
+        word numbers, then counts (0: asked for, not seen). ``totals``: context hash to (c, T) of contexts
         that several shards share."""
         m = max(1, len(vocabulary))
         context2, c2, b2 = Trie._contexts(two[0], two[2], vocabulary[two[0]], totals, lambda h: context_hash(h))
@@ -277,7 +278,7 @@ class Trie:
         return np.where(at >= 0, table[np.maximum(at, 0)], none) if len(table) else np.full(len(at), none, table.dtype)
 
     def counts(self, word: np.ndarray) -> np.ndarray:
-        return self._code(self.count, self._start(word), 0)
+        return (self._code(self.count, self._start(word), 0),)
 
     def pairs(self, context: np.ndarray, word: np.ndarray):
         """Codes of a and b of word pairs."""
@@ -345,49 +346,53 @@ def _unpacked(blob: bytes) -> list[np.ndarray]:
     return out
 
 
+def _packed_hashes(rising: np.ndarray) -> bytes:
+    """Rising 64-bit hashes as gaps."""
+    return _packed(np.diff(rising, prepend=np.uint64(0)).view(np.int64))
+
+
+def _unpacked_hashes(blob: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(blob)[0].view(np.uint64), dtype=np.uint64)
+
+
 class Batch:
     """The n-grams of a batch: distinct ones of each order, where the tokens have them, their shards."""
 
-    def __init__(self, vocabulary: np.ndarray, token: np.ndarray, bounds: np.ndarray):
+    def __init__(self, vocabulary: np.ndarray, token: np.ndarray, bounds: np.ndarray, order: int):
         """``vocabulary`` starts with START and END; ``token`` numbers it; ``bounds`` per text."""
-        self.vocabulary = vocabulary
+        self.vocabulary, self.token = vocabulary, token
         m, n = len(vocabulary), len(token)
         first = np.zeros(n + 1, bool)
         first[bounds] = True
         before1, before2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
         before1[1:] = np.where(first[1:n], 0, token[:-1])
         before2[1:] = np.where(first[1:n], 0, before1[:-1])
-        pairs, self.at2 = np.unique(before1 * m + token, return_inverse=True)
-        contexts, at_context = np.unique(before2 * m + before1, return_inverse=True)
-        triples, self.at3 = np.unique(at_context * m + token, return_inverse=True)
-        self.one = (np.arange(m, dtype=np.int64),)
-        self.two = (pairs // m, pairs % m)
-        self.three = (contexts[triples // m] // m, contexts[triples // m] % m, triples % m)
-        self.token = token
+        pairs, at2 = np.unique(before1 * m + token, return_inverse=True)
+        self.grams = [(np.arange(m, dtype=np.int64),), (pairs // m, pairs % m)]     # distinct n-grams, column by column
+        self.at = [token, at2]                                                      # the n-gram at each token
+        if order == 3:
+            contexts, at_context = np.unique(before2 * m + before1, return_inverse=True)
+            triples, at3 = np.unique(at_context * m + token, return_inverse=True)
+            self.grams.append((contexts[triples // m] // m, contexts[triples // m] % m, triples % m))
+            self.at.append(at3)
 
     def counts(self, train: np.ndarray) -> list[np.ndarray]:
         """How often each distinct n-gram stands where ``train`` holds (per token)."""
-        return [np.bincount(at[train], minlength=len(which[0]))
-                for at, which in ((self.token, self.one), (self.at2, self.two), (self.at3, self.three))]
-
-    def contexts(self, order: int) -> np.ndarray:
-        v = self.vocabulary
-        if order == 1:
-            return np.full(len(v), _EMPTY)
-        return context_hash(v[self.two[0]]) if order == 2 else context_hash(v[self.three[0]], v[self.three[1]])
+        return [np.bincount(at[train], minlength=len(which[0])) for at, which in zip(self.at, self.grams)]
 
     def heavy(self, least: int = HEAVY) -> tuple[np.ndarray, np.ndarray]:
         """Contexts that at least ``least`` words follow here, and how many."""
-        keys, n = np.unique(np.concatenate([self.contexts(2), self.contexts(3)]), return_counts=True)
+        keys, n = np.unique(np.concatenate([context_hash(*(self.vocabulary[c] for c in g[:-1])) for g in self.grams[1:]]),
+                            return_counts=True)
         return keys[n >= least], n[n >= least]
 
     def shards(self, shards: int, heavy: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Per order: the shard of each distinct n-gram, and whether its context is shared by shards."""
+        """For pairs and triples: the shard of each distinct one, and whether shards share its context."""
         out = []
-        for order, columns in ((1, self.one), (2, self.two), (3, self.three)):
-            context = self.contexts(order)
-            shared = np.full(len(context), order == 1)
-            if order > 1 and len(heavy):
+        for columns in self.grams[1:]:
+            context = context_hash(*(self.vocabulary[c] for c in columns[:-1]))
+            shared = np.zeros(len(context), bool)
+            if len(heavy):
                 at = np.minimum(np.searchsorted(heavy, context), len(heavy) - 1)
                 shared = heavy[at] == context
             key = np.where(shared, mix(context + self.vocabulary[columns[-1]]), mix(context))
@@ -395,19 +400,20 @@ class Batch:
         return out
 
     @classmethod
-    def read(cls, row: dict) -> tuple[Batch, np.ndarray, np.ndarray]:
+    def read(cls, row: dict, order: int) -> tuple[Batch, np.ndarray, np.ndarray]:
         """The batch of a written record, its text bounds and its training tokens."""
         token, = _unpacked(row["tokens"])
         size = np.array(row["lengths"], np.int64)
         bounds = np.r_[0, np.cumsum(size)]
-        return cls(np.frombuffer(row["words"], np.uint64), token, bounds), bounds, np.repeat(np.array(row["train"], bool), size)
+        return cls(_unpacked_hashes(row["words"]), token, bounds, order), bounds, np.repeat(np.array(row["train"], bool), size)
 
 
-def batches(docs: DataFrame, train: Column, keep: tuple[str, ...]) -> DataFrame:
-    """Step 1: ``batch``, the kept columns, word hashes, tokens, text lengths and heavy contexts."""
+def batches(docs: DataFrame, train: Column, keep: tuple[str, ...], order: int = ORDER) -> DataFrame:
+    """Step 1: ``batch``, the kept columns, word hashes and their training counts, tokens, text lengths and heavy
+    contexts."""
     kept = T.ArrayType(docs.select(*keep).schema)
     schema = T.StructType([T.StructField("batch", T.LongType()), T.StructField("rows", kept)] + [
-        T.StructField(n, t) for n, t in (("words", T.BinaryType()), ("tokens", T.BinaryType()), ("lengths", T.ArrayType(T.LongType())),
+        T.StructField(n, t) for n, t in (("words", T.BinaryType()), ("counts", T.BinaryType()), ("tokens", T.BinaryType()), ("lengths", T.ArrayType(T.LongType())),
                                          ("train", T.ArrayType(T.BooleanType())), ("n_tokens", T.LongType()),
                                          ("heavy", T.ArrayType(T.LongType())), ("followers", T.ArrayType(T.LongType())))])
 
@@ -419,13 +425,15 @@ def batches(docs: DataFrame, train: Column, keep: tuple[str, ...]) -> DataFrame:
                 hashes, bounds = token_hashes(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], CHUNK_BYTES)
                 distinct, token = np.unique(np.r_[START, END, hashes], return_inverse=True)
                 token = token[2:]
-                keys, followers = Batch(distinct, token, bounds).heavy(HEAVY)
+                keys, followers = Batch(distinct, token, bounds, order).heavy(HEAVY)
                 rows = part.slice(a, b - a)
+                train = np.repeat(np.asarray(rows.column("__train").to_numpy(zero_copy_only=False), bool), np.diff(bounds))
+                count = np.bincount(token[train], minlength=len(distinct))
                 one = pa.array([0, b - a], pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([number], pa.int64()),
                      pa.ListArray.from_arrays(one, pa.StructArray.from_arrays([rows.column(c) for c in keep], list(keep))),
-                     pa.array([distinct.tobytes()], pa.binary()), pa.array([_packed(token)], pa.binary()),
+                     *(pa.array([x], pa.binary()) for x in (_packed_hashes(distinct), _packed(count), _packed(token))),
                      pa.array([np.diff(bounds).tolist()], pa.list_(pa.int64())), pa.ListArray.from_arrays(one, rows.column("__train")),
                      pa.array([len(token)], pa.int64()), pa.array([keys.view(np.int64).tolist()], pa.list_(pa.int64())),
                      pa.array([followers.tolist()], pa.list_(pa.int64()))], names=schema.names)
@@ -436,30 +444,58 @@ def batches(docs: DataFrame, train: Column, keep: tuple[str, ...]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ shards
-def _requests(table: DataFrame, shards: int, heavy: np.ndarray, shared_only: bool) -> DataFrame:
-    """Step 2: (batch, shard, words, grams): per order the word numbers of the n-grams and their training counts.
-    ``shared_only``: those whose context several shards share."""
+def _request(batch: int, vocabulary: np.ndarray, found: list, shards: int):
+    """Rows (batch, shard, words, grams): per order the numbers of an n-gram's words among ``words``, and the counts.
+    ``found`` has (columns, counts, shard of each) per order."""
+    chosen = []
+    for columns, count, shard in found:
+        at = np.argsort(shard, kind="stable")
+        chosen.append(([c[at] for c in columns], count[at], np.searchsorted(shard[at], np.arange(shards + 1))))
+    for s in np.unique(np.concatenate([np.flatnonzero(np.diff(at)) for _, _, at in chosen])).tolist():
+        grams = [([c[at[s]:at[s + 1]] for c in columns], count[at[s]:at[s + 1]]) for columns, count, at in chosen]
+        used = np.unique(np.concatenate([c for columns, _ in grams for c in columns]))
+        packed = [_packed(*_gaps([np.searchsorted(used, c) for c in columns]), count) for columns, count in grams]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([batch], pa.int64()), pa.array([s], pa.int32()), pa.array([_packed_hashes(vocabulary[used])], pa.binary()),
+             pa.array([packed], pa.list_(pa.binary()))], names=["batch", "shard", "words", "grams"])
+
+
+REQUEST = "batch long, shard int, words binary, grams array<binary>"
+ANSWER = "batch long, shard int, order int, replies array<binary>, n long, v long"
+
+
+def _word_shard(vocabulary: np.ndarray, shards: int) -> np.ndarray:
+    return (mix(_EMPTY + vocabulary) % np.uint64(shards)).astype(np.int64)
+
+
+def _word_requests(table: DataFrame, shards: int) -> DataFrame:
+    """Step 2 for words: the empty context is shared by all shards."""
     def run(parts):
         for part in parts:
             for row in part.to_pylist():
-                batch, _, train = Batch.read(row)
-                chosen = []
-                for columns, count, (shard, shared) in zip((batch.one, batch.two, batch.three), batch.counts(train),
-                                                           batch.shards(shards, heavy)):
-                    order = np.argsort(shard, kind="stable")
-                    if shared_only:
-                        order = order[shared[order]]
-                    chosen.append(([c[order] for c in columns], count[order], np.searchsorted(shard[order], np.arange(shards + 1))))
-                for s in np.unique(np.concatenate([np.flatnonzero(np.diff(at)) for _, _, at in chosen])).tolist():
-                    grams = [([c[at[s]:at[s + 1]] for c in columns], count[at[s]:at[s + 1]]) for columns, count, at in chosen]
-                    used = np.unique(np.concatenate([c for columns, _ in grams for c in columns]))
-                    packed = [_packed(*(np.searchsorted(used, c) for c in columns), count) for columns, count in grams]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([row["batch"]], pa.int64()), pa.array([s], pa.int32()), pa.array([batch.vocabulary[used].tobytes()], pa.binary()),
-                         *(pa.array([p], pa.binary()) for p in packed)], names=["batch", "shard", "words", "one", "two", "three"])
-
-    columns = ["batch", "words", "tokens", "lengths", "train"]
-    return table.select(*columns).mapInArrow(run, "batch long, shard int, words binary, one binary, two binary, three binary")
+                vocabulary, (count,) = _unpacked_hashes(row["words"]), _unpacked(row["counts"])
+                yield from _request(row["batch"], vocabulary, [((np.arange(len(vocabulary)),), count, _word_shard(vocabulary, shards))], shards)
+
+    return table.select("batch", "words", "counts").mapInArrow(run, REQUEST)
+
+
+def _requests(table: DataFrame, shards: int, heavy: np.ndarray, order: int, shared_only: bool = False) -> DataFrame:
+    """Step 2 for pairs and triples; ``shared_only``: those whose context several shards share."""
+    def run(parts):
+        for part in parts:
+            for row in part.to_pylist():
+                batch, _, train = Batch.read(row, order)
+                found = [(c, n, *s) for c, n, s in zip(batch.grams[1:], batch.counts(train)[1:], batch.shards(shards, heavy))]
+                if shared_only:
+                    found = [([x[shared] for x in c], n[shared], s[shared], shared) for c, n, s, shared in found]
+                yield from _request(row["batch"], batch.vocabulary, [f[:3] for f in found], shards)
+
+    return table.select("batch", "words", "tokens", "lengths", "train").mapInArrow(run, REQUEST)
+
+
+def _gaps(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """The first column, which rises, as gaps."""
+    return [np.diff(columns[0], prepend=0), *columns[1:]]
 
 
 class Shard:
@@ -468,104 +504,109 @@ class Shard:
     def __init__(self, table: pa.Table):
         rows = table.to_pylist()
         rows.sort(key=lambda r: r["batch"])
+        self.shard = rows[0]["shard"]
         self.batches = [r["batch"] for r in rows]
-        held = [np.frombuffer(r["words"], np.uint64) for r in rows]
+        held = [_unpacked_hashes(r["words"]) for r in rows]
         self.vocabulary, number = np.unique(np.concatenate(held), return_inverse=True)
         start = np.r_[0, np.cumsum([len(h) for h in held])]
         m = len(self.vocabulary)
         self.grams, self.at, self.bounds = [], [], []
-        for name, order in (("one", 1), ("two", 2), ("three", 3)):
-            parts = [_unpacked(r[name]) for r in rows]
+        for which in range(len(rows[0]["grams"])):
+            parts = [_unpacked(r["grams"][which]) for r in rows]
+            n = len(parts[0]) - 1   # words of an n-gram
             self.bounds.append(np.r_[0, np.cumsum([len(p[0]) for p in parts])])
-            columns = [np.concatenate([number[start[i]:start[i + 1]][p[k]] for i, p in enumerate(parts)]) for k in range(order)]
+            columns = [np.concatenate([number[start[i]:start[i + 1]][np.cumsum(p[0]) if j == 0 else p[j]] for i, p in enumerate(parts)])
+                       for j in range(n)]
             count = np.concatenate([p[-1] for p in parts])
-            code, at = np.unique(columns[0] if order == 1 else columns[-2] * m + columns[-1], return_inverse=True)
-            if order == 3:          # pairs of the last two words, then triples: the codes stay small
+            del parts
+            code, at = np.unique(columns[0] if n == 1 else columns[-2] * m + columns[-1], return_inverse=True)
+            if n == 3:              # pairs of the last two words, then triples: the codes stay small
                 pairs = code
                 code, at = np.unique(columns[0] * len(pairs) + at, return_inverse=True)
                 pair = pairs[code % len(pairs)] if len(pairs) else code
                 distinct = [code // max(1, len(pairs)), pair // m, pair % m]
             else:
-                distinct = [code] if order == 1 else [code // m, code % m]
+                distinct = [code] if n == 1 else [code // m, code % m]
             self.at.append(at)
             self.grams.append([*distinct, np.bincount(at, count, len(code)).astype(np.int64)])
 
-    def shared_totals(self, heavy: np.ndarray):
+    def shared_totals(self):
         """(context, c, T) of this shard's part of contexts that several shards share."""
         v = self.vocabulary
-        contexts = [np.full(len(self.grams[0][0]), _EMPTY), context_hash(v[self.grams[1][0]]),
-                    context_hash(v[self.grams[2][0]], v[self.grams[2][1]])]
-        key = np.concatenate(contexts)
+        key = np.concatenate([context_hash(*(v[c] for c in g[:-2])) for g in self.grams])
         count = np.concatenate([g[-1] for g in self.grams])
         of, at = np.unique(key, return_inverse=True)
         return of, np.bincount(at, count, len(of)).astype(np.int64), np.bincount(at, count > 0, len(of)).astype(np.int64)
 
-    def answers(self, trie: Trie):
-        """Per request: the counts of its words, and the codes of its pairs and triples."""
+    def answers(self, totals: dict) -> pa.Table:
+        """ANSWER rows: per request the counts of its words, or the codes of its pairs and triples."""
+        n = len(self.grams[0]) - 1
+        none = [np.zeros(0, np.int64)] * 4
+        trie = Trie.mapped(Trie.compile(self.vocabulary, *([none[:2]] * (n - 1) + self.grams + [none] * 3)[:3], totals))
         v = trie.words(self.vocabulary)
-        one, two, three = self.grams
-        replies = [[trie.counts(v[one[0]])], trie.pairs(v[two[0]], v[two[1]]), trie.triples(v[three[0]], v[three[1]], v[three[2]])]
-        per_order = [[column[at] for column in reply] for reply, at in zip(replies, self.at)]
-        for i, batch in enumerate(self.batches):
-            yield batch, [_packed(*(column[b[i]:b[i + 1]] for column in columns)) for columns, b in zip(per_order, self.bounds)]
+        asks = (trie.counts, trie.pairs, trie.triples)[n - 1:]
+        per_order = [[column[at] for column in ask(*(v[c] for c in g[:-1]))] for ask, g, at in zip(asks, self.grams, self.at)]
+        replies = [[_packed(*(column[b[i]:b[i + 1]] for column in columns)) for columns, b in zip(per_order, self.bounds)]
+                   for i in range(len(self.batches))]
+        # what the shard adds to N and V, once
+        own = [(int(self.grams[0][-1].sum()), int((self.grams[0][-1] > 0).sum()))] + [(0, 0)] * (len(replies) - 1)
+        return pa.table({"batch": pa.array(self.batches, pa.int64()), "shard": pa.array([self.shard] * len(replies), pa.int32()),
+                         "order": pa.array([n] * len(replies), pa.int32()), "replies": pa.array(replies, pa.list_(pa.binary())),
+                         "n": pa.array([x for x, _ in own], pa.int64()), "v": pa.array([x for _, x in own], pa.int64())})
 
 
 class Model:
     """Totals of the training tokens and how n-grams are dealt to shards."""
 
-    def __init__(self, table: DataFrame):
-        self.table = table
+    def __init__(self, table: DataFrame, order: int = ORDER):
+        self.table, self.order = table, order
         tokens = table.agg(F.sum("n_tokens")).first()[0] or 0
         self.shards = max(1, -(-tokens // SHARD_TOKENS))
         # at most four a shard, as their followers add up to the tokens of the shards at most
         found = (table.select(F.explode(F.arrays_zip("heavy", "followers")).alias("x")).groupBy("x.heavy").agg(
             F.sum("x.followers").alias("n")).where(F.col("n") >= SHARD_TOKENS // 4).select("heavy").collect())
         heavy = self.heavy = np.sort(np.array([r[0] for r in found], np.int64).view(np.uint64))
-
-        def add(part: pa.Table) -> pa.Table:
-            of, count, types = Shard(part).shared_totals(heavy)
-            return pa.table({"context": of.view(np.int64), "c": count, "t": types})
-
-        sums = (_requests(table, self.shards, heavy, True).groupBy("shard").applyInArrow(add, "context long, c long, t long")
-                .groupBy("context").agg(F.sum("c").alias("c"), F.sum("t").alias("t")).collect())
-        self.totals = {int(np.int64(r["context"]).view(np.uint64)): (r["c"], r["t"]) for r in sums}
-        self.n, self.v = self.totals.pop(int(_EMPTY), (0, 0))
+        self.words = written(_word_requests(table, self.shards).groupBy("shard").applyInArrow(
+            lambda part: Shard(part).answers({}), ANSWER), "lm-words")
+        self.n, self.v = (x or 0 for x in self.words.agg(F.sum("n"), F.sum("v")).first())
+        self.totals: dict = {}
+        if len(heavy):
+            def add(part: pa.Table) -> pa.Table:
+                of, count, types = Shard(part).shared_totals()
+                return pa.table({"context": of.view(np.int64), "c": count, "t": types})
+
+            sums = (_requests(table, self.shards, heavy, order, True).groupBy("shard").applyInArrow(add, "context long, c long, t long")
+                    .groupBy("context").agg(F.sum("c").alias("c"), F.sum("t").alias("t")).collect())
+            self.totals = {int(np.int64(r["context"]).view(np.uint64)): (r["c"], r["t"]) for r in sums}
 
     def answers(self) -> DataFrame:
-        """Step 3: (batch, shard, one, two, three), each shard's answers to each batch."""
+        """Step 3: each shard's answers to each batch."""
         shared = self.table.sparkSession.sparkContext.broadcast(self.totals)
-
-        def answer(part: pa.Table) -> pa.Table:
-            shard = Shard(part)
-            trie = Trie.mapped(Trie.compile(shard.vocabulary, *shard.grams, shared.value))
-            number, replies = zip(*shard.answers(trie))
-            return pa.table({"batch": pa.array(number, pa.int64()), "shard": pa.array([part.column("shard")[0].as_py()] * len(number), pa.int32()),
-                             **{name: pa.array([r[k] for r in replies], pa.binary()) for k, name in enumerate(("one", "two", "three"))}})
-
-        requests = _requests(self.table, self.shards, self.heavy, False)
-        return requests.groupBy("shard").applyInArrow(answer, "batch long, shard int, one binary, two binary, three binary")
+        requests = _requests(self.table, self.shards, self.heavy, self.order)
+        return self.words.unionByName(requests.groupBy("shard").applyInArrow(lambda part: Shard(part).answers(shared.value), ANSWER))
 
     def scores(self, keep: T.StructType) -> DataFrame:
         """Step 4: the kept columns with n_tokens, n_known, train_tokens, base_score and score."""
-        shards, heavy, n, v = self.shards, self.heavy, self.n, self.v
+        shards, heavy, n, v, order = self.shards, self.heavy, self.n, self.v, self.order
         schema = T.StructType([*keep.fields, *(T.StructField(c, T.LongType()) for c in ("n_tokens", "n_known", "train_tokens")),
                                *(T.StructField(c, T.DoubleType()) for c in ("base_score", "score"))])
 
         def put(record: pa.Table, answers: pa.Table) -> pa.Table:
-            batch, bounds, _ = Batch.read(record.select(["words", "tokens", "lengths", "train"]).to_pylist()[0])
-            replies = sorted(answers.to_pylist(), key=lambda r: r["shard"])
+            batch, bounds, _ = Batch.read(record.select(["words", "tokens", "lengths", "train"]).to_pylist()[0], order)
+            replies = sorted(answers.to_pylist(), key=lambda r: (r["order"], r["shard"]))
             found = []
-            for name, (shard, _) in zip(("one", "two", "three"), batch.shards(shards, heavy)):
-                order = np.argsort(shard, kind="stable")
-                columns = [np.concatenate(c) for c in zip(*(_unpacked(r[name]) for r in replies))]
-                placed = [np.empty(len(order), np.int64) for _ in columns]
+            for k, shard in enumerate([_word_shard(batch.vocabulary, shards), *(s for s, _ in batch.shards(shards, heavy))]):
+                at = np.argsort(shard, kind="stable")
+                columns = [np.concatenate(c) for c in zip(*(_unpacked(r["replies"][max(0, k - 1)]) for r in replies
+                                                            if (r["order"] == 1) == (k == 0)))]
+                placed = [np.empty(len(at), np.int64) for _ in columns]
                 for to, column in zip(placed, columns):
-                    to[order] = column
+                    to[at] = column
                 found.append(placed)
-            (count,), (a2, b2), (a3, b3) = found
+            count = found[0][0]
             p = (count[batch.token] + 1) / (n + v + 1)
             lower = p
-            for at, a, b in ((batch.at2, a2, b2), (batch.at3, a3, b3)):
+            for at, (a, b) in zip(batch.at[1:], found[1:]):
                 lower = _VALUE[a[at]] + np.where(b[at] == NONE, 1.0, _VALUE[b[at]]) * lower
             start = bounds[:-1]
             rows = record.column("rows").combine_chunks()
@@ -580,9 +621,9 @@ class Model:
         return records.groupBy("batch").cogroup(self.answers().groupBy("batch")).applyInArrow(put, schema)
 
 
-def score(docs: DataFrame, train: Column, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def score(docs: DataFrame, train: Column, keep: tuple[str, ...] = ("doc_id",), order: int = ORDER) -> DataFrame:
     """Scores of all texts under a model of those where ``train`` holds (null: it does)."""
-    return Model(batches(docs, train, keep)).scores(docs.select(*keep).schema)
+    return Model(batches(docs, train, keep, order), order).scores(docs.select(*keep).schema)
 
 
 def op12_elias_fano_trie(spark, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ def tokens(text):
     return [*brute.WORD.findall(lowered), None]
 
 
-def plain(rows, held):
+def plain(rows, held, most):
     """{row number: (n_tokens, n_known, N, base, score)} with exact probabilities."""
     count, follow = Counter(), {2: defaultdict(Counter), 3: defaultdict(Counter)}
     texts = [tokens(t) for _, t in rows]
@@ -41,7 +41,7 @@ def plain(rows, held):
         for i in range(2, len(padded)):
             p = (count[padded[i]] + 1) / (n + v + 1)
             base += math.log10(p)
-            for order, context in ((2, padded[i - 1]), (3, (padded[i - 2], padded[i - 1]))):
+            for order, context in ((2, padded[i - 1]), (3, (padded[i - 2], padded[i - 1])))[:most - 1]:
                 seen = follow[order].get(context)
                 if seen:
                     c = sum(seen.values())
@@ -55,9 +55,9 @@ def held(key):
     return key is not None and zlib.crc32(str(key).encode()) % 7 == 2
 
 
-def check(got, rows, keys):
+def check(got, rows, order):
     want = defaultdict(list)
-    for (key, text), w in zip(rows, plain(rows, held)):
+    for (key, text), w in zip(rows, plain(rows, held, order)):
         want[key].append(w)
     have = defaultdict(list)
     for x in got:
@@ -105,8 +105,8 @@ def test_long_texts_are_cut_between_words():
     assert np.diff(bounds).tolist() == [401, 1, 3, 1, 2]
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_scores_against_plain(spark, monkeypatch, small):
+@pytest.mark.parametrize("small, order", [(False, 3), (True, 3), (True, 2)])
+def test_scores_against_plain(spark, monkeypatch, small, order):
     """Also with many batches, many shards and contexts that shards share."""
     if small:
         monkeypatch.setattr(lm, "SHARD_TOKENS", 900)
@@ -118,12 +118,12 @@ def test_scores_against_plain(spark, monkeypatch, small):
     from pyspark.sql import functions as F
     flag = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
     table = table.withColumn("held_out", flag)
-    got = lm.score(table, ~F.col("held_out"), ("doc_id", "held_out"))
+    got = lm.score(table, ~F.col("held_out"), ("doc_id", "held_out"), order)
     assert got.columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     rows = [(x["doc_id"], x["text"]) for x in table.select("doc_id", "text").collect()]
-    check(got.collect(), rows, table)
+    check(got.collect(), rows, order)
     if small:
-        model = lm.Model(lm.batches(table, ~F.col("held_out"), ("doc_id",)))
+        model = lm.Model(lm.batches(table, ~F.col("held_out"), ("doc_id",), order), order)
         assert model.shards > 5 and len(model.heavy) >= 1 and model.totals
 
 
@@ -132,8 +132,8 @@ def test_small_example(spark):
     learnt = "a b a c a b d b a c c a"
     rows = [(0, learnt), (1, "a")] + [(10 + i, f"a b {w}") for i, w in enumerate([*sorted(set(learnt.split())), "unseen"])]
     table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("t", F.col("doc_id") < 2)
-    got = {x["doc_id"]: x for x in lm.score(table, F.col("t")).collect()}
-    want = plain([r if r[0] < 2 else (2, r[1]) for r in rows], lambda k: k == 2)
+    got = {x["doc_id"]: x for x in lm.score(table, F.col("t"), order=3).collect()}
+    want = plain([r if r[0] < 2 else (2, r[1]) for r in rows], lambda k: k == 2, 3)
     for r, w in zip(rows, want):
         assert got[r[0]]["score"] == pytest.approx(w[4], abs=1e-3)
 
@@ -150,6 +150,6 @@ def test_registered_query(spark):
     table = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
     rows = [tuple(x) for x in table.collect()]
     got = lm.op12_elias_fano_trie(spark, SMALL).collect()
-    check(got, rows, None)
+    check(got, rows, lm.ORDER)
     out = [x for x in got if x["held_out"]]
     assert sum(x["score"] for x in out) > sum(x["base_score"] for x in out)      # contexts help on texts it did not learn from
