@@ -93,15 +93,34 @@ def pivot_counts(df: DataFrame, keys: Sequence[ColumnLike], pivot_col: str,
                  values: Sequence[str]) -> DataFrame:
     """Wide counts: one column per listed pivot value, 0 where absent.
 
+    A column is named as its value; where that name is taken (whatever its case, by a
+    key too), ``_2``, ``_3`` ... follows it.
+
     Every key seen in ``df`` appears, whatever its pivot value, so the key
     set doubles as the zero-fill spine. The value list is explicit, as
     Spark's ``pivot`` needs for a plan without a distinct pre-pass.
     """
     uniq = list(dict.fromkeys(values))
-    aggs = [F.count(F.when(F.col(pivot_col) == v, F.lit(1))).alias(v) for v in uniq]
-    if not aggs:
+    if not uniq:
         return df.select(*keys).distinct()
-    return df.groupBy(*keys).agg(*aggs)
+    counts = [F.count(F.when(F.col(pivot_col) == v, F.lit(1))) for v in uniq]
+    grouped = df.groupBy(*keys).agg(F.array(*counts).alias("_counts"))
+    names = free_names(uniq, grouped.columns)
+    return grouped.select(*(F.col(f"`{c}`") for c in grouped.columns[:-1]),
+                          *(F.col("_counts")[i].alias(n) for i, n in enumerate(names)))
+
+
+def free_names(wanted: Sequence[str], taken: Sequence[str]) -> list[str]:
+    """The wanted names, each with a number behind it where it would stand twice, whatever its case."""
+    seen, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        free, n = name, 1
+        while free.lower() in seen:
+            n += 1
+            free = f"{name}_{n}"
+        seen.add(free.lower())
+        out.append(free)
+    return out
 
 
 def max_of_group_counts(df: DataFrame, inner_keys: Sequence[str], outer_keys: Sequence[str],

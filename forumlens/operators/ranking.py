@@ -19,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import ColumnLike, _c
 
@@ -39,20 +40,32 @@ def _order(order: Sequence[ColumnLike]) -> list[Column]:
     return [F.col(o).asc_nulls_first() if isinstance(o, str) else o for o in order]
 
 
+def _total(df: DataFrame, order: Sequence[ColumnLike]) -> list[Column]:
+    """``order`` made total up to equal rows: whatever ties on it goes by all columns, as they stand."""
+    names = [c.lower() for c in df.columns]
+    rest = [F.col(f"`{f.name}`").asc_nulls_first() for f in df.schema.fields
+            if names.count(f.name.lower()) == 1 and not _unordered(f.dataType)]
+    return [*_order(order), *rest]
+
+
+def _unordered(kind: T.DataType) -> bool:
+    return any(t in kind.simpleString() for t in ("map<", "variant"))
+
+
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike],
                   n: int = 1, ties: str = "first",
                   tiebreak: Sequence[ColumnLike] = ()) -> DataFrame:
     """Keep the first ``n`` rows of each group under ``order``.
 
     ``ties="first"`` keeps exactly ``n`` rows per group, choosing among rows
-    tied on ``order`` by ``tiebreak`` (give a unique key for a deterministic
-    result); ``ties="all"`` ignores ``tiebreak`` and keeps every row that
+    tied on ``order`` by ``tiebreak`` and then by all columns in turn, so the
+    result never depends on chance; ``ties="all"`` ignores ``tiebreak`` and keeps every row that
     ties with the ``n``-th. A missing key forms its own group.
     """
     if ties not in TIES:
         raise ValueError(f"ties must be one of {TIES}")
-    full = [*order, *tiebreak] if ties == "first" else list(order)
-    w = Window.partitionBy(*keys).orderBy(*_order(full))
+    full = _total(df, [*order, *tiebreak]) if ties == "first" else _order(order)
+    w = Window.partitionBy(*keys).orderBy(*full)
     fn = F.row_number() if ties == "first" else F.rank()
     return df.withColumn("_rank", fn.over(w)).where(F.col("_rank") <= n).drop("_rank")
 
@@ -70,6 +83,8 @@ def rows_at_group_max(df: DataFrame, keys: Sequence[str], value: str,
     (keys, value) rather than a window: a hot group with many tied rows is
     spread over the join's partitions, and AQE splits a skewed one.
     """
+    if not keys:
+        raise ValueError("rows_at_group_max needs at least one key")
     summary = df.groupBy(*keys).agg(F.max(value).alias("_max"))
     s_ = summary.alias("_g")
     d = df.alias("_d")
@@ -88,6 +103,8 @@ def with_group_agg(df: DataFrame, keys: Sequence[str], agg: Column, name: str) -
     Aggregated with ``groupBy`` and joined back on the keys (missing keys
     match each other, as in a window partition).
     """
+    if not keys:
+        raise ValueError("with_group_agg needs at least one key")
     summary = df.groupBy(*keys).agg(agg.alias(name))
     s = summary.alias("_g")
     d = df.alias("_d")
@@ -104,9 +121,35 @@ def with_group_max(df: DataFrame, keys: Sequence[str], value: str, name: str | N
 
 
 def top_k(df: DataFrame, k: int, order: Sequence[ColumnLike]) -> DataFrame:
-    """First ``k`` rows under ``order``; planned as TakeOrderedAndProject, so
+    """First ``k`` rows under ``order``, ties by all columns in turn; planned as TakeOrderedAndProject, so
     each task keeps only ``k`` rows and the driver merges ``k`` x tasks."""
-    return df.orderBy(*_order(order)).limit(k)
+    return df.orderBy(*_total(df, order)).limit(k)
+
+
+def delivered_positions(df: DataFrame, name: str = "position") -> DataFrame:
+    """Number rows 1..N in the order in which ``df`` delivers them: partition by partition, each
+    from its first row to its last, which for a sorted frame is the sort order.
+
+    The rows are written once to the shared folder with their place, so every later step sees the
+    same order; one row per partition gives the offsets.
+    """
+    from ..session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, "delivered")
+    at = "_at"
+    while at in df.columns:
+        at += "_"
+    # the id holds the partition in the upper bits and the row's place in it in the lower 33
+    df.withColumn(at, F.monotonically_increasing_id()).write.parquet(path)
+    stored = spark.read.parquet(path)
+    part = F.shiftright(at, 33)
+    counts = stored.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    # one row per partition: bounded by the partition count, not by the data
+    return stored.alias("_d").join(F.broadcast(offsets), part == F.col("_part")).select(
+        *(F.col(f"_d.`{c}`") for c in df.columns),
+        (F.col("_before") + F.col(f"_d.{at}").bitwiseAND((1 << 33) - 1) + 1).alias(name))
 
 
 def with_position(df: DataFrame, order: Sequence[ColumnLike], name: str = "position") -> DataFrame:

@@ -202,11 +202,13 @@ class ForumData:
     def activity(self) -> DataFrame:
         return self._stored("activity", lambda: activity(self.base("orders"), self.base("customer")))
 
-    def tables(self) -> dict[str, DataFrame]:
-        if self.materialize:
-            self.materialize_all()
-        return {"Posts": self.posts, "Users": self.users, "Votes": self.votes,
-                "Comments": self.comments, "Badges": self.badges, "Activity": self.activity}
+    def tables(self, *names: str) -> dict[str, DataFrame]:
+        """The named tables (all without names); only these are derived and stored."""
+        if not names:
+            names = ("Posts", "Users", "Votes", "Comments", "Badges", "Activity")
+            if self.materialize:
+                self.materialize_all()
+        return {n: getattr(self, n.lower()) for n in names}
 
     def materialize_all(self) -> None:
         """Derive and store every table now (the one-time conversion step).

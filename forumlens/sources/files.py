@@ -1,91 +1,111 @@
 """File sources and sinks: commented/gzipped CSV, plain CSV, XML dumps.
 
 All readers take an explicit schema: inference costs a full extra pass over
-the input and guesses types per file. Gzip is not splittable, so one ``.gz``
-file is read by one task; ``partitions=`` spreads the rows afterwards (one
-shuffle) when few large files feed a wide job.
+the input and guesses types per file. Large plain files are read by many tasks.
+Gzip is not splittable, so one ``.gz`` file is read by one task; ``partitions=`` spreads the
+rows afterwards (one shuffle) when few large files feed a wide job.
 """
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from .splits import attribute_names, csv_records, xml_elements
+
+# Stands for a quoted empty value while a record is parsed, so that it is told from a missing one.
+_EMPTY = "\x00"
 
 
 def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
     return df.repartition(partitions) if partitions else df
 
 
-def _csv_text(spark: SparkSession, paths: str | Sequence[str], comment: str | None) -> DataFrame:
-    """All columns as text under the names in the header. Values may hold quotes (doubled), line
-    ends, edge spaces and ``comment`` characters; files whose headers differ raise."""
-    reader = (spark.read.option("header", True).option("escape", '"').option("multiLine", True)
-              .option("enforceSchema", False).option("mode", "FAILFAST"))
-    if comment:
-        reader = reader.option("comment", comment)
-    return reader.csv(paths)
-
-
 def as_struct(schema: T.StructType | str) -> T.StructType:
     """A schema given as a StructType or in short as text (``Id long, Title string``)."""
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
-def _by_name(text: DataFrame, schema: T.StructType | str) -> DataFrame:
+def _csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str, comment: str | None,
+         bad_values: Observation | None = None, of_file: tuple[str, DataFrame] | None = None) -> DataFrame:
+    """The columns of ``schema`` by name; ``of_file`` adds a column that a table (file, value) gives per file."""
     schema = as_struct(schema)
-    missing = [n for n in schema.names if n not in text.columns]
-    if missing:
-        raise ValueError(f"columns missing in the header: {missing}")
-    return text.select(*(text[f"`{f.name}`"].try_cast(f.dataType).alias(f.name) for f in schema.fields))
-
-
-def bad_values(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
-               comment: str | None = None) -> DataFrame:
-    """One row: per column of ``schema`` how many values are not of its type (the readers give NULL)."""
-    text, schema = _csv_text(spark, paths, comment), as_struct(schema)
-    _by_name(text, schema)
-    return text.agg(*(F.count_if(text[f"`{f.name}`"].isNotNull() & text[f"`{f.name}`"].try_cast(f.dataType).isNull())
-                      .alias(f.name) for f in schema.fields))
-
-
-def read_commented_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
-                       comment: str = "#", partitions: int | None = None) -> DataFrame:
+    records, header = csv_records(spark, paths, comment)
+    names = next(csv.reader(io.StringIO(header, newline="")), []) if header else []
+    place = {}
+    for field in schema.fields:
+        found = ([i for i, n in enumerate(names) if n == field.name]
+                 or [i for i, n in enumerate(names) if n.lower() == field.name.lower()])
+        if len(found) > 1:
+            raise ValueError(f"column {field.name} stands {len(found)} times in the header")
+        place.update({field.name: i for i in found})
+    if names and len(place) < len(schema.fields):
+        raise ValueError(f"columns missing in the header: {[n for n in schema.names if n not in place]}")
+    columns = ", ".join(f"c{i} string" for i in range(len(names))) or "c0 string"
+    parsed = F.from_csv("record", columns, {"escape": '"', "multiLine": "true", "mode": "FAILFAST", "emptyValue": _EMPTY})
+    rows = records.select("file", parsed.alias("r"))
+    raw = {}
+    for field in schema.fields:
+        c = F.col(f"r.c{place[field.name]}") if names else F.lit(None).cast("string")
+        raw[field.name] = F.when(c == _EMPTY, F.lit("")).otherwise(c)
+    typed = {f.name: raw[f.name].try_cast(f.dataType) for f in schema.fields}
+    if bad_values is not None:
+        rows = rows.observe(bad_values, *(F.count_if(
+            raw[n].isNotNull() & (raw[n] != "") & typed[n].isNull()).alias(n) for n in schema.names))
+    kept = [typed[n].alias(n) for n in schema.names]
+    if of_file is None:
+        return rows.select(*kept)
+    name, table = of_file
+    # one row a file, which the driver lists to plan the scan
+    return rows.join(F.broadcast(table), "file").select(*kept, F.col("value").alias(name))
+
+
+def read_commented_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str,
+                       comment: str = "#", partitions: int | None = None, bad_values: Observation | None = None) -> DataFrame:
     """CSV with a header, lines starting with ``comment`` skipped.
 
-    Columns are found by their names in the header, in any order. Only lines
-    that *start* with the comment character are skipped; a ``#`` inside a
-    value (``C# lang``) is data. Compression follows the extension. A value
-    that is not of its column's type is NULL; :func:`bad_values` counts them.
-    As a value may hold line ends, a file is read by one task.
+    Columns are found by their names in the header, in any order; files whose headers differ
+    raise. Only lines that *start* with the comment character, between records, are skipped; a ``#``
+    inside a value (``C# lang``) is data. Values in quotes may hold line ends and doubled quotes; a
+    large plain file is still read by many tasks (see :mod:`.splits`). Compression follows the
+    extension; a gzip file is one task. Text ``""`` is empty, nothing between two commas is missing.
+
+    A value that is not of its column's type is NULL. With ``bad_values`` (an ``Observation``) the reading
+    job itself counts them, one number a column: ``bad_values.get`` after the first action.
     """
-    return _spread(_by_name(_csv_text(spark, paths, comment), schema), partitions)
+    return _spread(_csv(spark, paths, schema, comment, bad_values), partitions)
 
 
-def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
-             partitions: int | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str,
+             partitions: int | None = None, bad_values: Observation | None = None) -> DataFrame:
     """Plain CSV with a header, columns by name; else as :func:`read_commented_csv`."""
-    return _spread(_by_name(_csv_text(spark, paths, None), schema), partitions)
+    return _spread(_csv(spark, paths, schema, None, bad_values), partitions)
+
+
+def _rows_of(elements: DataFrame, schema: T.StructType) -> DataFrame:
+    """Attributes by name; an element that is not well formed raises, a value of another type is NULL."""
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    alone = F.regexp_replace("element", "/?>$", "/>")
+    parsed = elements.select(F.from_xml(alone, text, {"attributePrefix": "", "mode": "FAILFAST", "ignoreSurroundingSpaces": "false"}).alias("r"))
+    return parsed.select(*(F.col("r").getField(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields))
 
 
-def read_xml_rows(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
-                  row_tag: str = "row", partitions: int | None = None) -> DataFrame:
+def read_xml_rows(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str,
+                  row_tag: str = "row", partitions: int | None = None, rows_span_lines: bool = False) -> DataFrame:
     """S3: one row per ``<row .../>`` element, attributes become columns.
 
-    A missing attribute is a missing value; entities are decoded. Each file
-    is parsed as a stream by one task (the source's default mode). Its
-    line-split mode (``multiLine=false``) would read a file in parallel, but
-    on self-closing rows it produced spurious empty rows in our check, so it
-    is not used: whole results first. Many dump files read in parallel;
-    ``partitions=`` spreads the rows of few large files after the read.
+    A missing attribute is a missing value; entities are decoded. A large file is read by many
+    tasks. Dumps have one row a line; for rows over several lines set ``rows_span_lines`` (without
+    it such a row raises, nothing is lost). An element that is not well formed raises; a value
+    that is not of its column's type is NULL. Rows inside comments count as rows.
     """
-    df = (spark.read.format("xml").option("rowTag", row_tag).option("attributePrefix", "")
-          .schema(schema).load(paths))
-    return _spread(df, partitions)
+    return _spread(_rows_of(xml_elements(spark, paths, row_tag, rows_span_lines), as_struct(schema)), partitions)
 
 
 def write_csv(df: DataFrame, path: str, gzip: bool = True, mode: str = "errorifexists",
@@ -93,7 +113,7 @@ def write_csv(df: DataFrame, path: str, gzip: bool = True, mode: str = "errorife
     """CSV sink with a header and no index column; one file per task
     (and per value of ``partition_by``, one folder ``col=value`` each).
     Quotes inside values are doubled; edge spaces and line ends are kept;
-    empty text cannot be told from a missing value when read back."""
+    empty text is written as ``""``, a missing value as nothing."""
     w = (df.write.mode(mode).option("header", True).option("escape", '"')
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if gzip:
@@ -135,35 +155,40 @@ def write_xml_rows(df: DataFrame, path: str, root_tag: str = "dump", row_tag: st
 def convert_dump(spark: SparkSession, xml_paths: Mapping[str, str], out_dir: str,
                  schemas: Mapping[str, T.StructType] | None = None,
                  drop: Mapping[str, Sequence[str]] = S.DUMP_DROP_COLUMNS,
-                 gzip: bool = True, partitions: int | None = None) -> dict[str, str]:
+                 gzip: bool = True, partitions: int | None = None, rows_span_lines: bool = False) -> dict[str, str]:
     """XML dump tables to CSV, dropping the listed columns per table.
 
-    One Spark job per table. A dump file is parsed by one task (see
-    :func:`read_xml_rows`); ``partitions=`` spreads its rows before the
-    write, so the CSV output is many files that later reads split across
-    tasks. ``schemas`` gives the full schema (dropped columns included) per
-    table; without it the XML source infers one.
+    One Spark job per table, each file read by many tasks; attribute values pass as they
+    stand, dates too. ``schemas`` names the columns per table (dropped ones included, types do not
+    matter); without it one more pass finds the attribute names, in alphabetical order.
     """
     out = {}
     for name, path in xml_paths.items():
-        reader = spark.read.format("xml").option("rowTag", "row").option("attributePrefix", "")
-        if schemas and name in schemas:
-            reader = reader.schema(schemas[name])
-        df = reader.load(path)
-        df = _spread(df.drop(*[c for c in drop.get(name, []) if c in df.columns]), partitions)
-        out[name] = write_csv(df, f"{out_dir.rstrip('/')}/{name}", gzip=gzip)
+        elements = xml_elements(spark, path, "row", rows_span_lines)
+        names = as_struct(schemas[name]).names if schemas and name in schemas else attribute_names(elements)
+        gone = {c.lower() for c in drop.get(name, [])}
+        kept = T.StructType([T.StructField(n, T.StringType()) for n in names if n.lower() not in gone])
+        out[name] = write_csv(_spread(_rows_of(elements, kept), partitions), f"{out_dir.rstrip('/')}/{name}", gzip=gzip)
     return out
 
 
 def read_topics(spark: SparkSession, topic_paths: Mapping[str, str | Sequence[str]],
-                schema: T.StructType = S.ACTIVITY, topic_col: str = "Topic") -> DataFrame:
+                schema: T.StructType | str = S.ACTIVITY, topic_col: str = "Topic") -> DataFrame:
     """Several topic files as one frame with a ``Topic`` column, so one
-    grouped job serves every topic instead of one program copy per topic."""
+    grouped job serves every topic instead of one program copy per topic.
+
+    All files are read in one scan; a row's topic is looked up by its file in the table of files that
+    the driver lists anyway. Files that stand under several topics raise.
+    """
     if not topic_paths:
         raise ValueError("read_topics needs at least one topic")
-    frames = [read_csv(spark, p, schema).withColumn(topic_col, F.lit(t))
-              for t, p in topic_paths.items()]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    files: dict[str, str] = {}
+    for topic, paths in topic_paths.items():
+        for file in spark.read.text([paths] if isinstance(paths, str) else list(paths)).inputFiles():
+            if files.setdefault(file, topic) != topic:
+                raise ValueError(f"{file} stands under the topics {files[file]} and {topic}")
+    # a file's own name has one slash behind the scheme, the listed one three
+    table = spark.createDataFrame([(f, t) for f, t in files.items()], "path string, value string").select(
+        F.xxhash64(F.regexp_replace("path", "^file:/+", "file:/")).alias("file"), "value")
+    everything = [p for paths in topic_paths.values() for p in ([paths] if isinstance(paths, str) else paths)]
+    return _csv(spark, everything, schema, None, of_file=(topic_col, table))
