@@ -205,7 +205,7 @@ ob AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY OwnerUserId
                               ORDER BY FavoriteCount DESC NULLS LAST) AS rk
        FROM oq)"""
 
-_XML_POST_COLS = "Id, PostTypeId, ParentId, AcceptedAnswerId, Score, OwnerUserId, Title, FavoriteCount"
+_XML_POST_COLS = "Id, PostTypeId, ParentId, AcceptedAnswerId, CreationDate, Score, OwnerUserId, Title, FavoriteCount"
 
 ORACLE: dict[str, str] = {
     "q1_top_authors": _q1(),
@@ -233,6 +233,11 @@ ORACLE: dict[str, str] = {
     "t1_tag_list": _with("SELECT DISTINCT TagName FROM activity"),
     "t2_date_spine": _with("SELECT DISTINCT Date FROM dated ORDER BY Date"),
     "t3_series_long": _spine_long(TAGS3),
+    "t3_series_tag_table": _with("""
+, months AS (SELECT DISTINCT Date FROM dated), tags AS (SELECT DISTINCT TagName FROM dated)
+SELECT m.Date, t.TagName, COUNT(d.Date) AS Count
+FROM months m CROSS JOIN tags t LEFT JOIN dated d ON d.Date = m.Date AND d.TagName = t.TagName
+GROUP BY m.Date, t.TagName"""),
     "t3_series_one": _with(f"""
 , spine AS (SELECT DISTINCT Date FROM dated),
 cnt AS (SELECT Date, COUNT(*) AS Count FROM dated WHERE TagName = {_lst(TAGS3[:1])} GROUP BY Date)
@@ -243,7 +248,22 @@ SELECT s.Date, COALESCE(c.Count, 0) AS Count FROM spine s LEFT JOIN cnt c ON c.D
     "s1_csv_gz_round_trip": _with("SELECT Id, Reputation, DisplayName, Location, Age FROM users"),
     "s2_plain_csv": _with("SELECT TagName, Year, Month FROM activity"),
     "s3_xml_round_trip": _with(f"SELECT {_XML_POST_COLS} FROM posts"),
-    "s4_convert_dump": _with(f"SELECT {_XML_POST_COLS} FROM posts"),
+    "s4_convert_dump": _with("""
+, ts AS (SELECT *, strftime(CreationDate, '%Y-%m-%dT%H:%M:%S.%g') AS Made FROM posts),
+vt AS (SELECT *, strftime(CreationDate, '%Y-%m-%dT%H:%M:%S.%g') AS Made FROM votes),
+lines AS (
+SELECT 'Badges' AS Source, [CAST(UserId AS VARCHAR), Name, CAST(Class AS VARCHAR)] AS v FROM badges
+UNION ALL SELECT 'PostLinks', [CAST(Id AS VARCHAR), CAST(Id AS VARCHAR), CAST(AcceptedAnswerId AS VARCHAR)]
+FROM posts WHERE AcceptedAnswerId IS NOT NULL
+UNION ALL SELECT 'Posts', [CAST(Id AS VARCHAR), CAST(PostTypeId AS VARCHAR), CAST(ParentId AS VARCHAR),
+  CAST(AcceptedAnswerId AS VARCHAR), Made, CAST(Score AS VARCHAR), CAST(OwnerUserId AS VARCHAR), Title,
+  CAST(FavoriteCount AS VARCHAR)] FROM ts
+UNION ALL SELECT 'Tags', [TagName, CAST(COUNT(*) AS VARCHAR)] FROM activity GROUP BY TagName
+UNION ALL SELECT 'Users', [CAST(Id AS VARCHAR), CAST(Reputation AS VARCHAR), DisplayName, Location,
+  CAST(Age AS VARCHAR)] FROM users
+UNION ALL SELECT 'Votes', [CAST(PostId AS VARCHAR), CAST(VoteTypeId AS VARCHAR), Made] FROM vt
+UNION ALL SELECT 'Comments', [CAST(PostId AS VARCHAR), CAST(Score AS VARCHAR), CAST(UserId AS VARCHAR)] FROM comments)
+SELECT Source, array_to_string(list_transform(v, lambda x: COALESCE(x, '-')), '|') AS Line FROM lines"""),
     "s9_preview": _with(f"SELECT Id, Title FROM posts WHERE PostTypeId = 1 ORDER BY Id LIMIT {K}"),
     "p_project_rename_derive": _with("""
 SELECT Id AS QuestionId, Title, OwnerUserId AS AuthorId, strftime(CreationDate, '%Y') AS Year
@@ -264,8 +284,9 @@ WHERE Class = 1 AND Name IN (SELECT Name FROM badges WHERE Class = 1 GROUP BY Na
     "p_fill_columns": _with(
         "SELECT Id, COALESCE(FavoriteCount, 0) AS FavoriteCount FROM posts WHERE PostTypeId = 1"),
     "p_fill_all": _with("""
-SELECT Id, COALESCE(Title, '0') AS Title, COALESCE(OwnerUserId, 0) AS OwnerUserId,
-       COALESCE(FavoriteCount, 0) AS FavoriteCount, COALESCE(AcceptedAnswerId, 0) AS AcceptedAnswerId
+SELECT Id, PostTypeId, COALESCE(ParentId, 0) AS ParentId, COALESCE(AcceptedAnswerId, 0) AS AcceptedAnswerId,
+       COALESCE(CreationDate, TIMESTAMP '1970-01-01') AS CreationDate, Score, COALESCE(OwnerUserId, 0) AS OwnerUserId,
+       COALESCE(Title, '0') AS Title, COALESCE(FavoriteCount, 0) AS FavoriteCount
 FROM posts"""),
     "p_distinct": _with("SELECT DISTINCT Name, Class FROM badges"),
     "p_distinct_by_key": _with("""
@@ -296,6 +317,26 @@ o AS (SELECT PostId, COUNT(*) AS OldVotes FROM cls WHERE VoteAge = 'old' GROUP B
 SELECT COALESCE(n.PostId, o.PostId) AS PostId, COALESCE(n.NewVotes, 0) AS NewVotes,
        COALESCE(o.OldVotes, 0) AS OldVotes
 FROM n FULL OUTER JOIN o ON n.PostId = o.PostId"""),
+    "j_full_outer_rows": _with("""
+SELECT COALESCE(q.OwnerUserId, u.Id) AS UserId, q.Id, q.Title, u.DisplayName
+FROM questions q FULL OUTER JOIN users u ON q.OwnerUserId = u.Id"""),
+    "p_zip_frames": _with("""
+, a AS (SELECT Id AS ById, row_number() OVER (ORDER BY Id) AS position FROM questions),
+b AS (SELECT Title AS ByTitle, Id AS TitleId, row_number() OVER (ORDER BY Title, Id) AS position FROM questions)
+SELECT a.position, ById, ByTitle, TitleId FROM a JOIN b ON a.position = b.position"""),
+    "a_split_frames": _with(f"""{_classified()}
+SELECT VoteAge || ' votes' AS Frame, PostId, COUNT(*) AS Total FROM cls GROUP BY VoteAge, PostId"""),
+    "u_ordered_diff": _with(f"""{POS_COUNTS},
+a AS (SELECT ParentId, PositiveAnswerCount,
+             row_number() OVER (ORDER BY PositiveAnswerCount DESC, ParentId DESC) AS _position FROM pc),
+b AS (SELECT ParentId, PositiveAnswerCount,
+             row_number() OVER (ORDER BY PositiveAnswerCount DESC, ParentId ASC) AS _position FROM pc)
+SELECT *, 'missing' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) m
+UNION ALL SELECT *, 'extra' AS side FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) e"""),
+    "u_bind_rows": _with("""
+SELECT Id, Title, 'question' AS Kind FROM questions
+UNION ALL SELECT Id, NULL AS Title, 'user' AS Kind FROM users u
+WHERE NOT EXISTS (SELECT 1 FROM questions q WHERE q.OwnerUserId = u.Id)"""),
     "j_anti": _with(f"""{_classified()}
 SELECT PostId, COUNT(*) AS OldVotes FROM cls o
 WHERE VoteAge = 'old'

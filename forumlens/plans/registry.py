@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import columns as C
 from ..operators import aggregates as A
+from ..operators import binding as B
 from ..operators import joins as J
 from ..operators import ranking as R
 from ..operators.compare import frames_diff
@@ -32,8 +33,6 @@ from . import sql_forms
 # answer scores lie in -9..40 and whose votes fall in 1995..2001.
 TAGS3 = ["Customer#000000001", "Customer#000000002", "Customer#000000003"]
 TAGS2 = ["Customer#000000001", "Customer#000000002"]
-# The topic of an activity row is its order status, whose domain is fixed.
-TOPICS = ["F", "O", "P"]
 GAP = 40
 NEW_YEARS = ("2000", "2001")
 THRESHOLD_YEAR = "2000"
@@ -79,7 +78,7 @@ def q1_empty_sum_zero(fd):
 
 @query
 def q1_sql_form(fd):
-    register_views(fd.tables())
+    register_views(fd.tables("Posts", "Users"))
     return run_sql(fd.spark, sql_forms.q1(K))
 
 
@@ -90,7 +89,7 @@ def q2_positive_answers(fd):
 
 @query
 def q2_sql_form(fd):
-    register_views(fd.tables())
+    register_views(fd.tables("Posts"))
     return run_sql(fd.spark, sql_forms.q2(K))
 
 
@@ -106,7 +105,7 @@ def q3_ties_all(fd):
 
 @query
 def q3_sql_form(fd):
-    register_views(fd.tables())
+    register_views(fd.tables("Posts", "Votes"))
     return run_sql(fd.spark, sql_forms.q3())
 
 
@@ -117,7 +116,7 @@ def q4_accepted_gap(fd):
 
 @query
 def q4_sql_form(fd):
-    register_views(fd.tables())
+    register_views(fd.tables("Posts"))
     return run_sql(fd.spark, sql_forms.q4(GAP))
 
 
@@ -133,7 +132,7 @@ def q5_null_keys_match(fd):
 
 @query
 def q5_sql_form(fd):
-    register_views(fd.tables())
+    register_views(fd.tables("Posts", "Comments"))
     return run_sql(fd.spark, sql_forms.q5(K))
 
 
@@ -144,7 +143,7 @@ def q6_rare_badge_users(fd):
 
 @query
 def q6_sql_form(fd):
-    register_views(fd.tables())
+    register_views(fd.tables("Users", "Badges"))
     return run_sql(fd.spark, sql_forms.q6())
 
 
@@ -170,7 +169,7 @@ def q7_threshold_rule(fd):
 
 @query
 def q7_sql_form(fd):
-    register_views(fd.tables())
+    register_views(fd.tables("Posts", "Votes"))
     return run_sql(fd.spark, sql_forms.q7(K, NEW_YEARS))
 
 
@@ -190,6 +189,12 @@ def t3_series_long(fd):
     return T.series_long(fd.activity, TAGS3)
 
 
+@query
+def t3_series_tag_table(fd):
+    """Every tag of the tag list, as a table, over every month."""
+    return T.series_long(fd.activity, T.tag_list(fd.activity))
+
+
 @query
 def t3_series_one(fd):
     return T.series_one(fd.activity, TAGS3[0])
@@ -228,33 +233,53 @@ def s8_topic_files_series(fd):
     base = scratch_path(fd.spark, "s8")
     files.write_csv(fd.activity.select("TagName", "Year", "Month", "Topic"), base, gzip=False,
                     partition_by=["Topic"])
-    topics = files.read_topics(fd.spark, {t: f"{base}/Topic={t}" for t in TOPICS})
+    # the topics are the folders that were written
+    found = fd.spark.read.text(base).select("Topic").distinct().collect()
+    topics = files.read_topics(fd.spark, {r[0]: f"{base}/Topic={r[0]}" for r in found})
     return T.topics_series(topics, TAGS2)
 
 
-_XML_POST_COLS = ["Id", "PostTypeId", "ParentId", "AcceptedAnswerId", "Score",
+_XML_POST_COLS = ["Id", "PostTypeId", "ParentId", "AcceptedAnswerId", "CreationDate", "Score",
                   "OwnerUserId", "Title", "FavoriteCount"]
 
 
 @query
 def s3_xml_round_trip(fd):
     """Posts in the dump's XML shape (self-closing rows, absent attributes)."""
-    path = files.write_xml_rows(fd.posts.select(*_XML_POST_COLS), scratch_path(fd.spark, "s3"),
-                                root_tag="posts")
-    schema = S.POSTS
-    return files.read_xml_rows(fd.spark, path, schema).select(*_XML_POST_COLS)
+    posts = fd.posts.select(*_XML_POST_COLS)
+    path = files.write_xml_rows(posts, scratch_path(fd.spark, "s3"), root_tag="posts")
+    return files.read_xml_rows(fd.spark, path, posts.schema)
+
+
+def _dump_tables(fd) -> dict[str, DataFrame]:
+    """The seven tables of a dump, with columns that the conversion must drop."""
+    page = F.concat(F.lit("<p>"), F.lit("a & b > c</p>"))
+    posts = fd.posts.select(*_XML_POST_COLS)
+    return {
+        "Badges": fd.badges,
+        "PostLinks": posts.where(F.col("AcceptedAnswerId").isNotNull()).select(
+            "Id", F.col("Id").alias("PostId"), F.col("AcceptedAnswerId").alias("RelatedPostId")),
+        "Posts": posts.withColumn("Body", page).withColumn("Tags", F.lit("<r><sql>")),
+        "Tags": A.count_by(fd.activity, ["TagName"], "Count"),
+        "Users": fd.users.withColumn("AboutMe", page),
+        "Votes": fd.votes.select("PostId", "VoteTypeId", "CreationDate"),
+        "Comments": fd.comments.select("PostId", "Score", "UserId").withColumn("Text", page)}
 
 
 @query
 def s4_convert_dump(fd):
-    """XML with columns the converter must drop -> CSV -> frame."""
+    """All seven tables from XML to CSV without the listed columns; read back, each row as text."""
     spark = fd.spark
     base = scratch_path(spark, "s4")
-    with_body = fd.posts.select(*_XML_POST_COLS, F.concat(F.lit("<p>"), F.col("Title")).alias("Body"))
-    xml = files.write_xml_rows(with_body, f"{base}/xml/Posts", root_tag="posts")
-    full = S.with_fields(S.POSTS, [("Body", "string")])
-    out = files.convert_dump(spark, {"Posts": xml}, f"{base}/csv", {"Posts": full})
-    return files.read_commented_csv(spark, out["Posts"], S.POSTS).select(*_XML_POST_COLS)
+    tables = _dump_tables(fd)
+    xml = {n: files.write_xml_rows(df, f"{base}/xml/{n}", root_tag=n.lower()) for n, df in tables.items()}
+    out = files.convert_dump(spark, xml, f"{base}/csv", {n: df.schema for n, df in tables.items()})
+    back = {}
+    for name, df in tables.items():
+        kept = [c for c in df.columns if c not in S.DUMP_DROP_COLUMNS[name]]
+        texts = files.read_csv(spark, out[name], ", ".join(f"{c} string" for c in kept))
+        back[name] = texts.select(F.concat_ws("|", *(F.coalesce(c, F.lit("-")) for c in kept)).alias("Line"))
+    return B.bind_rows(back, "Source")
 
 
 @query
@@ -312,8 +337,7 @@ def p_fill_columns(fd):
 
 @query
 def p_fill_all(fd):
-    return C.fill_all(fd.posts.select("Id", "Title", "OwnerUserId", "FavoriteCount",
-                                      "AcceptedAnswerId"), 0, "0")
+    return C.fill_all(fd.posts, 0, "0")
 
 
 @query
@@ -349,6 +373,14 @@ def p_bind_columns_keyed(fd):
     return totals.join(best, "OwnerUserId")
 
 
+@query
+def p_zip_frames(fd):
+    """Questions by id beside questions by title, row by row."""
+    q = _questions(fd)
+    return B.zip_frames(q.select(F.col("Id").alias("ById")).orderBy("ById"),
+                        q.select(F.col("Title").alias("ByTitle"), F.col("Id").alias("TitleId")).orderBy("ByTitle", "TitleId"), "position")
+
+
 # ------------------------------------------------------------ joins
 def _positive_counts(fd):
     pos = fd.posts.where((F.col("PostTypeId") == S.POST_TYPE_ANSWER) & (F.col("Score") > 0))
@@ -382,9 +414,9 @@ def j_null_safe(fd):
 
 @query
 def j_left_lookup(fd):
-    j = J.lookup(_questions(fd).select("Id", "OwnerUserId"), fd.users.select("Id", "DisplayName"),
-                 [("OwnerUserId", "Id")], keep_unmatched=True)
-    return j.select("l.Id", "r.DisplayName")
+    j = J.left_outer(_questions(fd).select("Id", "OwnerUserId"), fd.users.select(F.col("Id").alias("UserId"), "DisplayName"),
+                     [("OwnerUserId", "UserId")])
+    return j.select("Id", "DisplayName")
 
 
 def _one_tag_counts(fd, tag):
@@ -405,6 +437,13 @@ def j_full_outer(fd):
     return Q.new_old_full_outer(fd.votes, NEW_YEARS)
 
 
+@query
+def j_full_outer_rows(fd):
+    """Questions and users side by side on the owner: missing owners, owners without a user, users without a question."""
+    return J.full_outer(_questions(fd).select("OwnerUserId", "Id", "Title"), fd.users.select("Id", "DisplayName"),
+                        "OwnerUserId", "Id", out_key="UserId")
+
+
 @query
 def j_anti(fd):
     return Q.old_without_new(fd.votes, NEW_YEARS)
@@ -450,7 +489,7 @@ def a_count_multi_key(fd):
 
 @query
 def a_group_by_alias(fd):
-    register_views(fd.tables())
+    register_views(fd.tables("Votes"))
     return run_sql(fd.spark, """
         SELECT PostId, date_format(CreationDate, 'yyyy') AS Year, COUNT(*) AS Count
         FROM Votes WHERE VoteTypeId = 2 GROUP BY PostId, Year""")
@@ -492,6 +531,13 @@ def a_split_by_class(fd):
     return A.count_by(Q.classified_up_votes(fd.votes, NEW_YEARS), ["PostId", "VoteAge"], "Total")
 
 
+@query
+def a_split_frames(fd):
+    """New and old votes as two frames from one pass; per frame the count of each post, bound again."""
+    frames = B.split_frames(Q.classified_up_votes(fd.votes, NEW_YEARS), "VoteAge", ["new", "old"])
+    return B.bind_rows({f"{age} votes": A.count_by(votes, ["PostId"], "Total") for age, votes in frames.items()}, "Frame")
+
+
 @query
 def a_pivot(fd):
     """Spark's own pivot with explicit values; the spine is every month seen."""
@@ -561,6 +607,21 @@ def u_positions_by_tie_order(fd):
     return frames_diff(a, b)
 
 
+@query
+def u_ordered_diff(fd):
+    """The same ranking delivered in two tie orders, compared position by position."""
+    counts = _positive_counts(fd)
+    return frames_diff(counts.orderBy(R.desc("PositiveAnswerCount"), R.desc("ParentId")),
+                       counts.orderBy(R.desc("PositiveAnswerCount"), R.asc("ParentId")), ordered=True)
+
+
+@query
+def u_bind_rows(fd):
+    """Questions and users without a question, one below the other, with where they came from."""
+    lonely = J.anti_join(fd.users.select("Id"), _questions(fd), [("Id", "OwnerUserId")])
+    return B.bind_rows({"question": _questions(fd).select("Id", "Title"), "user": lonely}, "Kind", missing_columns=True)
+
+
 # ------------------------------------------------------------ scalar functions
 @query
 def c_year_text(fd):
