@@ -27,17 +27,19 @@ import unicodedata
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrowtext import row_groups, utf8
+from .store import written
 
 LEXICON_WORDS = 30_000     # bound of the broadcast lexicon
 LEAST_COUNT = 3
+BUCKETS = 64               # of word counts, per doubling
 BATCH_BYTES = 8 << 20      # encoded at a time; a longer text stands alone
 # White space in the pattern's sense; str.split() takes four more characters for it.
 WHITE = "\t-\r\x20\x85\xa0  -     　"
@@ -52,6 +54,34 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+# Code points that the pattern engine takes for letters or digits, but the ``tokenizers``
+# library, whose Unicode tables are older, does not (first and last of each range).
+NO_LETTERS = (
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F), (0x209D, 0x209F),
+    (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2), (0xA7F1, 0xA7F1),
+    (0xAB6C, 0xAB6D), (0x107BB, 0x107BF), (0x10940, 0x10959), (0x10EC5, 0x10EC7), (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A),
+    (0x11DB0, 0x11DDB), (0x11DE0, 0x11DE9), (0x11DF1, 0x11DF1), (0x1246F, 0x1246F), (0x12475, 0x1247F), (0x12550, 0x12686),
+    (0x16EA0, 0x16EB8), (0x16EBB, 0x16ED3), (0x16FF2, 0x16FF3), (0x16FF4, 0x16FF6), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA),
+    (0x18D09, 0x18D20), (0x18D80, 0x18DF2), (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168),
+    (0x1D6A6, 0x1D6A6), (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF), (0x1E6C0, 0x1E6DE),
+    (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4), (0x1E6FE, 0x1E6FF), (0x2B73A, 0x2B73F),
+    (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479), (0x3D000, 0x3FC3F))
+# Capitals that the library lowers, but str.lower() does not (first, last, first small letter).
+MORE_CAPITALS = (
+    (0x1C89, 0x1C89, 0x1C8A), (0xA7CB, 0xA7CB, 0x264), (0xA7CC, 0xA7CC, 0xA7CD), (0xA7CE, 0xA7CE, 0xA7CF),
+    (0xA7D2, 0xA7D2, 0xA7D3), (0xA7D4, 0xA7D4, 0xA7D5), (0xA7DA, 0xA7DA, 0xA7DB), (0xA7DC, 0xA7DC, 0x19B),
+    (0x10D50, 0x10D65, 0x10D70), (0x16EA0, 0x16EB8, 0x16EBB))
+_NO_LETTER = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in NO_LETTERS) + "]")
+_CAPITAL = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b, _ in MORE_CAPITALS) + "]")
+_SMALL = {c: small + c - a for a, b, small in MORE_CAPITALS for c in range(a, b + 1)}
+
+
+def numbered(items: list[str]) -> tuple[np.ndarray, list[str]]:
+    """For each item its number among the distinct ones, and these. Whole strings count, NULs too."""
+    coded = pa.array(items, pa.large_string()).dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+
+
 class Lists(NamedTuple):
     """Lists of integers end to end: list i is ``flat[bounds[i]:bounds[i + 1]]``."""
 
@@ -100,7 +130,15 @@ class Vocabulary:
     def pieces(self, chunk: str) -> list[str]:
         """The words of a run without white space, normalised."""
         chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        return self.pattern.findall(chunk)
+        if chunk.isascii():
+            return self.pattern.findall(chunk)
+        if _CAPITAL.search(chunk):
+            chunk = chunk.translate(_SMALL)
+        if not _NO_LETTER.search(chunk):
+            return self.pattern.findall(chunk)
+        # read as a private character, which is no letter either, and cut from the text itself
+        stand_in = _NO_LETTER.sub("\ue000", chunk)
+        return [chunk[m.start():m.end()] for m in self.pattern.finditer(stand_in)]
 
     def merge(self, pieces: list[str]) -> Lists:
         """Ids of many words at once: in each the pair of lowest rank goes, leftmost first, until none is left."""
@@ -316,13 +354,13 @@ class Encoder:
             if text:
                 chunks += self._chunks(text)
             size.append(len(chunks))
-        code, distinct = pd.factorize(np.array(chunks, object))
+        code, distinct = numbered(chunks)
         words: list[str] = []
         per_chunk = [0]
         for chunk in distinct:
             words += self.vocabulary.pieces(chunk) if chunk[0] != " " else [chunk]
             per_chunk.append(len(words))
-        word_code, words = pd.factorize(np.array(words, object))
+        word_code, words = numbered(words)
         special = {i: self.vocabulary.special[w[1:]] for i, w in enumerate(words) if w[0] == " "}
         ids = self.pieces(["" if i in special else w for i, w in enumerate(words)])
         if special:
@@ -365,20 +403,24 @@ def frequent_words(docs: DataFrame, vocabulary_path: str, most: int = LEXICON_WO
     """The words used most over all documents, at most ``most`` of them.
 
     Runs between white space are counted per batch before the shuffle; the words
-    inside the frequent runs are what the lexicon holds.
+    inside the frequent runs are what the lexicon holds. Counts are told apart in buckets, 64 a doubling:
+    a bucket that would exceed ``most`` stays out as a whole.
     """
     def count(batches):
         for batch in batches:
-            chunks: list[str] = []
-            for text in batch.column("text").to_pylist():
-                if text:
-                    chunks += runs(text)
-            code, distinct = pd.factorize(np.array(chunks, object))
-            yield pa.RecordBatch.from_arrays([pa.array(distinct, pa.string()), pa.array(
-                np.bincount(code, minlength=len(distinct)))], names=["word", "n"])
-
-    counts = docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(most)
+            column = batch.column("text").cast(pa.large_string())
+            _, offsets = utf8(column)
+            for a, b in row_groups(offsets, BATCH_BYTES):
+                found = pc.value_counts(pc.utf8_split_whitespace(column.slice(a, b - a)).flatten())
+                yield pa.RecordBatch.from_arrays([found.field("values").cast(pa.string()), found.field("counts")], names=["word", "n"])
+
+    counts = docs.select("text").mapInArrow(count, "word string, n long").where("word != ''").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = written(counts.where(F.col("n") >= least).withColumn("bucket", F.floor(F.log2("n") * BUCKETS).cast("int")), "bpe-words")
+    # a few thousand buckets at most; the words of the highest ones, as many as fit, come to the driver
+    sizes = counts.groupBy("bucket").count().orderBy(F.desc("bucket")).collect()
+    total = np.cumsum([r["count"] for r in sizes])
+    within = [r["bucket"] for r, n in zip(sizes, total) if n <= most]
+    top = counts.where(F.col("bucket") >= within[-1]).select("word") if within else counts.where("false").select("word")
     vocabulary = Vocabulary(vocabulary_path)
     return sorted({p for r in top.collect() for p in vocabulary.pieces(r["word"])})
 

@@ -259,6 +259,42 @@ def test_bpe_odd_texts():
             assert decoded[i] == library.decode(want, skip_special_tokens=False), t
 
 
+def bpe_library():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    library.no_truncation()
+    library.no_padding()
+    return path, library
+
+
+def test_bpe_words_that_share_their_start_up_to_a_nul():
+    import itertools
+
+    path, library = bpe_library()
+    vocabulary = bpe.Vocabulary(path)
+    for texts in itertools.permutations(["hello\x00world", "hello there", "hello", "hello\x00\x00z"]):
+        got, decoded = bpe.Encoder(vocabulary, None).encode(list(texts))
+        for i, t in enumerate(texts):
+            want = library.encode(t, add_special_tokens=False).ids
+            assert got.list(i) == want and decoded[i] == library.decode(want, skip_special_tokens=False)
+
+
+def test_bpe_all_characters():
+    """Every code point between letters, between digits and alone, in one batch each."""
+    path, library = bpe_library()
+    encoder = bpe.Encoder(bpe.Vocabulary(path), None)
+    points = [chr(c) for a, b in ((0, 0x3200), (0xA000, 0xAC00), (0xD7A0, 0xD800), (0xE000, 0xE010), (0xF900, 0x1F800), (0x2A6D0, 0x2A700),
+                                  (0x2B730, 0x2B830), (0x2CE90, 0x2CEB8), (0x323A0, 0x33490), (0x3CFF0, 0x3D010), (0x10FFF0, 0x110000))
+              for c in range(a, b)]
+    for shape in ("a%sA", "%s", "1%s1"):
+        texts = [shape % c for c in points]
+        want = library.encode_batch(texts, add_special_tokens=False)
+        got, _ = encoder.encode(texts, False)
+        assert [t for i, t in enumerate(texts) if got.list(i) != want[i].ids] == []
+
+
 def test_transducer_round_trip():
     import random
 
