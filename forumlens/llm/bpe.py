@@ -40,7 +40,7 @@ from .store import written
 LEXICON_WORDS = 30_000     # bound of the broadcast lexicon
 LEAST_COUNT = 3
 BUCKETS = 64               # of word counts, per doubling
-BATCH_BYTES = 8 << 20      # encoded at a time; a longer text stands alone
+BATCH_BYTES = 2 << 20      # encoded at a time; a longer text stands alone
 # White space in the pattern's sense; str.split() takes four more characters for it.
 WHITE = "\t-\r\x20\x85\xa0  -     　"
 _MORE = re.compile("[\x1c-\x1f]")
