@@ -1,9 +1,9 @@
 """WARC archives with a two-level capture index.
 
-Pages are sorted by reversed-host key, so a site's captures lie together. Each
-task writes its key range as gzip records into an archive file and, beside it,
-an index file: sorted capture lines in compressed blocks. The first key of each
-block goes to a sparse directory per index file. A look-up finds the index file
+Each task writes its pages as gzip records into archive files; a payload crosses the
+network once, to meet the smallest id of its digest. Only the capture lines (key, file,
+offset, length) are sorted, by reversed-host key; each range of keys becomes an index file of
+compressed blocks. The first key of each block goes to a sparse directory per index file. A look-up finds the index file
 by its first key, the block by binary search in that file's directory, reads the
 block's byte range and then the records' byte ranges.
 
@@ -147,46 +147,51 @@ def write_archive(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES)
     twice = (rows.where(F.octet_length("payload") >= min_revisit_bytes).groupBy("digest")
              .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
     later = F.col("page_id") > F.col("first")
-    rows = rows.join(twice, "digest", "left").select(
+    # the payload moves to its digest at every size of the table, and no further
+    rows = rows.join(twice.hint("merge"), "digest", "left").select(
         "page_id", "url", F.when(later, F.lit("revisit")).otherwise(F.lit("response")).alias("record_type"),
         "payload", "digest", "key", F.when(later, F.col("first")).alias("refers_to"))
-    # payloads cross the network once, into key order; the sample for the ranges reads keys only
-    rows = rows.repartitionByRange("key").sortWithinPartitions("key")
 
     def write(batches):
-        archive, index = _Files(root, "warc.gz", FILE_BYTES), _Files(root, "cdx.gz")
-        directory, lines, first = [], [], None
+        archive = _Files(root, "warc.gz", FILE_BYTES)
+        for batch in batches:
+            out = []
+            for row in batch.itertuples(index=False):
+                data = _record(row)
+                out.append((row.key, *archive.add(data), len(data)))
+            yield pd.DataFrame(out, columns=["key", "file", "at", "length"])
+        archive.close()
+
+    # the lines of finished tasks, written; files of tasks that were lost are in no line
+    lines = written(rows.mapInPandas(write, "key string, file string, at long, length long"), "warc-captures")
+
+    def write_index(batches):
+        index, directory, lines, first, name, n = _Files(root, "cdx.gz"), [], [], None, None, 0
 
         def flush():
-            nonlocal first
-            if lines:
-                data = gzip.compress("".join(lines).encode(), 6, mtime=0)
-                name, at = index.add(data)
-                directory.append([first, at, len(data)])
-                lines.clear()
-                first = None
-                return name
-            return None
-
-        name, n = None, 0
+            data = gzip.compress("".join(lines).encode(), 6, mtime=0)
+            at = index.add(data)[1]
+            directory.append([first, at, len(data)])
+            lines.clear()
+
         for batch in batches:
             for row in batch.itertuples(index=False):
-                data = _record(row)
-                file, at = archive.add(data)
-                if first is None:
-                    first = row.key
-                lines.append(json.dumps([row.key, file, at, len(data)]) + "\n")
+                first = row.key if not lines else first
+                lines.append(json.dumps([row.key, row.file, row.at, row.length]) + "\n")
                 n += 1
                 if len(lines) >= BLOCK_LINES:
-                    name = flush() or name
-        name = flush() or name
-        archive.close()
+                    flush()
+        if lines:
+            flush()
+        if n:
+            name = index.name
         index.close()
         if n:
             yield pd.DataFrame({"part": [name], "first_key": [directory[0][0]], "blocks": [json.dumps(directory)],
                                 "lines": [n]})
 
-    return root, written(rows.mapInPandas(write, PLACE), "warc-index")
+    order = ["key", "file", "at"]
+    return root, written(lines.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(write_index, PLACE), "warc-index")
 
 
 def read_captures(root: str, index: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -214,9 +219,11 @@ def read_captures(root: str, index: DataFrame, wanted: DataFrame) -> DataFrame:
                 out += [(parts[i], key) for i in range(a, b)]
             yield pd.DataFrame(out, columns=["part", "key"])
 
-    routed = wanted.select("key").mapInPandas(route, "part string, key string")
-    return (routed.join(index.select("part", "blocks"), "part").repartition("part", "key")
-            .sortWithinPartitions("part", "key").mapInPandas(lambda it: _fetch(root, it), CAPTURE))
+    routed = wanted.select("key").mapInPandas(route, "part string, key string").withColumn("blocks", F.lit(None).cast("string"))
+    # a part's directory goes before its keys, once
+    directories = index.select("part", F.lit(None).cast("string").alias("key"), "blocks")
+    return (routed.unionByName(directories).repartition("part").sortWithinPartitions("part", F.col("key").asc_nulls_first())
+            .mapInPandas(lambda it: _fetch(root, it), CAPTURE))
 
 
 CAPTURE = ("page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, "
@@ -225,9 +232,14 @@ CAPTURE = ("page_id long, url string, record_type string, payload_bytes long, pa
 
 def _fetch(root: str, batches):
     fs, base = _open(root)
+    blocks: list = []
     for batch in batches:
         for part, rows in batch.groupby("part", sort=False):
-            blocks = json.loads(rows["blocks"].iloc[0])
+            if rows["blocks"].iloc[0] is not None:
+                blocks = json.loads(rows["blocks"].iloc[0])
+                rows = rows.iloc[1:]
+            if not len(rows):
+                continue
             firsts = [b[0] for b in blocks]
             need: dict[int, list[str]] = {}
             for key in rows["key"]:
