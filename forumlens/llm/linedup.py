@@ -15,9 +15,10 @@ enough, judged on the input.
 
 Defined results: lines are split at \\n and compared without surrounding white
 space, by 64-bit hash; blank lines pair up inside blocks but add no length. Null
-text has no lines and stays null. Rows with the same id are never aligned with each
-other and lose the same lines only if they are equal; an id is expected to name one
-text. Extra columns stay.
+text has no lines and stays null. Where rows with one id have different texts, the one with
+the smallest 64-bit hash stands for the id; the others are not aligned and stay whole. Equal
+rows lose the same lines. Extra columns stay, whatever they are called, but for n_lines and n_removed
+where ``measures`` asks for these.
 """
 
 from __future__ import annotations
@@ -239,13 +240,14 @@ def _aligned(pairs: DataFrame, lines: DataFrame, min_lines: int, min_chars: int)
 
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_lines: int = MIN_BLOCK_LINES,
                   min_chars: int = MIN_BLOCK_CHARS) -> DataFrame:
-    """(doc, removed): positions of the lines that go, for documents that lose any."""
+    """(doc, same, removed): the positions of the lines that go, for documents that lose any; ``same`` is the hash of the
+    text that they belong to."""
     trimmed = F.transform(F.split(F.col(text), "\n", -1), lambda s: F.trim(s, F.lit(BLANKS)))
     lines = (docs.where(F.col(text).isNotNull() & F.col(key).isNotNull())
-             .select(F.col(key).alias("doc"), trimmed.alias("__lines"))
-             .select("doc", F.transform("__lines", lambda s: F.xxhash64(s)).alias("hashes"),
+             .select(F.col(key).alias("doc"), F.xxhash64(F.col(text)).alias("same"), trimmed.alias("__lines"))
+             .select("doc", "same", F.transform("__lines", lambda s: F.xxhash64(s)).alias("hashes"),
                      F.transform("__lines", lambda s: F.length(s)).alias("chars")))
-    lines = written(lines.dropDuplicates(["doc"]), "line-hashes")
+    lines = written(lines.groupBy("doc").agg(F.min(F.struct("same", "hashes", "chars")).alias("l")).select("doc", "l.*"), "line-hashes")
     held = _held_runs(lines, min_lines, min_chars)
     several = held.groupBy("run").agg(F.min("doc").alias("first"), F.count("*").alias("n")).where("n > 1")
     holders = written(held.join(several.select("run", "first"), "run"), "line-holders")
@@ -266,23 +268,27 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
                    .withColumn("n", F.row_number().over(nth)).where(F.col("n") <= share).drop("n"))
         open_ = written(left.join(further, "run").where("doc > first").select("doc", "run", "first"), "line-further")
         if open_.isEmpty():
-            return removed
+            return removed.join(lines.select("doc", "same"), "doc")
         pairs = open_.select("doc", "first").distinct().join(asked, ["doc", "first"], "left_anti")
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", measures: bool = False,
                 **limits) -> DataFrame:
     """``docs`` with the aligned common blocks gone from ``text``; ``measures`` adds n_lines and n_removed."""
-    gone = written(removed_lines(docs, key, text, **limits), "line-removed").select(
-        F.col("doc").alias("__doc"), F.col("removed").alias("__removed"))
-    both = docs.join(gone, docs[key] == F.col("__doc"), "left")
-    lines = F.split(F.col(text), "\n", -1)
-    left = F.filter(lines, lambda s, i: ~F.array_contains(F.col("__removed"), i))
-    out = both.withColumn("__kept", F.when(F.col("__removed").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")))
-    if measures:
-        out = out.withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long")).withColumn(
-            "n_removed", F.coalesce(F.size("__removed"), F.lit(0)).cast("long"))
-    return out.withColumn(text, F.col("__kept")).drop("__kept", "__doc", "__removed")
+    gone = written(removed_lines(docs, key, text, **limits), "line-removed")
+    rows = docs.select(F.struct(*docs.columns).alias("row")).withColumn("id", F.col("row")[key]).withColumn(
+        "text", F.col("row")[text]).withColumn("hash", F.xxhash64("text"))
+    # texts move once, whatever the number of documents that lose lines: one plan at all sizes
+    both = rows.join(gone.hint("merge"), (F.col("id") == F.col("doc")) & (F.col("hash") == F.col("same")), "left")
+    lines = F.split("text", "\n", -1)
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "removed")
+    left = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(
+        F.transform(kept, lambda i: F.get(lines, i)), "\n"))
+    out = both.select("row", left.alias("left"), F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("lines"),
+                      F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("gone"))
+    own = [F.col("left").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns
+           if not (measures and c in ("n_lines", "n_removed"))]
+    return out.select(*own, *([F.col("lines").alias("n_lines"), F.col("gone").alias("n_removed")] if measures else []))
 
 
 def op10_line_alignment(spark, sf_dir: str) -> DataFrame:
