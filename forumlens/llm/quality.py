@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = r"[#*$%&|<>]"
-# The last characters of a line of prose hold one of these.
-SENTENCE_END = r"[.!?:;,…]"
+# The last characters of a line of prose hold one of these. Marks that end or divide
+# sentences, by script (Latin, CJK, Indic, Arabic, Armenian, Ethiopic, Burmese, Khmer, Tibetan, Mongolian).
+SENTENCE_END = "[.!?:;,…‼⁇⁈⁉⸮。．｡！？，、；：।॥؟۔؛،՞։՝።፣፧፨၊။។៕།༎᠂᠃᠉]"
 END_CHARS = 4
 BOILERPLATE = (
     r"(?i)\b(enable javascript|javascript is (disabled|required)|lorem ipsum|accept (all )?cookies|uses cookies"
@@ -97,15 +98,18 @@ def measures(text: Column) -> Column:
     """One struct with every measure and the cleaned text of a document."""
     def of_text(t: Column) -> Column:
         return _let(words(t), lambda w: _let(F.size(w), lambda n: _let(F.split(t, "\n"), lambda ls: _let(
-            symbols(t), lambda k: _let(failing(ls, k), lambda bad: body(t, w, n, ls, k, bad))))))
+            symbols(t), lambda k: _let(failing(ls, k), lambda judged: body(t, w, n, ls, k, judged))))))
 
     def failing(lines: Column, k: Column) -> Column:
-        return F.filter(lines, lambda s: _let(F.trim(s, F.lit(BLANKS)), lambda line: line_fails(line, k)))
+        """Each line with whether it fails, judged once."""
+        return F.transform(lines, lambda s: F.struct(
+            s.alias("s"), _let(F.trim(s, F.lit(BLANKS)), lambda line: line_fails(line, k)).alias("fails")))
 
-    def body(t: Column, w: Column, n: Column, lines: Column, k: Column, bad: Column) -> Column:
+    def body(t: Column, w: Column, n: Column, lines: Column, k: Column, judged: Column) -> Column:
         worded = F.filter(lines, lambda s: F.trim(s, F.lit(BLANKS)) != "")
-        left = F.when(F.size(bad) == 0, t).otherwise(
-            F.array_join(F.filter(lines, lambda s: ~F.array_contains(bad, s)), "\n"))
+        bad = F.transform(F.filter(judged, lambda x: x["fails"]), lambda x: x["s"])
+        left = F.when(~F.exists(judged, lambda x: x["fails"]), t).otherwise(
+            F.array_join(F.transform(F.filter(judged, lambda x: ~x["fails"]), lambda x: x["s"]), "\n"))
         return _let(F.struct(
             F.length(F.array_join(w, "")).alias("chars"), _let(worded, lambda ls: F.size(ls) - F.size(
                 F.array_distinct(ls))).alias("dup"), repeated_words(w, n).alias("repeat"),
