@@ -21,9 +21,11 @@ def quality_rules(spark, docs, sf_dir):
 
 
 def line_dedup(spark, docs, sf_dir):
-    """Common blocks go from the later document of each aligned pair; emptied documents go."""
-    left = linedup.dedup_lines(docs)
-    return left.where(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*docs.columns)
+    """Common blocks go from the later document of each aligned pair. A document that loses more than
+    half of its lines is a copy of others but for a rest, and goes, as one that is left empty does."""
+    left = linedup.dedup_lines(docs, measures=True)
+    rest = (2 * F.col("n_removed") <= F.col("n_lines")) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return left.where(rest).select(*docs.columns)
 
 
 def near_duplicates(spark, docs, sf_dir):
