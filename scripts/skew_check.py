@@ -21,6 +21,11 @@ Then Q3's winner per year (a handful of years, so every group is hot) runs
 with Spark's partial ``WindowGroupLimit`` (``group_limit``) and with it
 switched off (``no_group_limit``).
 
+Then questions are joined to users with a third of the questions on one owner and a
+third without any: the library's ``left_outer`` and ``full_outer`` beside Spark's own, and the
+group maximum beside each row (``group_max``), with AQE on and its skew limits at the scale of
+this data. For these the median task of the join's stage is reported, too.
+
 The event log (written to a fresh scratch folder) gives, per stage, the
 largest number of shuffle records any single task read. Usage:
 
@@ -122,9 +127,38 @@ def main() -> None:
     spark.sparkContext.setJobDescription("no_group_limit")
     winners.write.format("noop").mode("overwrite").save()
 
+    # outer joins: a third of the rows on one key, a third on NULL
+    spark.sparkContext.setJobDescription("setup")
+    for key, value in (("enabled", "true"), ("skewJoin.enabled", "true"), ("skewJoin.skewedPartitionThresholdInBytes", "64k"),
+                       ("skewJoin.skewedPartitionFactor", "1.2"), ("advisoryPartitionSizeInBytes", "64k"),
+                       ("coalescePartitions.enabled", "false")):
+        spark.conf.set(f"spark.sql.adaptive.{key}", value)
+    from forumlens.operators.joins import full_outer, left_outer
+    from forumlens.operators.ranking import with_group_max
+    from forumlens.sources.adapters import users
+    third = F.col("Id") / 10 % 3
+    skewed = questions(read_base(spark, sf_dir, "orders")).withColumn("OwnerUserId", F.when(third < 1, F.lit(1)).when(
+        third >= 2, F.col("OwnerUserId"))).select("Id", "OwnerUserId", "FavoriteCount")
+    skewed.repartition(16).write.parquet(f"{log_dir}-skewed")
+    skewed = spark.read.parquet(f"{log_dir}-skewed")
+    people = users(read_base(spark, sf_dir, "customer"), read_base(spark, sf_dir, "nation")).select(
+        F.col("Id").alias("UserId"), "DisplayName")
+    people.repartition(4).write.parquet(f"{log_dir}-people")
+    people = spark.read.parquet(f"{log_dir}-people")
+    equal = skewed["OwnerUserId"] == people["UserId"]
+    outer = {"left_outer": left_outer(skewed, people, [("OwnerUserId", "UserId")]),
+             "plain_left_outer": skewed.join(people, equal, "left"),
+             "full_outer": full_outer(skewed, people, "OwnerUserId", "UserId"),
+             "plain_full_outer": skewed.join(people, equal, "full"),
+             "group_max": with_group_max(skewed, ["OwnerUserId"], "FavoriteCount")}
+    for name, df in outer.items():
+        spark.sparkContext.setJobDescription(name)
+        df.write.format("noop").mode("overwrite").save()
+    skewed_rows = skewed.count()
+
     spark.stop()
 
-    stage_job, max_read = {}, {}
+    stage_job, max_read, reads = {}, {}, {}
     for e in read_events(log_dir):
         ev = e["Event"]
         if ev == "SparkListenerJobStart":
@@ -137,7 +171,15 @@ def main() -> None:
                         "no_group_limit"):
                 read = e["Task Metrics"]["Shuffle Read Metrics"]["Total Records Read"]
                 max_read[desc] = max(max_read.get(desc, 0), read)
-    report = {"questions": total, "hot_owner_rows": hot_rows, "map_tasks": 16,
+            elif desc in outer:
+                read = e["Task Metrics"]["Shuffle Read Metrics"]["Total Records Read"]
+                if read:
+                    reads.setdefault(desc, {}).setdefault(e["Stage ID"], []).append(read)
+    joins = {}
+    for name, stages in reads.items():
+        busiest = max(stages.values(), key=sum)      # the stage that reads the questions
+        joins[name] = {"largest": max(busiest), "median": sorted(busiest)[len(busiest) // 2], "tasks": len(busiest)}
+    report = {"outer_join_rows": skewed_rows, "records_read_by_tasks_of_outer_joins": joins, "questions": total, "hot_owner_rows": hot_rows, "map_tasks": 16,
               "badges": badge_rows, "hot_badge_rows": hot_badges,
               "post_year_counts": count_rows,
               "max_shuffle_records_read_by_one_task": max_read}
