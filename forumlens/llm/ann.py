@@ -2,10 +2,12 @@
 
 Vectors are dealt by hash to shards of a bounded size. A shard's vectors form a
 directed graph: a greedy search from the medoid proposes neighbours for each vector,
-and robust pruning keeps the nearest and drops those that a kept one is closer to by
-the factor :data:`RELAX`, so edges point in diverse directions. Each query searches
+and robust pruning keeps the nearest and drops those that a kept one is closer to, in a first
+pass at all and in a second by the factor :data:`RELAX`, so edges point in diverse directions. Each query searches
 every shard with a beam; the shards' best are merged by the exact product in double
-precision. For the graph, a further coordinate makes all vectors equally long, which
+precision. How wide the beam must be depends on the vectors: each shard doubles it until
+:data:`PROBES` of its own vectors, searched and compared with all of the shard, find
+:data:`RECALL` of their nearest. For the graph, a further coordinate makes all vectors equally long, which
 turns the largest product into the smallest distance; queries search by the product
 itself, whose differences one very long vector cannot drown.
 
@@ -34,6 +36,7 @@ DEGREE = 32
 BUILD_BEAM, SEARCH_BEAM = 64, 128
 EXPAND = 4                # nodes a search expands at once
 RELAX = 1.2
+PROBES, RECALL = 64, 0.95
 BATCH = 256
 QUERY_BLOCK = 1 << 15     # queries that one task searches a shard for
 SEED = 6
@@ -94,7 +97,7 @@ class Graph:
         return out
 
 
-def _prune(vectors: np.ndarray, own: np.ndarray, candidates: np.ndarray, degree: int) -> np.ndarray:
+def _prune(vectors: np.ndarray, own: np.ndarray, candidates: np.ndarray, degree: int, relax: float) -> np.ndarray:
     """Robust pruning of each row's candidates (-1 for none) for the nodes ``own``."""
     candidates = np.sort(np.where(candidates == own[:, None], -1, candidates), axis=1)
     candidates[:, 1:][candidates[:, 1:] == candidates[:, :-1]] = -1
@@ -114,7 +117,7 @@ def _prune(vectors: np.ndarray, own: np.ndarray, candidates: np.ndarray, degree:
             break
         out[some, i] = candidates[rows, best][some]
         alive[rows, best] = False
-        alive &= ~(some[:, None] & (RELAX ** 2 * between[rows, best] <= to_own))
+        alive &= ~(some[:, None] & (relax ** 2 * between[rows, best] <= to_own))
     return out
 
 
@@ -127,22 +130,66 @@ def build(vectors: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, see
     if n > 1:
         edges[:n, :min(degree, n - 1)] = (np.arange(n)[:, None] + random.integers(1, n, (n, min(degree, n - 1)))) % n
     graph = Graph(vectors, edges, start)
-    for own in np.array_split(random.permutation(n), -(-n // BATCH)):
-        nodes, _ = graph.search(vectors[own], beam)
-        edges[own] = _prune(vectors, own, np.concatenate([nodes, edges[own]], 1), degree)
-        # back edges; a node with too many neighbours is pruned again
-        target, source = edges[own].ravel(), np.repeat(own, degree)
-        source, target = source[target >= 0], target[target >= 0]
-        order = np.argsort(target, kind="stable")
-        source, target = source[order], target[order]
-        first = np.flatnonzero(np.r_[True, target[1:] != target[:-1]]) if len(target) else np.zeros(0, int)
-        size = np.diff(np.r_[first, len(target)])
-        more = np.full((len(first), int(size.max(initial=0))), -1)
-        more[np.repeat(np.arange(len(first)), size), np.arange(len(target)) - np.repeat(first, size)] = source
-        for part in np.array_split(np.arange(len(first)), max(1, len(first) // BATCH)):
-            nodes = target[first[part]]
-            edges[nodes] = _prune(vectors, nodes, np.concatenate([edges[nodes], more[part]], 1), degree)
-    return graph
+    for relax in (1.0, RELAX):
+        for own in np.array_split(random.permutation(n), -(-n // BATCH)):
+            nodes, _ = graph.search(vectors[own], beam)
+            edges[own] = _prune(vectors, own, np.concatenate([nodes, edges[own]], 1), degree, relax)
+            # back edges; a node with too many neighbours is pruned again
+            target, source = edges[own].ravel(), np.repeat(own, degree)
+            source, target = source[target >= 0], target[target >= 0]
+            order = np.argsort(target, kind="stable")
+            source, target = source[order], target[order]
+            first = np.flatnonzero(np.r_[True, target[1:] != target[:-1]]) if len(target) else np.zeros(0, int)
+            size = np.diff(np.r_[first, len(target)])
+            more = np.full((len(first), int(size.max(initial=0))), -1)
+            more[np.repeat(np.arange(len(first)), size), np.arange(len(target)) - np.repeat(first, size)] = source
+            for part in np.array_split(np.arange(len(first)), max(1, len(first) // BATCH)):
+                nodes = target[first[part]]
+                edges[nodes] = _prune(vectors, nodes, np.concatenate([edges[nodes], more[part]], 1), degree, relax)
+    return _all_reachable(graph, beam)
+
+
+def _reached(graph: Graph) -> np.ndarray:
+    """Which nodes a walk along the edges can come to from the start."""
+    n = len(graph.vectors)
+    seen = np.zeros(n + 1, bool)
+    front = np.array([graph.start])
+    while len(front):
+        seen[front] = True
+        front = np.unique(graph.edges[front])
+        front = front[(front >= 0) & ~seen[front]]
+    return seen[:n]
+
+
+def _all_reachable(graph: Graph, beam: int) -> Graph:
+    """Pruning may leave nodes without an edge to them: each gets one from the nearest node that a search for it
+    finds, into further columns of the edges."""
+    while True:
+        lost = np.flatnonzero(~_reached(graph))
+        if not len(lost):
+            return graph
+        own = np.concatenate([graph.search(graph.vectors[part], beam)[0][:, 0] for part in np.array_split(lost, -(-len(lost) // BATCH))])
+        order = np.argsort(own, kind="stable")
+        own, lost = own[order], lost[order]
+        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        size = np.diff(np.r_[first, len(own)])
+        more = np.full((len(graph.edges), int(size.max())), -1)
+        more[own, np.arange(len(own)) - np.repeat(first, size)] = lost
+        graph.edges = np.c_[graph.edges, more]
+
+
+def wide_enough(graph: Graph, k: int, beam: int) -> int:
+    """The beam, doubled from ``beam``, with which probes find RECALL of their ``k`` nearest by the product."""
+    n = len(graph.vectors)
+    probes = np.linspace(0, n - 1, min(n, PROBES)).astype(int)
+    product = graph.vectors[probes] @ graph.vectors.T
+    true = np.argpartition(-product, min(k, n) - 1, axis=1)[:, :k]
+    while beam < n:
+        found, _ = graph.search(graph.vectors[probes], beam)
+        if np.mean([np.isin(t, f).mean() for t, f in zip(true, found)]) >= RECALL:
+            return beam
+        beam *= 2
+    return n
 
 
 def _stack(column: pd.Series) -> np.ndarray:
@@ -171,18 +218,19 @@ def nearest(table: DataFrame, is_query, k: int, key: str = "vec_id", vector: str
     n, longest = nodes.agg(F.count("*"), F.max(size)).first()
     shards = -(-n // SHARD_VECTORS) or 1
     shard = F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard")
-    longest = float(longest or 0.0)
+    longest, kind = float(longest or 0.0), table.schema[vector].dataType.simpleString()
 
     def index(part: pd.DataFrame) -> pd.DataFrame:
         original = _stack(part["v"]).astype(np.float32)
         rest = np.sqrt(np.maximum(longest - (original.astype(np.float64) ** 2).sum(1), 0)).astype(np.float32)
         graph = build(np.c_[original, rest])
         place = np.arange(len(part))
+        wide = wide_enough(Graph(original, graph.edges, graph.start, products=True), k, beam)
         return pd.DataFrame({"shard": part["shard"], "place": place, "node": part["node"], "v": part["v"],
-                             "edges": list(graph.edges[:-1]), "start": graph.start})
+                             "edges": list(graph.edges[:-1]), "start": graph.start, "beam": wide})
 
     graphs = written(nodes.select(shard, "node", "v").groupBy("shard").applyInPandas(
-        index, "shard int, place int, node long, v array<float>, edges array<int>, start int"), "ann-graphs")
+        index, f"shard int, place int, node long, v {kind}, edges array<int>, start int, beam int"), "ann-graphs")
     queries = rows.where(is_query(F.col("id")))
     blocks = -(-queries.count() // QUERY_BLOCK) or 1
     block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
@@ -195,15 +243,17 @@ def nearest(table: DataFrame, is_query, k: int, key: str = "vec_id", vector: str
         out = []
         if len(nodes) and len(asked):
             nodes = nodes.sort_values("place")
-            original = _stack(nodes["v"]).astype(np.float32)
-            edges = np.r_[_stack(nodes["edges"]).astype(np.int64), np.full((1, DEGREE), -1)]
+            exact = _stack(nodes["v"]).astype(np.float64)
+            original, wide = exact.astype(np.float32), int(nodes["beam"].iloc[0])
+            edges = _stack(nodes["edges"]).astype(np.int64)
+            edges = np.r_[edges, np.full((1, edges.shape[1]), -1)]
             graph = Graph(original, edges, int(nodes["start"].iloc[0]), products=True)
             names, ids = nodes["node"].to_numpy(), asked["id"].to_numpy()
-            wanted = _stack(asked["v"]).astype(np.float32)
+            wanted = _stack(asked["v"]).astype(np.float64)
             for a in range(0, len(ids), BATCH):
                 q = wanted[a:a + BATCH]
-                found, _ = graph.search(q, beam)
-                score = np.einsum("ijk,ik->ij", original.astype(np.float64)[found], q.astype(np.float64))
+                found, _ = graph.search(q.astype(np.float32), wide)
+                score = np.stack([exact[f] @ x for f, x in zip(found, q)])
                 score[found < 0] = -np.inf
                 best = np.lexsort((names[found], -score), axis=1)[:, :k + 1]
                 r, c = np.nonzero(np.take_along_axis(found, best, 1) >= 0)

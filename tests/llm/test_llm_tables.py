@@ -88,6 +88,32 @@ def test_graph_search_recall_beside_one_very_long_vector(spark):
     assert recall(ann.nearest(table, lambda key: key % 20 == 0, 20), want) >= 0.9
 
 
+@pytest.mark.parametrize("dimensions", [64, 384])
+def test_graph_of_a_full_shard_without_clusters(dimensions):
+    """Gaussian vectors, as many as a shard has: every node is reached, the beam widens until recall is met."""
+    r = np.random.default_rng(5)
+    v = r.normal(size=(ann.SHARD_VECTORS, dimensions)).astype(np.float32)
+    size = (v.astype(float) ** 2).sum(1)
+    graph = ann.build(np.c_[v, np.sqrt(np.maximum(size.max() - size, 0)).astype(np.float32)])
+    assert ann._reached(graph).all()
+    by_product = ann.Graph(v, graph.edges, graph.start, products=True)
+    beam = ann.wide_enough(by_product, 20, ann.SEARCH_BEAM)
+    asked = np.arange(3, len(v), 131)
+    product = v[asked].astype(float) @ v.T.astype(float)
+    true = np.argsort(-product, axis=1)[:, :20]
+    found, _ = by_product.search(v[asked], beam)
+    assert np.mean([np.isin(t, f).mean() for t, f in zip(true, found)]) >= 0.9
+
+
+def test_graph_search_keeps_doubles(spark):
+    r = np.random.default_rng(6)
+    rows = [(i, [1.0 + float(x) * 1e-9 for x in v]) for i, v in enumerate(r.normal(size=(300, 8)))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    vectors = dict(rows)
+    for x in ann.nearest(table, lambda key: key % 100 == 0, 20).collect():
+        assert x["score"] == pytest.approx(float(np.dot(vectors[x["query_id"]], vectors[x["vec_id"]])), rel=1e-15)
+
+
 def test_graph_search_recall_of_the_table(spark):
     """The query as registered, with its own constants."""
     table = spark.read.parquet(f"{SMALL}/embeddings.parquet").select("vec_id", "embedding")

@@ -424,3 +424,18 @@ def test_mixing_exponent_meets_its_targets(spark):
     assert -(w * np.log(w)).sum() == pytest.approx(0.8 * np.log(3), rel=1e-4)
     rows = mixing.plan(stats, entropy_share=None, max_repeats=4.0).collect()
     assert max(x["budget"] / x["tokens"] for x in rows) == pytest.approx(4.0, rel=0.02)
+
+
+def test_quality_keeps_prose_of_other_scripts(spark):
+    """Lines of six words that end as their script ends sentences are prose."""
+    import itertools
+
+    def text(letters, end):
+        forms = itertools.permutations(letters, 4)
+        return "\n".join(" ".join("".join(next(forms)) for _ in range(6)) + end for _ in range(40))
+
+    cases = {"latin": text("abcdefgh", "."), "devanagari": text("कखगघचछजझ", "।"), "arabic": text("ابتثجحخد", "؟"),
+             "chinese": text("天地玄黄宇宙洪荒", "。"), "none": text("abcdefgh", "")}
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(cases.values())], "doc_id long, text string")
+    got = {x["doc_id"]: x["quality"]["kept"] for x in quality.judge(docs).collect()}
+    assert list(got[i] for i in range(5)) == [True, True, True, True, False]
