@@ -34,9 +34,7 @@ def main() -> None:
     print("# Physical plans of the headline questions\n")
     print("Generated by `scripts/show_plans.py` with size-based broadcasting off "
           "(`spark.sql.autoBroadcastJoinThreshold=-1`), i.e. as if every table were "
-          "too large to broadcast. Remaining broadcasts are bounded by construction. "
-          "Q3 and Q4 write a small intermediate first; their plans show the part "
-          "after that step.\n")
+          "too large to broadcast. Remaining broadcasts are bounded by construction.\n")
     for name in HEADLINE:
         df = qs[name](spark, sf_dir)
         text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
