@@ -439,3 +439,21 @@ def test_quality_keeps_prose_of_other_scripts(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(cases.values())], "doc_id long, text string")
     got = {x["doc_id"]: x["quality"]["kept"] for x in quality.judge(docs).collect()}
     assert list(got[i] for i in range(5)) == [True, True, True, True, False]
+
+
+def test_line_dedup_of_ids_with_two_texts_and_of_clashing_columns(spark):
+    import random
+
+    r = random.Random(11)
+    prose = lambda n: "\n".join(" ".join("".join(r.choice("aeinorst") for _ in range(7)) for _ in range(9)) for _ in range(n))
+    shared, other = prose(5), prose(5)
+    rows = [(1, shared, "k", 5, "d", "h"), (2, shared + "\ntail of it", "k", 6, "d", "h"), (2, other, "k", 7, "d", "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __kept string, n_lines int, __doc string, hash string")
+    got = linedup.dedup_lines(docs)
+    assert got.columns == docs.columns
+    kept = {x["n_lines"]: x for x in got.collect()}
+    assert kept[5]["text"] == shared and kept[7]["text"] == other       # text of the same id is never mixed up
+    assert kept[6]["text"] in ("tail of it", shared + "\ntail of it")   # one text stands for the id
+    assert all((x["__kept"], x["__doc"], x["hash"]) == ("k", "d", "h") for x in kept.values())
+    counted = {x["text"]: (x["n_lines"], x["n_removed"]) for x in linedup.dedup_lines(docs, measures=True).collect()}
+    assert counted[other] == (5, 0) and counted[shared] == (5, 0)
