@@ -17,12 +17,13 @@ found by an aggregation over all sets. Small sets use a lane per shingle.
 
 Only components are asked for, so candidates are taken in two rounds: first each
 document against one surviving hub of its lanes, then, between different
-components only, all pairs that agree in one of a document's rarest lanes (the
+components only, pairs that agree in one of a document's rarest lanes (the
 prefix that any linked pair must share). A shingle that no other candidate document
 has is in no intersection, so the shingles left over bound what a document can share;
-a pair whose sizes ask for more is not made. This parts the members of a large group
-that are each a little too unlike the others. No pair is lost and large groups of
-copies need about one comparison a member.
+a pair whose sizes ask for more is not made. Lanes of a few documents pair them all. The
+documents of a larger group, which are each a little too unlike the others, are compared
+by what parts them from the group's hub: see ``_delta_pairs``. No pair is lost and large
+groups of copies need about one comparison a member.
 
 Defined results: null and wordless texts have the empty set and are linked with
 nothing; texts with fewer words than a shingle are one whole shingle. Equal sets
@@ -206,6 +207,57 @@ def _bounds(sets: DataFrame) -> DataFrame:
     return size.select("doc", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("most"))
 
 
+def _delta_pairs(members: DataFrame, sets: DataFrame, percent: int = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """Links (x, y) of members with their hub, and the other pairs (x, y) of members that may link.
+
+    ``members``: distinct (hub, doc, component), doc not the hub. Let D be the symmetric difference of a
+    member and the hub. Two members that share c shingles of their Ds differ in D_x + D_y - 2c shingles, so
+    with the weights w = (100 + s) D - (100 - s) n linked ones have c >= (w_x + w_y) / 2(100 + s). A member
+    is near if linked with the hub, that is w <= (100 - s) n_hub; near ones are in one component, and a
+    pair with a far one asks for c > 0. So far members meet others in the rarest shingles of their Ds,
+    as many as c leaves, by bands of the partner's weight; shingles in the Ds of one
+    component only count for nothing. Copies with edits of their own share few of them.
+    """
+    other, both = 100 - percent, 2 * (100 + percent)
+    of_hub = sets.select(F.col("doc").alias("hub"), F.col("shingles").alias("base"))
+    apart = F.concat(F.array_except("shingles", "base"), F.array_except("base", "shingles"))
+    near_up_to = other * F.size("base").cast("long")
+    deltas = members.join(sets, "doc").join(of_hub, "hub").withColumn("apart", apart).select(
+        "hub", "doc", "component", "apart", near_up_to.alias("near_up_to"),
+        (both / 2 * F.size("apart") - other * F.size("shingles")).cast("long").alias("w"),
+        (both * F.greatest(F.lit(4), F.floor(F.size("base") / 32))).cast("long").alias("width"))
+    deltas = written(deltas.withColumn("far", F.col("w") > F.col("near_up_to")).withColumn(
+        "band", F.floor(F.col("w") / F.col("width"))), "parity-deltas")
+    linked = deltas.where("NOT far").select(F.col("doc").alias("x"), F.col("hub").alias("y"))
+
+    # near members are one component here, so a shingle that only they lack parts none of them from another
+    part = F.when(F.col("far"), F.col("component")).otherwise(F.lit(None)).alias("part")
+    single = deltas.select("hub", "doc", part, F.explode("apart").alias("e"))
+    counts = single.groupBy("hub", "e").agg(
+        F.count("*").alias("times"), F.min("part").alias("a"), F.max("part").alias("b"), F.count("part").alias("fars"))
+    counts = counts.where("fars > 0 AND (fars < times OR a < b)").select("hub", "e", "times")
+    each = Window.partitionBy("hub", "doc")
+    placed = single.join(counts, ["hub", "e"]).select(
+        "hub", "doc", "e", F.row_number().over(each.orderBy("times", "e")).alias("rank"), F.count("*").over(each).alias("usable"))
+    lowest = deltas.groupBy("hub").agg(F.min("band").alias("lowest"))
+    placed = placed.join(deltas.drop("apart"), ["hub", "doc"]).join(lowest, "hub")
+    # c can't be more than the shingles from this rank on
+    placed = written(placed.withColumn("rest", (F.col("usable") - F.col("rank") + 1).cast("long")), "parity-placed")
+    least = F.greatest(F.col("band") * F.col("width"), F.col("near_up_to") + 1)
+    y = placed.where(F.col("w") + least <= both * F.col("rest"))
+    top = F.least("band", F.floor((both * F.col("rest") - F.col("w")) / F.col("width")))
+    x = placed.where("far").withColumn("top", top).where("top >= lowest").withColumn(
+        "meets", F.explode(F.sequence("lowest", "top")))
+    x = x.select("hub", "e", F.col("meets").alias("band"), F.col("band").alias("band_x"), *(
+        F.col(c).alias(f"{c}_x") for c in ("doc", "component", "w", "rest")))
+    y = y.select("hub", "e", "band", "far", *(F.col(c).alias(f"{c}_y") for c in ("doc", "component", "w", "rest")))
+    once = ~F.col("far") | (F.col("band") < F.col("band_x")) | (F.col("doc_x") < F.col("doc_y"))
+    met = x.join(y, ["hub", "e", "band"]).where(
+        once & (F.col("component_x") != F.col("component_y")) & (F.col("doc_x") != F.col("doc_y")) & (
+            F.col("w_x") + F.col("w_y") <= both * F.least("rest_x", "rest_y")))
+    return linked, met.select(F.col("doc_x").alias("x"), F.col("doc_y").alias("y"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``key``, n_shingles, component_id (smallest ``key`` reachable by links)."""
     source = docs.select(F.col(key).alias("doc"), F.col(text).alias("__text"))
@@ -255,13 +307,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rare = (placed.withColumn("rank", rank).withColumn("have", have).where(F.col("rank") <= F.col("have") - need + 1)
             .join(mixed.select("key"), "key", "left_semi"))
     bounds = _bounds(sets).where(100 * F.col("most") >= SIMILARITY * F.col("n"))
-    rare = written(rare.join(bounds, "doc").select("key", "doc", "component", "n", "most"), "parity-rare")
-    x, y = (rare.select("key", F.col("doc").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in (
+    rare = rare.join(bounds, "doc").join(hubs, "key", "left").select("key", "doc", "component", "n", "most", "hub")
+    rare = written(rare, "parity-rare")
+    few = rare.where("hub IS NULL")
+    x, y = (few.select("key", F.col("doc").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in (
         "component", "n", "most"))) for side in "xy")
     most = F.least("most_x", "most_y")
     rest = x.join(y, "key").where((F.col("component_x") != F.col("component_y")) & (F.col("x") < F.col("y")) & (
-        100 * most >= SIMILARITY * (F.col("n_x") + F.col("n_y") - most))).select("x", "y").distinct()
-    links = written(links.union(_verify(rest, sets)), "parity-all-links")
+        100 * most >= SIMILARITY * (F.col("n_x") + F.col("n_y") - most))).select("x", "y")
+    near, unlike = _delta_pairs(rare.where("hub <> doc").select("hub", "doc", "component").distinct(), sets)
+    rest = rest.union(unlike).distinct()
+    links = written(links.union(near).union(_verify(rest, sets)), "parity-all-links")
     joined = components(links, "x", "y")
 
     label = classes.join(joined, classes["rep"] == joined["node"], "left").select(

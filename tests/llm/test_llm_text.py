@@ -129,6 +129,30 @@ def test_parity_join_near_the_threshold(spark, seed):
     assert rows_of(got, "doc_id", "n_shingles", "component_id") == Counter((i, *want[i]) for i, _ in rows)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_parity_join_in_a_large_group_of_unlike_copies(spark, seed):
+    """Copies of one text around the similarity, far from its hub but some near each other."""
+    import random
+
+    r = random.Random(seed)
+
+    def edited(words, times):
+        words = list(words)
+        for _ in range(times):
+            words[r.randrange(len(words))] = r.choice((f"n{r.randrange(10 ** 6)}", f"c{r.randrange(12)}"))
+        return words[r.choice((0, 0, 0, r.randrange(8))):]
+
+    base = [f"w{i}" for i in range(r.choice((60, 110, 140)))]
+    texts = [edited(base, r.randrange(9)) for _ in range(90)]
+    texts += [edited(r.choice(texts), r.randrange(4)) for _ in range(60)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    r.shuffle(rows)
+    want = brute.near(rows)
+    assert 3 < len({c for _, c in want.values()}) < 140
+    got = parity.near_duplicates(brute.frame(spark, rows, False))
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == Counter((i, *want[i]) for i, _ in rows)
+
+
 def test_sketches_bound_the_difference():
     r = np.random.default_rng(0)
     for size in (64, 100, 500, 2000):
