@@ -153,6 +153,71 @@ def test_parity_join_in_a_large_group_of_unlike_copies(spark, seed):
     assert rows_of(got, "doc_id", "n_shingles", "component_id") == Counter((i, *want[i]) for i, _ in rows)
 
 
+def _mix_plan(tokens: dict, entropy_share: float, max_repeats: float) -> tuple[float, dict]:
+    """Exponent and token budget per source, by plain bisection."""
+    import math
+
+    total, some = sum(tokens.values()), [t for t in tokens.values() if t]
+    share = [t / total for t in some]
+
+    def weights(a):
+        z = sum(s ** a for s in share)
+        return [s ** a / z for s in share]
+
+    def least(value, target, high):
+        low = 0.0
+        if value(low) <= target:
+            return low
+        for _ in range(100):
+            middle = (low + high) / 2
+            low, high = (low, middle) if value(middle) <= target else (middle, high)
+        return high
+
+    flat = min(1.0, least(lambda a: -sum(w * math.log(w) for w in weights(a)), entropy_share * math.log(len(share)), 8.0))
+    few = least(lambda a: max(w / s for w, s in zip(weights(a), share)), max_repeats, 1.0)
+    a = max(flat, few)
+    z = sum(s ** a for s in share)
+    return a, {k: (t / total) ** a / z * total if t else 0.0 for k, t in tokens.items()}
+
+
+@pytest.mark.parametrize("max_repeats", (1.5, 4.0))
+def test_mixing_against_a_plain_version(spark, max_repeats):
+    """Exponent and budgets by plain bisection; every epoch and the cut of the last one in plain order."""
+    import random
+    from collections import defaultdict
+
+    r = random.Random(5)
+    rows = [(i, r.choice("aaaaaaaabbbc") if i % 50 else None, " ".join(["w"] * r.choice((0, 1, 2, 5, 40)))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
+    drawn = mixing.mix(docs, max_repeats=max_repeats).collect()
+    tokens, members = defaultdict(int), defaultdict(list)
+    for i, source, text in rows:
+        tokens[source] += len(text.split())
+        members[source].append((i, len(text.split())))
+    stats = spark.createDataFrame([(s, len(members[s]), tokens[s]) for s in tokens], "source string, docs long, tokens long")
+    plan = {p["source"]: p for p in mixing.plan(stats, max_repeats=max_repeats).collect()}
+    exponent, budgets = _mix_plan(tokens, mixing.ENTROPY_SHARE, max_repeats)
+    for s, p in plan.items():
+        assert abs(p["exponent"] - exponent) < 1e-6 and abs(p["budget"] - budgets[s]) <= 1
+    ids = spark.range(400).select("id", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("epoch")).select(
+        "id", "epoch", F.xxhash64(F.lit(mixing.SEED + 1), "epoch", "id").alias("deal"),
+        F.xxhash64(F.lit(mixing.SEED), "epoch", "id").alias("order")).collect()
+    place = {(h["id"], h["epoch"]): (h["deal"], h["order"]) for h in ids}
+    want = Counter()
+    for s, docs_of in members.items():
+        blocks = next(b for b in range(1, 400) if b * b >= len(docs_of))
+        whole, rest = divmod(plan[s]["budget"], tokens[s])
+        for epoch in range(whole + 1):
+            order = sorted((place[i, epoch][0] % blocks, place[i, epoch][1], i, n) for i, n in docs_of)
+            spent = 0
+            for block, key, i, n in order:
+                spent += n
+                if epoch == whole and spent > rest:
+                    break
+                want[i, s, n, epoch, block, key] += 1
+    assert Counter((d["doc_id"], d["source"], d["tokens"], d["epoch"], d["block"], d["order_key"]) for d in drawn) == want
+
+
 def test_sketches_bound_the_difference():
     r = np.random.default_rng(0)
     for size in (64, 100, 500, 2000):
