@@ -51,7 +51,7 @@ STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_d
 
 # Hashes, patience alignment, components and merges by rank are beyond SQL; tests/llm holds quality
 # rules, line dedup and near duplicates against brute-force versions, the encoding against the
-# tokenizers library. The mix has tests of its properties, the whole pipeline planted cases.
+# tokenizers library, the whole pipeline against planted cases.
 ORACLE_SQL = None
 
 
