@@ -50,7 +50,7 @@ STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_d
           ("mix_sources", mix_sources), ("encode", encode)]
 
 # Hashes, patience alignment, components and merges by rank are beyond SQL; tests/llm holds quality
-# rules, line dedup and near duplicates against brute-force versions, the encoding against the
+# rules, line dedup, near duplicates and the mix against plain versions, the encoding against the
 # tokenizers library, the whole pipeline against planted cases.
 ORACLE_SQL = None
 
