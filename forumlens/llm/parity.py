@@ -22,7 +22,7 @@ prefix that any linked pair must share). A shingle that no other candidate docum
 has is in no intersection, so the shingles left over bound what a document can share;
 a pair whose sizes ask for more is not made. Lanes of a few documents pair them all. The
 documents of a larger group, which are each a little too unlike the others, are compared
-by what parts them from the group's hub: see ``_delta_pairs``. No pair is lost and large
+by what parts them from the group's hub, a bounded group in one task: see ``_delta_pairs``. No pair is lost and large
 groups of copies need about one comparison a member.
 
 Defined results: null and wordless texts have the empty set and are linked with
@@ -35,6 +35,7 @@ rows are one document (an id names one text) and come out repeated. Shingles are
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,6 +49,9 @@ WORDS, SIMILARITY = 5, 75          # shingle length; percent
 SMALL_BAND = 6                     # sets under 2^6 shingles have a lane per shingle
 LANES = (0.9, 1.5, 0.0)            # lanes to the band's lower edge; 0: a lane per shingle
 LARGE_GROUP = 16                   # groups of a lane from this size on have their hub chosen
+HUB_DOCS = 1 << 10                 # a hub's members are compared in one task up to so many
+HUB_SHINGLES = 1 << 21             # that differ from the hub in so many shingles
+CELLS = 1 << 20                    # of the table of members and shingles looked at together
 CHUNK = 1 << 21
 
 
@@ -107,26 +111,32 @@ def _lanes(band: int, choice: int) -> int:
     return 0 if band < SMALL_BAND or not LANES[choice] else int(LANES[choice] * (1 << band))
 
 
+def _fingerprint(s: np.ndarray) -> tuple[str, int]:
+    """A set's name, and its class in 64 bits, as a signed number."""
+    same = (int(np.bitwise_xor.reduce(mix(s))) ^ len(s)) if len(s) else 0
+    low = int(np.add.reduce(s)) if len(s) else 0
+    both = mix(np.array([same], np.uint64) + mix(np.array([low], np.uint64)))
+    return f"{same:016x}{low:016x}", int(both.view(np.int64)[0])
+
+
 def _profile(docs: DataFrame) -> DataFrame:
-    """(doc, n, same, band, margins): set size, a fingerprint of the set, and per LANES the spare occupied lanes."""
+    """(doc, n, same, cls, margins): set size, a fingerprint of the set, its class, and per LANES the spare occupied lanes."""
     def run(batches):
         for batch in batches:
             ids = batch.column("doc")
             rows = []
             for i, s in _each_set(batch):
                 n = len(s)
-                same = (int(np.bitwise_xor.reduce(mix(s))) ^ n) if n else 0
-                low = int(np.add.reduce(s)) if n else 0
                 margins = [[b, *(n - lost if not _lanes(b, c) else len(np.unique(
                     mix(s ^ np.uint64(0x5BD1E995)) % np.uint64(_lanes(b, c)))) - lost for c in range(2))]
                     for b, lost in (band_places(n) if n else [])]
-                rows.append((i, n, f"{same:016x}{low:016x}", margins))
+                rows.append((i, n, *_fingerprint(s), margins))
             yield pa.RecordBatch.from_arrays(
                 [ids.take(pa.array([r[0] for r in rows], pa.int64())), pa.array([r[1] for r in rows], pa.int64()),
-                 pa.array([r[2] for r in rows], pa.string()), pa.array([r[3] for r in rows], pa.list_(pa.list_(pa.int32())))],
-                names=["doc", "n", "same", "margins"])
+                 pa.array([r[2] for r in rows], pa.string()), pa.array([r[3] for r in rows], pa.int64()),
+                 pa.array([r[4] for r in rows], pa.list_(pa.list_(pa.int32())))], names=["doc", "n", "same", "cls", "margins"])
 
-    return docs.mapInArrow(run, "doc long, n long, same string, margins array<array<int>>")
+    return docs.mapInArrow(run, "doc long, n long, same string, cls long, margins array<array<int>>")
 
 
 def _choose_lanes(profile: DataFrame) -> dict[int, int]:
@@ -137,41 +147,52 @@ def _choose_lanes(profile: DataFrame) -> dict[int, int]:
 
 
 def _lane_rows(docs: DataFrame, choice: dict[int, int]) -> DataFrame:
-    """(key, doc, place): a row per occupied lane; place holds the band and the lanes a partner must share."""
+    """(key, cls, place): a row per occupied lane; place holds the band and the lanes a partner must share.
+    Copies that a task has seen are left out; other copies are told by their class."""
     def run(batches):
+        seen: set[int] = set()
         for batch in batches:
-            ids = np.asarray(batch.column("doc"))
-            keys, docs_, places, size = [], [], [], 0
+            keys, classes, places, size = [], [], [], 0
 
             def out():
                 return pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(docs_)),
-                    pa.array(np.concatenate(places))], names=["key", "doc", "place"])
-
-            for i, s in _each_set(batch):
+                    pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(classes)),
+                    pa.array(np.concatenate(places))], names=["key", "cls", "place"])
+
+            for _, s in _each_set(batch):
+                cls = _fingerprint(s)[1]
+                if cls in seen:
+                    continue
+                seen.add(cls)
                 for band, lost in band_places(len(s)) if len(s) else []:
                     lane, value = sketch(s, _lanes(band, choice[band]))
                     keys.append(mix(mix(value + lane) ^ np.uint64(band)))
-                    docs_.append(np.full(len(lane), ids[i]))
+                    classes.append(np.full(len(lane), cls, np.int64))
                     places.append(np.full(len(lane), band << 40 | (len(lane) - lost), np.int64))
                     size += len(lane)
                 if size > 1 << 19:
                     yield out()
-                    keys, docs_, places, size = [], [], [], 0
+                    keys, classes, places, size = [], [], [], 0
             if size:
                 yield out()
 
-    return docs.mapInArrow(run, "key long, doc long, place long")
+    return docs.mapInArrow(run, "key long, cls long, place long")
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """The rows whose key at least two documents have. Streams over rows sorted by key; holds no group."""
+    """The rows whose key at least two classes have, once per class. Streams over rows sorted by key and class; holds no group."""
     def run(batches):
         held = None          # the last row, not yet known to be shared
         for batch in batches:
-            if not batch.num_rows:
+            key, cls = np.asarray(batch.column("key")), np.asarray(batch.column("cls"))
+            copy = np.r_[False, (key[1:] == key[:-1]) & (cls[1:] == cls[:-1])][:len(key)]
+            if held is not None and len(key):
+                copy[0] = key[0] == held[0].column("key")[0].as_py() and cls[0] == held[0].column("cls")[0].as_py()
+            if copy.any():
+                batch = batch.filter(pa.array(~copy))
+                key = key[~copy]
+            if not len(key):
                 continue
-            key = np.asarray(batch.column("key"))
             same = np.r_[False, key[1:] == key[:-1]]
             if held is not None:
                 same[0] = key[0] == held[0].column("key")[0].as_py()
@@ -187,7 +208,7 @@ def _shared(rows: DataFrame) -> DataFrame:
         if held is not None and held[1]:
             yield held[0]
 
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, rows.schema)
+    return rows.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(run, rows.schema)
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int = SIMILARITY) -> DataFrame:
@@ -207,8 +228,41 @@ def _bounds(sets: DataFrame) -> DataFrame:
     return size.select("doc", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("most"))
 
 
+def _hub_links(members: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links (x, y) that join the far members of one hub to all members they reach, near ones being one component."""
+    both = 2 * (100 + percent)
+    far, w, doc = members["far"].to_numpy(bool), members["w"].to_numpy(np.int64), members["doc"].to_numpy(np.int64)
+    m = len(doc)
+    owner = np.repeat(np.arange(m), members["apart"].map(len).to_numpy(np.int64))
+    _, at, times = np.unique(np.concatenate(members["apart"].to_list()), return_inverse=True, return_counts=True)
+    owner, at = owner[times[at] > 1], np.searchsorted(np.flatnonzero(times > 1), at[times[at] > 1])
+    common, step = np.zeros((m, m), np.int64), max(1, CELLS // m)
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    for low in range(0, int(at[-1]) + 1 if len(at) else 0, step):
+        a, b = np.searchsorted(at, [low, low + step])
+        table = np.zeros((m, step), np.float32)
+        table[owner[a:b], at[a:b] - low] = 1
+        common += (table @ table.T).astype(np.int64)
+    linked = w[:, None] + w[None, :] <= both * common
+    x, y, left = [], [], far.copy()
+    front = np.flatnonzero(~far)
+    while len(front) or left.any():
+        if not len(front):
+            front = np.flatnonzero(left)[:1]
+            left[front] = False
+        rest = np.flatnonzero(left)
+        reached = linked[np.ix_(front, rest)]
+        hit = np.flatnonzero(reached.any(axis=0))
+        x += doc[rest[hit]].tolist()
+        y += doc[front[reached[:, hit].argmax(axis=0)]].tolist() if len(hit) else []
+        front = rest[hit]
+        left[front] = False
+    return pd.DataFrame({"x": np.array(x, np.int64), "y": np.array(y, np.int64)})
+
+
 def _delta_pairs(members: DataFrame, sets: DataFrame, percent: int = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """Links (x, y) of members with their hub, and the other pairs (x, y) of members that may link.
+    """Links (x, y) of members, and the other pairs (x, y) of members that may link.
 
     ``members``: distinct (hub, doc, component), doc not the hub. Let D be the symmetric difference of a
     member and the hub. Two members that share c shingles of their Ds differ in D_x + D_y - 2c shingles, so
@@ -217,6 +271,9 @@ def _delta_pairs(members: DataFrame, sets: DataFrame, percent: int = SIMILARITY)
     pair with a far one asks for c > 0. So far members meet others in the rarest shingles of their Ds,
     as many as c leaves, by bands of the partner's weight; shingles in the Ds of one
     component only count for nothing. Copies with edits of their own share few of them.
+
+    That is for groups beyond HUB_DOCS and HUB_SHINGLES. In smaller ones a task counts c for all pairs
+    with a far member, which settles them: a row for each shingle would be more than there are pairs.
     """
     other, both = 100 - percent, 2 * (100 + percent)
     of_hub = sets.select(F.col("doc").alias("hub"), F.col("shingles").alias("base"))
@@ -229,6 +286,13 @@ def _delta_pairs(members: DataFrame, sets: DataFrame, percent: int = SIMILARITY)
     deltas = written(deltas.withColumn("far", F.col("w") > F.col("near_up_to")).withColumn(
         "band", F.floor(F.col("w") / F.col("width"))), "parity-deltas")
     linked = deltas.where("NOT far").select(F.col("doc").alias("x"), F.col("hub").alias("y"))
+    sizes = deltas.groupBy("hub").agg(
+        F.count("*").alias("docs"), F.sum(F.size("apart")).alias("shingles"), F.max("far").alias("any")).where("any")
+    sizes = sizes.select("hub", ((F.col("docs") <= HUB_DOCS) & (F.col("shingles") <= HUB_SHINGLES)).alias("small"))
+    deltas = deltas.join(sizes, "hub")
+    linked = linked.union(deltas.where("small").select("hub", "doc", "apart", "w", "far").groupBy("hub").applyInPandas(
+        lambda members: _hub_links(members, percent), "x long, y long"))
+    deltas = deltas.where("NOT small").drop("small")
 
     # near members are one component here, so a shingle that only they lack parts none of them from another
     part = F.when(F.col("far"), F.col("component")).otherwise(F.lit(None)).alias("part")
@@ -263,15 +327,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     source = docs.select(F.col(key).alias("doc"), F.col(text).alias("__text"))
     profile = written(_profile(source), "parity-profile")
     choice = _choose_lanes(profile)
-    classes = profile.where("n > 0").groupBy("same").agg(F.min("doc").alias("rep"))
+    classes = profile.where("n > 0").groupBy("same", "cls").agg(F.min("doc").alias("rep"))
     classes = written(classes, "parity-classes")
-    reps = source.join(classes.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi").dropDuplicates(["doc"])
-    reps = written(reps, "parity-texts")
-    shared = written(_shared(_lane_rows(reps, choice)), "parity-shared")
+    shared = written(_shared(_lane_rows(source, choice)), "parity-shared")
 
-    enough = shared.groupBy("doc", "place").agg(F.count("*").alias("have")).where(
+    # from here on the smallest document of a class stands for it, with one text
+    named = classes.where("rep IS NOT NULL").groupBy(F.col("rep").alias("doc")).agg(F.min("cls").alias("cls"))
+    enough = shared.groupBy("cls", "place").agg(F.count("*").alias("have")).where(
         F.col("have") >= F.col("place") % (1 << 40))
-    lanes = written(shared.join(enough.select("doc", "place"), ["doc", "place"], "left_semi"), "parity-lanes")
+    lanes = written(shared.join(enough.join(named, "cls").select("cls", "place", "doc"), ["cls", "place"]).select(
+        "key", "doc", "place"), "parity-lanes")
     groups = lanes.groupBy("key").agg(F.min("doc").alias("first"), F.count("*").alias("size")).where("size > 1")
     lanes = written(lanes.join(groups, "key"), "parity-groups")
     # the hub of a large group: the member that agrees with most others over all its lanes
@@ -283,14 +348,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     def sets_of(ids: DataFrame) -> DataFrame:
         def run(batches):
             for batch in batches:
-                names = np.asarray(batch.column("doc"))
+                names, classes_ = batch.column("doc"), np.asarray(batch.column("cls"))
                 for i, s in _each_set(batch):
+                    if _fingerprint(s)[1] != classes_[i]:
+                        continue
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(names[i:i + 1]), pa.ListArray.from_arrays(
                             pa.array([0, len(s)], pa.int32()), pa.array(s.view(np.int64)))], names=["doc", "shingles"])
-        return reps.join(ids, "doc", "left_semi").mapInArrow(run, "doc long, shingles array<long>")
+        # a merge join brings the rows of an id together, so that repeated ones go without one more shuffle
+        return source.join(ids.hint("merge"), "doc").dropDuplicates(["doc", "__text"]).mapInArrow(
+            run, "doc long, shingles array<long>")
 
-    sets = written(sets_of(lanes.select("doc").distinct()), "parity-sets")
+    ids = written(lanes.select("doc").distinct().join(named, "doc"), "parity-ids")
+    sets = written(sets_of(ids), "parity-sets")
     need = F.col("place") % (1 << 40)
     starred = lanes.join(hubs, "key", "left").withColumn("hub", F.coalesce("hub", "first")).where("doc <> hub")
     stars = (starred.groupBy(F.col("doc").alias("x"), F.col("hub").alias("y"), "place")
