@@ -14,8 +14,11 @@ window belongs to one context.
 * The other contexts' texts are fetched, once per distinct context, and go by anchor
   to the shards, where an index finds which windows occur where.
 * Anchors with very many contexts (a passage in a large share of all texts, each time
-  between other text) would land in one shard; their windows are dealt one by one and
-  counted before the shuffle.
+  between other text) would land in one shard. Their contexts are cut, at fixed distances from
+  the anchor, into parts of a few windows; what all windows of a part have in common, nearly a
+  whole window, is the part's anchor, and equal parts are one. Parts go the way of contexts;
+  only where very many parts still meet are windows counted one by one, before
+  the shuffle.
 """
 
 from __future__ import annotations
@@ -35,7 +38,8 @@ from .store import written
 PART = (1 << 24) - (1 << 16)     # symbols of one text looked at together
 CHUNK = 1 << 20            # bytes of text looked at together
 SHARD_SYMBOLS = 1 << 20    # symbols indexed together, whole anchors each
-HOT_CONTEXTS = 256         # more contexts under an anchor are dealt window by window
+HOT_CONTEXTS = 256         # more contexts under an anchor are dealt in parts, more parts window by window
+PART_WINDOWS = 16          # windows of a part
 
 INDEXED = "h long, c long, starts array<int>, values array<long>"
 
@@ -101,8 +105,28 @@ def places(docs: DataFrame, kind: str, window: int, k: int) -> DataFrame:
     return docs.mapInArrow(run, "doc long, start long, n int, h long, c long")
 
 
-def _fetch(docs: DataFrame, wanted: DataFrame, kind: str, window: int) -> DataFrame:
-    """The symbols of the wanted contexts (doc, wants), cut from the texts; of hot ones their windows' hashes."""
+def _parts(sums: np.ndarray, window: int, k: int, h: np.uint64, start: int, n: int):
+    """(first window, windows, anchor hash, content hash) of the parts of the context of ``n`` windows from ``start``.
+
+    A window's place to the left of the anchor depends on its content only, and so do its part and what
+    the part's windows have in common.
+    """
+    width = min(PART_WINDOWS, window)
+    at = np.arange(start, start + window - k + 1)
+    far = int(np.argmax(mix(span_hash(sums, at, at + k)) == h))       # the anchor lies so far behind the first window
+    extent = far - np.arange(n)
+    part = extent // width
+    first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+    size = np.diff(np.r_[first, n])
+    low = start + far - part[first] * width
+    anchor = mix(span_hash(sums, low, low + window - width + 1) ^ mix(part[first].astype(np.uint64) + h))
+    whole = mix(span_hash(sums, start + first, start + first + size + window - 1) + mix(
+        extent[first].astype(np.uint64) << np.uint64(32) | size.astype(np.uint64)))
+    return first, size, anchor, whole
+
+
+def _fetch(docs: DataFrame, wanted: DataFrame, kind: str, window: int, k: int) -> DataFrame:
+    """The symbols of the wanted contexts (doc, wants), cut from the texts; of hot ones their parts."""
     def run(batches):
         for batch in batches:
             raw, offsets = utf8(batch.column("__text"))
@@ -115,21 +139,45 @@ def _fetch(docs: DataFrame, wanted: DataFrame, kind: str, window: int) -> DataFr
                 row = np.repeat(np.arange(b - a), np.diff(ends[a:b + 1]))
                 begin = bounds[row] + field["start"][lo:hi]
                 sums = prefix_sums(codes) if field["hot"][lo:hi].any() else None
-                pieces, hashes = [], []
+                pieces, parts = [], []
                 for i, s, n in zip(range(lo, hi), begin, field["n"][lo:hi]):
                     if field["hot"][i]:
-                        at = np.arange(s, s + n)
-                        hashes.append(mix(span_hash(sums, at, at + window)).view(np.int64))
+                        cut = _parts(sums, window, k, field["h"][i:i + 1].view(np.uint64)[0], int(s), int(n))
+                        parts.append([{"i": f, "ph": x, "pc": y, "piece": symbols[s + f:s + f + m + window - 1].tobytes()}
+                                      for f, m, x, y in zip(*(c.tolist() for c in (*cut[:2], *(
+                                          v.view(np.int64) for v in cut[2:]))))])
                         pieces.append(None)
                     else:
-                        hashes.append(None)
+                        parts.append(None)
                         pieces.append(symbols[s:s + n + window - 1].tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [*(pa.array(field[x][lo:hi]) for x in ("h", "c", "times", "first")), pa.array(pieces, pa.binary()),
-                     pa.array(hashes, pa.list_(pa.int64()))], names=["h", "c", "times", "first", "piece", "hashes"])
+                     pa.array(parts, pa.list_(pa.struct([("i", pa.int32()), ("ph", pa.int64()), ("pc", pa.int64()), (
+                         "piece", pa.binary())])))], names=["h", "c", "times", "first", "piece", "parts"])
 
     return docs.join(wanted, docs["doc"] == wanted["of"]).select("__text", "wants").mapInArrow(
-        run, "h long, c long, times long, first long, piece binary, hashes array<long>")
+        run, "h long, c long, times long, first long, piece binary, "
+             "parts array<struct<i: int, ph: long, pc: long, piece: binary>>")
+
+
+def _each_window(rows: DataFrame, kind: str, window: int) -> DataFrame:
+    """(h, c, times, first, i, w): the hash of each window of the contexts' symbols."""
+    def run(batches):
+        for batch in batches:
+            raw, offsets = utf8(batch.column("piece"))
+            codes = BYTE_CODES[raw] if kind == "bytes" else np.frombuffer(raw.tobytes(), np.uint64)
+            bounds = offsets if kind == "bytes" else offsets // 8
+            size = np.diff(bounds) - window + 1
+            row = np.repeat(np.arange(len(size)), size)
+            i = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+            at = bounds[row] + i
+            w = mix(span_hash(prefix_sums(codes), at, at + window))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(x).take(pa.array(row)) for x in ("h", "c", "times", "first")), pa.array(i, pa.int32()),
+                 pa.array(w.view(np.int64))], names=["h", "c", "times", "first", "i", "w"])
+
+    return rows.select("h", "c", "times", "first", "piece").mapInArrow(
+        run, "h long, c long, times long, first long, i int, w long")
 
 
 def _shards(rows: DataFrame, kind: str, index: Callable) -> DataFrame:
@@ -202,14 +250,10 @@ def repeated_windows(docs: DataFrame, kind: str, window: int, k: int, index: Cal
     sizes = distinct.groupBy("h").agg((F.count("*") > HOT_CONTEXTS).alias("hot"))
     wanted = distinct.join(sizes, "h").groupBy(F.col("at.doc").alias("of")).agg(F.collect_list(F.struct(
         "h", "c", "at.start", "at.n", "times", "first", "hot")).alias("wants"))
-    fetched = written(_fetch(docs, wanted, kind, window), f"{kind}-fetched")
-    indexed = _shards(fetched.where("piece IS NOT NULL").drop("hashes"), kind, index)
-    single = fetched.where("hashes IS NOT NULL").select("h", "c", "times", "first", F.posexplode("hashes").alias("i", "w"))
-    value = single.groupBy("w").agg(gather.alias("value"))
-    by_window = single.select("h", "c", "i", "w").join(value, "w").groupBy("h", "c").agg(
-        F.array_sort(F.collect_list(F.struct("i", "value"))).alias("v")).select(
-        "h", "c", F.col("v.i").alias("starts"), F.col("v.value").alias("values"))
-    indexed = written(indexed.union(by_window), f"{kind}-indexed")
+    fetched = written(_fetch(docs, wanted, kind, window, k), f"{kind}-fetched")
+    indexed = _shards(fetched.where("piece IS NOT NULL").drop("parts"), kind, index)
+    by_part = _hot(fetched.where("parts IS NOT NULL"), kind, window, index, gather)
+    indexed = written(indexed.union(by_part), f"{kind}-indexed")
     runs = contested.join(indexed, ["h", "c"]).select("doc", "start", "n", "starts", "values").union(
         shared.where("NOT contested").select("doc", "start", "n", F.array(F.lit(0)), F.array("value")))
     last = F.size("starts") - 1
@@ -222,6 +266,32 @@ def repeated_windows(docs: DataFrame, kind: str, window: int, k: int, index: Cal
                    f"{kind}-ranges")
 
 
+def _hot(rows: DataFrame, kind: str, window: int, index: Callable, gather: Callable) -> DataFrame:
+    """(h, c, starts, values) of hot contexts, by their parts."""
+    parts = rows.select("h", "c", "times", "first", F.inline("parts"))
+    distinct = parts.groupBy(F.col("ph").alias("h"), F.col("pc").alias("c")).agg(
+        F.sum("times").alias("times"), F.min("first").alias("first"), F.min("piece").alias("piece"))
+    distinct = written(distinct, f"{kind}-parts")
+    sizes = distinct.groupBy("h").agg(F.count("*").alias("size"), F.max("c").alias("c"), gather.alias("value"))
+    alone = sizes.where("size = 1").select("h", "c", F.array(F.lit(0)).alias("starts"), F.array("value").alias("values"))
+    met = distinct.join(sizes.where("size > 1").select("h", (F.col("size") > HOT_CONTEXTS).alias("hot")), "h")
+    indexed = _shards(met.where("NOT hot").drop("hot"), kind, index)
+    single = written(_each_window(met.where("hot"), kind, window), f"{kind}-windows")
+    value = single.groupBy("w").agg(F.count("*").alias("places"), gather.alias("value"), F.min(F.struct("h", "c", "i")).alias("at"))
+    value = written(value, f"{kind}-counted")
+    # a window that one part has needs no join
+    found = value.where("places = 1").select("at.h", "at.c", "at.i", "value").union(
+        single.join(value.where("places > 1").select("w", "value"), "w").select("h", "c", "i", "value"))
+    by_window = found.groupBy("h", "c").agg(F.array_sort(F.collect_list(F.struct("i", "value"))).alias("v")).select(
+        "h", "c", F.col("v.i").alias("starts"), F.col("v.value").alias("values"))
+    values = alone.union(indexed).union(by_window)
+    placed = parts.select("h", "c", "i", "ph", "pc").join(
+        values.select(F.col("h").alias("ph"), F.col("c").alias("pc"), "starts", "values"), ["ph", "pc"])
+    runs = F.array_sort(F.collect_list(F.struct("i", F.transform("starts", lambda s: s + F.col("i")).alias("starts"), "values")))
+    return placed.groupBy("h", "c").agg(runs.alias("v")).select(
+        "h", "c", F.flatten("v.starts").alias("starts"), F.flatten("v.values").alias("values"))
+
+
 def covered(ranges: pa.StructArray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Disjoint rising spans covered by the windows that start in ``ranges`` of one text."""
     a = np.asarray(ranges.field("a"))

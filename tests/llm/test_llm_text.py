@@ -89,6 +89,33 @@ def test_hot_anchor_goes_window_by_window(spark, monkeypatch):
     assert rows_of(got, "doc_id", "n_bytes", "n_removed", "n_spans", "sha") == Counter((i, *want[i]) for i, _ in rows)
 
 
+def test_hot_contexts_are_dealt_in_parts(spark, monkeypatch):
+    """Of a passage in many documents only the windows at its ends are counted one by one, however long it is."""
+    from forumlens.llm import dealing
+
+    tables = {}
+
+    def kept(df, name):
+        tables[name] = written(df, name)
+        return tables[name]
+
+    written = dealing.written
+    monkeypatch.setattr(dealing, "written", kept)
+    monkeypatch.setattr(dealing, "HOT_CONTEXTS", 8)
+    passage = " ".join(f"p{i * 7919 % 1000}" for i in range(120))
+    rows = [(i, " ".join(f"{i * j % 613}b{i}" for j in range(60)) + f" {passage} " + " ".join(
+        f"e{i}{i * j % 411}" for j in range(60))) for i in range(40)]
+    rows += [(100 + i, "a" * (400 + i) + f"{i % 3} " + "ab" * 150 + f" {i} " * 30) for i in range(30)]
+    want = brute.repeats(rows)
+    got = suffix.remove_repeats(brute.frame(spark, rows, False)).withColumn("sha", F.sha2("kept", 256))
+    assert rows_of(got, "doc_id", "n_bytes", "n_removed", "n_spans", "sha") == Counter((i, *want[i]) for i, _ in rows)
+    in_parts = tables["bytes-fetched"].where("parts IS NOT NULL").select(F.explode("parts")).count()
+    assert in_parts and 0 < tables["bytes-windows"].count() < 4 * in_parts
+    want = brute.earlier(rows)
+    got = fmindex.remove_earlier(brute.frame(spark, rows, False)).withColumn("sha", F.sha2("kept", 256))
+    assert rows_of(got, "doc_id", "n_words", "n_removed", "sha") == Counter((i, *want[i]) for i, _ in rows)
+
+
 def test_fm_index_intervals():
     r = np.random.default_rng(3)
     text = np.r_[r.integers(1, 4, 400), 0]
@@ -153,6 +180,71 @@ def test_parity_join_in_a_large_group_of_unlike_copies(spark, seed):
     assert rows_of(got, "doc_id", "n_shingles", "component_id") == Counter((i, *want[i]) for i, _ in rows)
 
 
+def unlike_copies(seed):
+    """Copies of one text around the similarity, with ids."""
+    import random
+
+    r = random.Random(seed)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for _ in range(80):
+        words = list(r.choice(texts)) if texts and r.random() < 0.4 else list(base)
+        for _ in range(r.randrange(8)):
+            words[r.randrange(len(words))] = r.choice((f"n{r.randrange(10 ** 6)}", f"c{r.randrange(9)}"))
+        texts.append(words)
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def test_parity_join_in_a_group_beyond_one_task(spark, monkeypatch):
+    monkeypatch.setattr(parity, "HUB_DOCS", 4)
+    rows = unlike_copies(5)
+    want = brute.near(rows)
+    assert 3 < len({c for _, c in want.values()}) < 70
+    got = parity.near_duplicates(brute.frame(spark, rows, False))
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == Counter((i, *want[i]) for i, _ in rows)
+
+
+def test_members_of_a_hub_are_linked_in_one_task(spark):
+    """Links of a group that a task holds are settled there: no pair is left to compare, at most one link a member."""
+    rows = unlike_copies(6)
+    names: dict = {}
+    sets = {i: sorted(names.setdefault(x, len(names)) for x in brute.shingles(t)) for i, t in rows}
+    frame = spark.createDataFrame(list(sets.items()), "doc long, shingles array<long>")
+    members = spark.createDataFrame([(0, i, i) for i in sets if i], "hub long, doc long, component long")
+    links, unlike = parity._delta_pairs(members, frame)
+    assert unlike.count() == 0
+    links = [(r["x"], r["y"]) for r in links.collect()]
+    assert len(links) < len(rows)
+
+    def component(edges):
+        top = {i: i for i in sets}
+        for _ in sets:
+            for a, b in edges:
+                top[a] = top[b] = min(top[a], top[b])
+        return top
+
+    exact = [(a, b) for a in sets for b in sets if a < b and 100 * len(set(sets[a]) & set(sets[b])) >= 75 * len(set(sets[a]) | set(sets[b]))]
+    assert component(links) == component(exact)
+
+
+def test_parity_join_writes_no_texts(spark, monkeypatch):
+    """Copies are told by their class; also for an id with rows in two batches and for copies of other ids."""
+    tables = {}
+
+    def kept(df, name):
+        tables[name] = df.columns
+        return written(df, name)
+
+    written = parity.written
+    monkeypatch.setattr(parity, "written", kept)
+    rows = [(i % 20, " ".join(f"w{i % 20 % 7}x{j}" for j in range(80))) for i in range(60)] + [(None, "w0x0 " * 9)]
+    want = brute.near(rows[:-1])
+    got = parity.near_duplicates(brute.frame(spark, rows, False))
+    assert rows_of(got.where("doc_id IS NOT NULL"), "doc_id", "n_shingles", "component_id") == Counter(
+        (i, *want[i]) for i, _ in rows[:-1])
+    assert tables and not any("__text" in columns for columns in tables.values())
+
+
 def _mix_plan(tokens: dict, entropy_share: float, max_repeats: float) -> tuple[float, dict]:
     """Exponent and token budget per source, by plain bisection."""
     import math
