@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 
+DEALT = 16   # parts in which the rows of one part of lineitem are grouped
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
@@ -65,8 +67,15 @@ def questions(orders: DataFrame) -> DataFrame:
 
 
 def answers(lineitem: DataFrame) -> DataFrame:
-    """Answers: one per (order, line number); the key pair repeats, hence the grouping."""
-    grouped = lineitem.groupBy("l_orderkey", "l_linenumber").agg(
+    """Answers: one per (order, line number); the key pair repeats, hence the grouping.
+
+    Pairs seldom repeat, so a group is about a row, and combining them before the shuffle only fills
+    a task's memory. The rows are dealt by the pair into a number of parts that grows with the
+    table (``DEALT`` for each part that is read), so that a task's groups stay few whatever its size.
+    """
+    parts = DEALT * lineitem.rdd.getNumPartitions()
+    dealt = lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity").repartition(parts, "l_orderkey", "l_linenumber")
+    grouped = dealt.groupBy("l_orderkey", "l_linenumber").agg(
         F.min("l_suppkey").alias("owner"), F.max("l_quantity").alias("qty"))
     return grouped.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("Id"),
@@ -154,7 +163,9 @@ class ForumData:
     def base(self, name: str) -> DataFrame:
         return read_base(self.spark, self.sf_dir, name)
 
-    def _stored(self, name: str, build) -> DataFrame:
+    def _stored(self, name: str, build, apart=None) -> DataFrame:
+        """``apart`` gives the table as one frame for each value of its partition column: each goes into its
+        folder as it stands, while a write by ``partitionBy`` sorts all rows of a task."""
         if not self.materialize:
             return build()
         from ..session import scratch_path
@@ -162,10 +173,17 @@ class ForumData:
         stored = _STORED.get(key)
         if stored is None:
             path = scratch_path(self.spark, f"tables/{name}")
-            w = build().write.mode("errorifexists")
-            if name in PARTITION_BY:
-                w = w.partitionBy(*PARTITION_BY[name])
-            w.parquet(path)
+            table = build()
+            if apart:
+                by, = PARTITION_BY[name]
+                columns = [F.col(f.name).cast(f.dataType) for f in table.schema.fields if f.name != by]
+                for value, frame in apart.items():
+                    frame().select(*columns).write.mode("errorifexists").parquet(f"{path}/{by}={value}")
+            else:
+                w = table.write.mode("errorifexists")
+                if name in PARTITION_BY:
+                    w = w.partitionBy(*PARTITION_BY[name])
+                w.parquet(path)
             stored = _STORED[key] = self.spark.read.parquet(path)
         return stored
 
@@ -183,8 +201,9 @@ class ForumData:
 
     @cached_property
     def posts(self) -> DataFrame:
-        return self._stored("posts", lambda: questions(self.base("orders")).unionByName(
-            answers(self.base("lineitem"))))
+        return self._stored("posts", lambda: questions(self.base("orders")).unionByName(answers(self.base("lineitem"))), {
+            S.POST_TYPE_QUESTION: lambda: questions(self.base("orders")),
+            S.POST_TYPE_ANSWER: lambda: answers(self.base("lineitem"))})
 
     @cached_property
     def votes(self) -> DataFrame:
