@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -22,6 +23,9 @@ from .splits import attribute_names, csv_records, xml_elements
 # Stands for a quoted empty value while a record is parsed, so that it is told from a missing one.
 _EMPTY = "\x00"
 
+# What asks for the CSV parser: quotes, line ends, and characters that it may treat on its own.
+_NOT_PLAIN = r'["\x00-\x08\x0A-\x1F\uFEFF\uFFFD]'
+
 
 def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
     return df.repartition(partitions) if partitions else df
@@ -49,11 +53,19 @@ def _csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType |
         raise ValueError(f"columns missing in the header: {[n for n in schema.names if n not in place]}")
     columns = ", ".join(f"c{i} string" for i in range(len(names))) or "c0 string"
     parsed = F.from_csv("record", columns, {"escape": '"', "multiLine": "true", "mode": "FAILFAST", "emptyValue": _EMPTY})
-    rows = records.select("file", parsed.alias("r"))
+    # a record without quotes is its values with commas between them; the others, and those of another length, are parsed
+    values = F.split("record", ",", -1)
+    plain = ~F.col("record").rlike(_NOT_PLAIN) & (F.size(values) == len(names)) & (F.trim("record") != "")
+    rows = records.select("file", "record", F.when(plain, values).alias("v")).select(
+        "file", "v", F.when(F.col("v").isNull(), parsed).alias("r"))
     raw = {}
     for field in schema.fields:
-        c = F.col(f"r.c{place[field.name]}") if names else F.lit(None).cast("string")
-        raw[field.name] = F.when(c == _EMPTY, F.lit("")).otherwise(c)
+        if names:
+            i = place[field.name]
+            c, v = F.col(f"r.c{i}"), F.col("v").getItem(i)
+            raw[field.name] = F.when(F.col("v").isNotNull(), F.when(v != "", v)).when(c == _EMPTY, F.lit("")).otherwise(c)
+        else:
+            raw[field.name] = F.lit(None).cast("string")
     typed = {f.name: raw[f.name].try_cast(f.dataType) for f in schema.fields}
     if bad_values is not None:
         rows = rows.observe(bad_values, *(F.count_if(
@@ -89,11 +101,32 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
 
 
 def _rows_of(elements: DataFrame, schema: T.StructType) -> DataFrame:
-    """Attributes by name; an element that is not well formed raises, a value of another type is NULL."""
+    """Attributes by name; an element that is not well formed raises, a value of another type is NULL.
+
+    Most elements of a dump are plain, and their attributes are found by splitting at the quotes. All
+    others go through the XML parser, and so do those that name an attribute twice or a column in other letters.
+    """
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     alone = F.regexp_replace("element", "/?>$", "/>")
-    parsed = elements.select(F.from_xml(alone, text, {"attributePrefix": "", "mode": "FAILFAST", "ignoreSurroundingSpaces": "false"}).alias("r"))
-    return parsed.select(*(F.col("r").getField(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields))
+    # ' name' + control character + value for each attribute, with a quote behind, and the end of the tag as one more key
+    pairs = F.replace(F.substr("element", F.locate(" ", "element")), F.lit('="'), F.lit("\x02"))
+    quotes = F.length("element") - F.length(F.replace("element", F.lit('"')))
+    exact, lower = {f.name for f in schema.fields}, {f.name.lower() for f in schema.fields}
+    other_case = F.col("element").rlike(rf' (?!(?:{"|".join(map(re.escape, sorted(exact)))})=")(?i:{"|".join(map(re.escape, sorted(lower)))})="')
+    plain = F.col("plain") & ~other_case if len(lower) == len(schema.fields) else F.lit(False)
+    split = elements.select("element", F.when(plain, F.str_to_map(pairs, F.lit('"'), F.lit("\x02"))).alias("m"), quotes.alias("quotes"))
+    plain = F.col("m").isNotNull() & (2 * F.size("m") == F.col("quotes") + 2)
+    parsed = split.select(F.when(plain, F.col("m")).alias("m"), F.when(~plain, F.from_xml(alone, text, {
+        "attributePrefix": "", "mode": "FAILFAST", "ignoreSurroundingSpaces": "false"})).alias("r"))
+
+    def value(name: str):
+        v = F.col("m").getItem(f" {name}")
+        named = v
+        for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+            named = F.replace(named, F.lit(entity), F.lit(char))
+        return F.when(F.col("m").isNull(), F.col("r").getField(name)).when(v.contains("&"), named).otherwise(v)
+
+    return parsed.select(*(value(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields))
 
 
 def read_xml_rows(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str,

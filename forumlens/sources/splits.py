@@ -52,6 +52,11 @@ def _blocks(batches) -> Iterator[tuple[int, int, bool, pa.Array]]:
 
 
 # ------------------------------------------------------------------ CSV
+def _odd(column: pa.Array) -> pa.Array:
+    """1 for each line with an odd number of quotes."""
+    return pc.bit_wise_and(pc.count_substring(column, '"'), 1)
+
+
 class _Quotes:
     """Follows lines from a known state: ``inside`` quotes or between records."""
 
@@ -62,8 +67,7 @@ class _Quotes:
 
     def records(self, column: pa.Array) -> Iterator[tuple[bool, str]]:
         """(whether it started before the block, record) for each record that ends in these lines."""
-        odd = pc.bit_wise_and(pc.count_substring(column, '"'), 1).to_pylist()
-        for line, turns in zip(column.to_pylist(), odd):
+        for line, turns in zip(column.to_pylist(), _odd(column).to_pylist()):
             if not self.inside and not self.held:
                 if self.comment and line.startswith(self.comment):
                     continue
@@ -77,9 +81,18 @@ class _Quotes:
                 yield self.from_before, text[:-1] if text.endswith("\r") else text
                 self.held, self.from_before = [], False
 
-    def turn(self, column: pa.Array) -> None:
-        """Follow the lines without their records."""
-        odd = pc.bit_wise_and(pc.count_substring(column, '"'), 1)
+    def plain(self, column: pa.Array) -> pa.Array | None:
+        """The records of these lines if each line is one as it stands, without a loop over them; else None."""
+        if (self.inside or self.held or pc.any(pc.ends_with(column, "\r")).as_py()
+                or pc.any(pc.equal(_odd(column), 1)).as_py()):
+            return None
+        kept = pc.not_equal(column, "")
+        if self.comment:
+            kept = pc.and_not(kept, pc.starts_with(column, self.comment))
+        return column.filter(kept).cast(pa.string())
+
+    def turn(self, column: pa.Array, odd: pa.Array) -> None:
+        """Follow the lines without their records; ``odd`` tells which hold an odd number of quotes."""
         comments = pc.starts_with(column, self.comment) if self.comment else None
         if comments is None or not pc.any(pc.and_(comments, pc.equal(odd, 1))).as_py():
             self.inside ^= bool((pc.sum(odd).as_py() or 0) % 2)
@@ -97,8 +110,9 @@ def _csv_states(table: DataFrame, comment: str | None) -> tuple[set[tuple[int, i
             if new:
                 out.append([file, block, _Quotes(False, comment), _Quotes(True, comment), None, _Quotes(False, comment)])
             last = out[-1]
-            last[2].turn(column)
-            last[3].turn(column)
+            odd = _odd(column)
+            last[2].turn(column, odd)
+            last[3].turn(column, odd)
             if block == 0 and last[4] is None:
                 last[4] = next((text for _, text in last[5].records(column) if text), None)
         for file, block, a, b, first, _ in out:
@@ -148,11 +162,13 @@ def csv_records(spark: SparkSession, paths: str | Sequence[str], comment: str |
                 header = None
                 continue
             header = block == 0 if header is None else header
-            whole = [text for before, text in quotes.records(column) if text and not before]
-            if header and whole:
-                whole, header = whole[1:], False
-            if whole:
-                yield pa.RecordBatch.from_pydict({"file": pa.array([file] * len(whole), pa.int64()), "record": pa.array(whole, pa.string())})
+            whole = quotes.plain(column)
+            if whole is None:
+                whole = pa.array([text for before, text in quotes.records(column) if text and not before], pa.string())
+            if header and len(whole):
+                whole, header = whole.slice(1), False
+            if len(whole):
+                yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(file, pa.int64()), len(whole)), whole], names=["file", "record"])
 
     def pieces(batches):
         """What block borders cut: heads that belong to the block before, and open tails."""
@@ -203,20 +219,37 @@ def element_pattern(tag: str) -> str:
     return rf"""<{re.escape(tag)}(?:\s+[^\s=<>"'/]+\s*=\s*(?:"[^"<]*"|'[^'<]*'))*\s*/?>"""
 
 
+def plain_pattern(tag: str) -> str:
+    """An element (group 1) alone in its line that needs no XML parser: values in double quotes, one space before each
+    name, no = at the end of a value, no references but the five named entities, no name that may be a namespace's (Java)."""
+    # characters one by one: Java looks them up in a table, ranges in a negated class are tried one after the other
+    control = "".join(rf"\x{i:02X}" for i in (*range(0x20), *range(0x7F, 0xA0)))
+    text = rf'[^"<&{control}]*+'
+    value = rf'"{text}(?:&(?:amp|lt|gt|quot|apos);{text})*+(?<!=)"'
+    return rf"""^[ \t]*+(<{re.escape(tag)}(?: (?![xX][mM][lL])[A-Za-z_][A-Za-z0-9_]*+={value})++ *+/?>)[ \t\r]*+(?:</{re.escape(tag)}>[ \t\r]*+)?\z"""
+
+
 def xml_elements(spark: SparkSession, paths: str | Sequence[str], tag: str = "row", rows_span_lines: bool = False) -> DataFrame:
-    """One column ``element``: the text of each start tag or empty element ``tag``.
+    """Columns ``element``, the text of each start tag or empty element ``tag``, and ``plain``: it is one of :func:`plain_pattern`.
 
     Rows that lie in one line each are found by expressions alone; a row that does not end in
     its line raises, unless ``rows_span_lines``.
     """
-    table = lines(spark, paths)
     if not rows_span_lines:
+        # the place of a line in its file is of no use here, and costs more than the line
+        table = spark.read.option("lineSep", "\n").text([paths] if isinstance(paths, str) else list(paths)).select(F.col("value").alias("line"))
         possessive = element_pattern(tag).replace("+", "++").replace("*", "*+")
         found = F.regexp_extract_all("line", F.lit(possessive), F.lit(0))
         starts = F.size(F.split("line", rf"<{re.escape(tag)}(?=[\s/>]|$)", -1)) - 1
         broken = F.raise_error(F.concat(F.lit("a row runs over line ends, read with rows_span_lines=True: "), F.substring("line", 1, 200)))
-        return table.select(F.explode(F.when(starts == F.size(found), found).otherwise(F.array(broken.cast("string")))).alias("element"))
+        checked = F.when(starts == F.size(found), found).otherwise(F.array(broken.cast("string")))
+        sound = F.is_valid_utf8("line") & ~F.contains("line", F.lit("\uFFFE")) & ~F.contains("line", F.lit("\uFFFF"))
+        lone = table.select("line", F.when(sound, F.regexp_extract("line", plain_pattern(tag), 1)).otherwise("").alias("lone"))
+        # an outer explode: for an inner one the optimizer adds a filter that finds the elements once more
+        return lone.select(F.explode_outer(F.when(F.col("lone") != "", F.array("lone")).otherwise(checked)).alias("element"),
+                           (F.col("lone") != "").alias("plain")).where("element IS NOT NULL")
 
+    table = lines(spark, paths)
     pattern = re.compile(element_pattern(tag))
     start = re.compile(rf"<{re.escape(tag)}(?=[\s/>]|$)")
 
@@ -263,7 +296,7 @@ def xml_elements(spark: SparkSession, paths: str | Sequence[str], tag: str = "ro
     text = F.regexp_extract("text", element_pattern(tag).replace("+", "++").replace("*", "*+"), 0)
     return table.mapInArrow(whole, "element string").unionByName(
         crossing.select(F.when(text == "", F.raise_error(F.concat(F.lit("a row without an end: "), F.substring("text", 1, 200))).cast("string"))
-                        .otherwise(text).alias("element")))
+                        .otherwise(text).alias("element"))).withColumn("plain", F.lit(False))
 
 
 def attribute_names(elements: DataFrame) -> list[str]:
