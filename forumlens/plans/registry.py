@@ -268,11 +268,11 @@ def _dump_tables(fd) -> dict[str, DataFrame]:
 
 @query
 def s4_convert_dump(fd):
-    """All seven tables from XML to CSV without the listed columns; read back, each row as text."""
+    """All seven tables from gzipped XML to CSV without the listed columns; read back, each row as text."""
     spark = fd.spark
     base = scratch_path(spark, "s4")
-    tables = _dump_tables(fd)
-    xml = {n: files.write_xml_rows(df, f"{base}/xml/{n}", root_tag=n.lower()) for n, df in tables.items()}
+    tables = _dump_tables(fd.unstored())
+    xml = {n: files.write_xml_rows(df, f"{base}/xml/{n}", root_tag=n.lower(), gzip=True) for n, df in tables.items()}
     out = files.convert_dump(spark, xml, f"{base}/csv", {n: df.schema for n, df in tables.items()})
     back = {}
     for name, df in tables.items():

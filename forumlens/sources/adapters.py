@@ -10,8 +10,9 @@ application as parquet under the shared checkpoint folder, partitioned by
 the type codes (``PostTypeId``, ``VoteTypeId``, ``Class``), and the
 questions read those files: a question over questions scans only the
 ``PostTypeId=1`` directory and never re-derives answers from ``lineitem``.
-With ``materialize=False`` the derivations are used directly and Catalyst
-still prunes columns and pushes ``PostTypeId = 1`` through the union.
+With ``materialize=False`` nothing is written: tables not stored yet are derived
+where they are used, and Catalyst still prunes columns and pushes
+``PostTypeId = 1`` through the union.
 """
 
 from __future__ import annotations
@@ -160,18 +161,22 @@ class ForumData:
         self.sf_dir = sf_dir
         self.materialize = materialize
 
+    def unstored(self) -> ForumData:
+        """The same tables for a query that reads each once: it writes no copies, but reads those that are there."""
+        return ForumData(self.spark, self.sf_dir, materialize=False)
+
     def base(self, name: str) -> DataFrame:
         return read_base(self.spark, self.sf_dir, name)
 
     def _stored(self, name: str, build, apart=None) -> DataFrame:
         """``apart`` gives the table as one frame for each value of its partition column: each goes into its
         folder as it stands, while a write by ``partitionBy`` sorts all rows of a task."""
-        if not self.materialize:
-            return build()
         from ..session import scratch_path
         key = (self.spark.sparkContext.applicationId, self.sf_dir.rstrip("/"), name)
         stored = _STORED.get(key)
         if stored is None:
+            if not self.materialize:
+                return build()
             path = scratch_path(self.spark, f"tables/{name}")
             table = build()
             if apart:
