@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
-from .splits import attribute_names, csv_records, xml_elements
+from .splits import attribute_names, csv_records, decoded, xml_elements
 
 # Stands for a quoted empty value while a record is parsed, so that it is told from a missing one.
 _EMPTY = "\x00"
@@ -106,7 +106,8 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
 def _rows_of(elements: DataFrame, schema: T.StructType) -> DataFrame:
     """Attributes by name; an element that is not well formed raises, a value of another type is NULL.
 
-    Most elements of a dump are plain, and their attributes are found by splitting at the quotes. All
+    Most elements of a dump are plain with their attributes in a known order: their ``values`` are there already, in the
+    order of ``schema``, if ``elements`` has them. Attributes of other plain ones are found by splitting at the quotes. All
     others go through the XML parser, and so do those that name an attribute twice or a column in other letters.
     """
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
@@ -116,20 +117,20 @@ def _rows_of(elements: DataFrame, schema: T.StructType) -> DataFrame:
     quotes = F.length("element") - F.length(F.replace("element", F.lit('"')))
     exact, lower = {f.name for f in schema.fields}, {f.name.lower() for f in schema.fields}
     other_case = F.col("element").rlike(rf' (?!(?:{"|".join(map(re.escape, sorted(exact)))})=")(?i:{"|".join(map(re.escape, sorted(lower)))})="')
+    values = F.col("values") if "values" in elements.columns else F.lit(None).cast("array<string>")
     plain = F.col("plain") & ~other_case if len(lower) == len(schema.fields) else F.lit(False)
-    split = elements.select("element", F.when(plain, F.str_to_map(pairs, F.lit('"'), F.lit("\x02"))).alias("m"), quotes.alias("quotes"))
+    split = elements.select("element", values.alias("values"), F.when(plain, F.str_to_map(pairs, F.lit('"'), F.lit("\x02"))).alias("m"), quotes.alias("quotes"))
     plain = F.col("m").isNotNull() & (2 * F.size("m") == F.col("quotes") + 2)
-    parsed = split.select(F.when(plain, F.col("m")).alias("m"), F.when(~plain, F.from_xml(alone, text, {
+    named = F.when(F.contains("element", F.lit("&")), F.transform_values("m", lambda _, v: decoded(v))).otherwise(F.col("m"))
+    parsed = split.select("values", F.when(plain, named).alias("m"), F.when(F.col("values").isNull() & ~plain, F.from_xml(alone, text, {
         "attributePrefix": "", "mode": "FAILFAST", "ignoreSurroundingSpaces": "false"})).alias("r"))
 
-    def value(name: str):
-        v = F.col("m").getItem(f" {name}")
-        named = v
-        for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
-            named = F.replace(named, F.lit(entity), F.lit(char))
-        return F.when(F.col("m").isNull(), F.col("r").getField(name)).when(v.contains("&"), named).otherwise(v)
+    def value(i: int, name: str):
+        v = F.col("values").getItem(i + 1)
+        other = F.when(F.col("m").isNull(), F.col("r").getField(name)).otherwise(F.col("m").getItem(f" {name}"))
+        return F.when(F.col("values").isNull(), other).when(v != "", F.substring(v, 2, 2 ** 31 - 1))
 
-    return parsed.select(*(value(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields))
+    return parsed.select(*(value(i, f.name).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)))
 
 
 def read_xml_rows(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str,
@@ -141,7 +142,8 @@ def read_xml_rows(spark: SparkSession, paths: str | Sequence[str], schema: T.Str
     it such a row raises, nothing is lost). An element that is not well formed raises; a value
     that is not of its column's type is NULL. Rows inside comments count as rows.
     """
-    return _spread(_rows_of(xml_elements(spark, paths, row_tag, rows_span_lines), as_struct(schema)), partitions)
+    schema = as_struct(schema)
+    return _spread(_rows_of(xml_elements(spark, paths, row_tag, rows_span_lines, schema.names, schema.names), schema), partitions)
 
 
 def write_csv(df: DataFrame, path: str, gzip: bool = True, mode: str = "errorifexists",
@@ -206,10 +208,11 @@ def convert_dump(spark: SparkSession, xml_paths: Mapping[str, str], out_dir: str
     """
     out = {}
     for name, path in xml_paths.items():
-        elements = xml_elements(spark, path, "row", rows_span_lines)
-        names = as_struct(schemas[name]).names if schemas and name in schemas else attribute_names(elements)
+        names = (as_struct(schemas[name]).names if schemas and name in schemas
+                 else attribute_names(xml_elements(spark, path, "row", rows_span_lines)))
         gone = {c.lower() for c in drop.get(name, [])}
         kept = T.StructType([T.StructField(n, T.StringType()) for n in names if n.lower() not in gone])
+        elements = xml_elements(spark, path, "row", rows_span_lines, names, kept.names)
         out[name] = write_csv(_spread(_rows_of(elements, kept), partitions), f"{out_dir.rstrip('/')}/{name}", gzip=gzip)
     return out
 

@@ -23,7 +23,7 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PIECE = "file long, block long, start boolean, text string, ends boolean"
@@ -222,16 +222,41 @@ def element_pattern(tag: str) -> str:
 def plain_pattern(tag: str) -> str:
     """An element (group 1) alone in its line that needs no XML parser: values in double quotes, one space before each
     name, no = at the end of a value, no references but the five named entities, no name that may be a namespace's (Java)."""
+    return rf"""^[ \t]*+(<{re.escape(tag)}(?: (?![xX][mM][lL])[A-Za-z_][A-Za-z0-9_]*+={_plain_value()}")++ *+/?>)[ \t\r]*+(?:</{re.escape(tag)}>[ \t\r]*+)?\z"""
+
+
+def _plain_value() -> str:
+    """A value of :func:`plain_pattern` and the quote before it."""
     # characters one by one: Java looks them up in a table, ranges in a negated class are tried one after the other
     control = "".join(rf"\x{i:02X}" for i in (*range(0x20), *range(0x7F, 0xA0)))
     text = rf'[^"<&{control}]*+'
-    value = rf'"{text}(?:&(?:amp|lt|gt|quot|apos);{text})*+(?<!=)"'
-    return rf"""^[ \t]*+(<{re.escape(tag)}(?: (?![xX][mM][lL])[A-Za-z_][A-Za-z0-9_]*+={value})++ *+/?>)[ \t\r]*+(?:</{re.escape(tag)}>[ \t\r]*+)?\z"""
+    return rf'"{text}(?:&(?:amp|lt|gt|quot|apos);{text})*+(?<!=)'
+
+
+def ordered_pattern(tag: str, names: Sequence[str]) -> str | None:
+    """What :func:`plain_pattern` finds if its attributes are some of ``names`` in this order, as a dump has them. Group
+    i is the value of name i behind a quote, or empty without that attribute. None if the names do not go with it (Java)."""
+    if not names or len({n.lower() for n in names}) < len(names) or not all(re.fullmatch("(?![xX][mM][lL])[A-Za-z_][A-Za-z0-9_]*", n) for n in names):
+        return None
+    attributes = "".join(rf'(?: {n}=({_plain_value()})")?+' for n in names)
+    return rf"""^[ \t]*+<{re.escape(tag)}(?= [A-Za-z_]){attributes} *+/?>[ \t\r]*+(?:</{re.escape(tag)}>[ \t\r]*+)?\z"""
 
 
-def xml_elements(spark: SparkSession, paths: str | Sequence[str], tag: str = "row", rows_span_lines: bool = False) -> DataFrame:
+def decoded(text: Column) -> Column:
+    """``text`` with the characters for the five named entities."""
+    out = text
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        out = F.replace(out, F.lit(entity), F.lit(char))
+    return F.when(text.contains("&"), out).otherwise(text)
+
+
+def xml_elements(spark: SparkSession, paths: str | Sequence[str], tag: str = "row", rows_span_lines: bool = False,
+                 names: Sequence[str] = (), wanted: Sequence[str] = ()) -> DataFrame:
     """Columns ``element``, the text of each start tag or empty element ``tag``, and ``plain``: it is one of :func:`plain_pattern`.
 
+    With ``wanted``, some of ``names``, there is a third, ``values``: for an element of :func:`ordered_pattern` an empty text,
+    then the groups of the wanted names, without entities; else NULL. Where it is not NULL, ``element`` is empty.
+
     Rows that lie in one line each are found by expressions alone; a row that does not end in
     its line raises, unless ``rows_span_lines``.
     """
@@ -244,10 +269,19 @@ def xml_elements(spark: SparkSession, paths: str | Sequence[str], tag: str = "ro
         broken = F.raise_error(F.concat(F.lit("a row runs over line ends, read with rows_span_lines=True: "), F.substring("line", 1, 200)))
         checked = F.when(starts == F.size(found), found).otherwise(F.array(broken.cast("string")))
         sound = F.is_valid_utf8("line") & ~F.contains("line", F.lit("\uFFFE")) & ~F.contains("line", F.lit("\uFFFF"))
-        lone = table.select("line", F.when(sound, F.regexp_extract("line", plain_pattern(tag), 1)).otherwise("").alias("lone"))
+        ordered, values = ordered_pattern(tag, names), F.lit(None).cast("array<string>")
+        if ordered and wanted:
+            # a line that is not of the pattern stays as it is, and a control character at its start is none of the marks
+            marks = F.regexp_replace("line", F.lit(ordered), F.lit("".join(f"\x02${list(names).index(n) + 1}" for n in wanted)))
+            table = table.select("line", F.when(sound & ~F.startswith("line", F.lit("\x02")), marks).alias("marks"))
+            # all values at once: with an expression for each, the code for a wide table is too large to be compiled
+            values = F.when(F.startswith("marks", F.lit("\x02")), F.split(decoded(F.col("marks")), "\x02", -1))
+        table = table.select("line", values.alias("values"))
+        lone = table.select("line", "values", F.when(F.col("values").isNull() & sound, F.regexp_extract("line", plain_pattern(tag), 1)).otherwise("").alias("lone"))
         # an outer explode: for an inner one the optimizer adds a filter that finds the elements once more
-        return lone.select(F.explode_outer(F.when(F.col("lone") != "", F.array("lone")).otherwise(checked)).alias("element"),
-                           (F.col("lone") != "").alias("plain")).where("element IS NOT NULL")
+        return lone.select(F.explode_outer(F.when(F.col("values").isNotNull(), F.array(F.lit(""))).when(F.col("lone") != "", F.array("lone"))
+                                           .otherwise(checked)).alias("element"),
+                           (F.col("lone") != "").alias("plain"), *(["values"] if wanted else [])).where("element IS NOT NULL")
 
     table = lines(spark, paths)
     pattern = re.compile(element_pattern(tag))
@@ -296,7 +330,8 @@ def xml_elements(spark: SparkSession, paths: str | Sequence[str], tag: str = "ro
     text = F.regexp_extract("text", element_pattern(tag).replace("+", "++").replace("*", "*+"), 0)
     return table.mapInArrow(whole, "element string").unionByName(
         crossing.select(F.when(text == "", F.raise_error(F.concat(F.lit("a row without an end: "), F.substring("text", 1, 200))).cast("string"))
-                        .otherwise(text).alias("element"))).withColumn("plain", F.lit(False))
+                        .otherwise(text).alias("element"))).select(
+        "element", F.lit(False).alias("plain"), *([F.lit(None).cast("array<string>").alias("values")] if wanted else []))
 
 
 def attribute_names(elements: DataFrame) -> list[str]:
